@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parlance.llm import pieces, quality
-from parlance.llm.common import documents
+from parlance.llm import langid, pieces, quality, tokenfile
+from parlance.llm.common import documents, fresh_path
 
 
 def public_file(name: str) -> str:
@@ -17,6 +17,14 @@ def public_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(public_file("word_bpe_49k.json"), encoding="utf-8") as f:
+        definition = f.read()
+    path = fresh_path(spark, "token-shards")
+    tokenfile.write_tokens(documents(spark, sf_dir), definition, path, end_id=2)
+    return tokenfile.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = pieces.read_model(public_file("piece_bpe_32k.model"))
     p = pieces.encode(documents(spark, sf_dir), model)
@@ -33,6 +41,12 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(documents(spark, sf_dir)).select("doc_id", "quality.*")
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text", "lang").withColumn("held_out", langid.held_out())
+    model = langid.fit(docs.filter("NOT held_out AND doc_id IS NOT NULL"))
+    return langid.predict(docs.drop("lang"), model).select("doc_id", "held_out", "language.*")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
 

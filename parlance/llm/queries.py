@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parlance.llm import langid, pieces, quality, tokenfile
+from parlance.llm import langid, pieces, quality, tokenfile, warc
 from parlance.llm.common import documents, fresh_path
 
 
@@ -17,6 +17,16 @@ def public_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+OP4_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+q AS (SELECT page_id, octet_length(encode(h)) AS n, sha1(h) AS d, max(page_id) OVER (PARTITION BY h) AS m FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
+       CASE WHEN n >= 1000 AND page_id <> m THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND page_id <> m THEN m END AS refers_to
+FROM q
+"""
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(public_file("word_bpe_49k.json"), encoding="utf-8") as f:
         definition = f.read()
@@ -25,6 +35,11 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    return warc.round_trip(pages).select("page_id", "payload_bytes", "payload_digest", F.col("type").alias("record_type"), "refers_to")
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = pieces.read_model(public_file("piece_bpe_32k.model"))
     p = pieces.encode(documents(spark, sf_dir), model)
@@ -52,4 +67,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_warc": OP4_SQL}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parlance.llm import langid, pieces, quality, tokenfile, warc
+from parlance.llm import langid, pieces, quality, secrets, tokenfile, warc
 from parlance.llm.common import documents, fresh_path
 
 
@@ -40,6 +40,17 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(pages).select("page_id", "payload_bytes", "payload_digest", F.col("type").alias("record_type"), "refers_to")
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(documents(spark, sf_dir, "doc_id", "text", "source"))
+    of = lambda *kinds: F.filter("secrets", lambda s: s["kind"].isin(*kinds))
+    return found.select(
+        "doc_id",
+        *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(secrets.listed(of("assign", "access", "hex")), 256).alias("base_sha256"),
+        secrets.listed(F.col("secrets")).alias("spans"),
+    )
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = pieces.read_model(public_file("piece_bpe_32k.model"))
     p = pieces.encode(documents(spark, sf_dir), model)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parlance.llm import langid, pieces, quality, secrets, tokenfile, warc
+from parlance.llm import decontam, langid, pieces, quality, secrets, tokenfile, warc
 from parlance.llm.common import documents, fresh_path
 
 
@@ -35,6 +35,11 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontam.matches(documents(spark, sf_dir), items).select("doc_id", "item_id", "covered_tokens", "item_tokens", "slots_changed")
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
     return warc.round_trip(pages).select("page_id", "payload_bytes", "payload_digest", F.col("type").alias("record_type"), "refers_to")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parlance.llm import decontam, langid, pieces, quality, secrets, tokenfile, warc
+from parlance.llm import decontam, langid, pieces, quality, secrets, simhash, tokenfile, warc
 from parlance.llm.common import documents, fresh_path
 
 
@@ -17,6 +17,11 @@ def public_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.groups(documents(spark, sf_dir))
+    return found.select(F.col("id").alias("doc_id"), simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 OP4_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
 q AS (SELECT page_id, octet_length(encode(h)) AS n, sha1(h) AS d, max(page_id) OVER (PARTITION BY h) AS m FROM p)

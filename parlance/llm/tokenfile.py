@@ -35,10 +35,12 @@ from parlance.llm.common import slices, utf8
 
 MAGIC = b"PLT1"
 SHARD_TOKENS = 1_000_000
-MIN_USES = 6
-ROUNDS = 5
+MIN_USES = 8
+ROUNDS = 4
 SLOT_BITS = 18
-KEPT = 400_000
+#: Encodings that a worker keeps: of chunks, and of the parts that chunks are cut into. A full table is emptied.
+KEPT_CHUNKS = 800_000
+KEPT_PARTS = 500_000
 SCHEMA = "part int, shard int, before long, n_tokens long, data binary"
 
 
@@ -62,30 +64,33 @@ class ChunkEncoder:
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         self.letter = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in shown)}
         self.chunks: dict[bytes, bytes] = {}
-        self.parts: dict[str, list[int]] = {}
+        self.parts: dict[str, bytes] = {}
 
-    def _ids(self, chunk: bytes) -> list[int]:
+    def _packed(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _chunk(self, chunk: bytes) -> bytes:
         text = chunk.decode()
         if not self.PLAIN.fullmatch(text) or self.special.search(text):
-            return self.tokenizer.encode(text, add_special_tokens=False).ids
-        ids: list[int] = []
-        for part in self.CUT.findall(text.lower()):
-            got = self.parts.get(part)
-            if got is None:
-                if len(self.parts) >= KEPT:
-                    self.parts.clear()
-                got = self.parts[part] = [t.id for t in self.model.tokenize("".join(map(self.letter.__getitem__, part.encode())))]
-            ids += got
-        return ids
+            return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        cut = self.CUT.findall(text.lower())
+        parts = self.parts
+        for part in cut:
+            if part not in parts:
+                if len(parts) >= KEPT_PARTS:
+                    parts.clear()
+                    return self._chunk(chunk)
+                parts[part] = self._packed([t.id for t in self.model.tokenize("".join(map(self.letter.__getitem__, part.encode())))])
+        return b"".join(map(parts.__getitem__, cut))
 
     def encode(self, text: bytes) -> bytes:
         """Ids as little-endian uint32."""
         words = text.split()
         chunks = self.chunks
-        if len(chunks) > KEPT:
+        if len(chunks) > KEPT_CHUNKS:
             chunks.clear()
         for w in {w for w in words if w not in chunks}:
-            chunks[w] = struct.pack(f"<{len(i := self._ids(w))}I", *i)
+            chunks[w] = self._chunk(w)
         return b"".join(map(chunks.__getitem__, words))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parlance.llm import decontam, katz, langid, pieces, quality, secrets, simhash, tokenfile, warc
+from parlance.llm import decontam, katz, langid, pieces, quality, secrets, simhash, substrings, tokenfile, warc
 from parlance.llm.common import documents, fresh_path
 
 
@@ -73,6 +73,10 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.deduplicate(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
 def op8_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).withColumn("held_out", langid.held_out(modulus=5))
     return katz.score(docs, "held_out").withColumnRenamed("id", "doc_id")

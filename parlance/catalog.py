@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parlance.plans import speech
+from parlance.plans import meetings, ratings, speech, texts, training, waves
 
-MODULES = (speech,)
+MODULES = (speech, ratings, texts, training, waves, meetings)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

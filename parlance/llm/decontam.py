@@ -57,15 +57,32 @@ def template(token: Column, names: bool) -> Column:
     return kind.otherwise(low)
 
 
-def window_hashes(tokens: Column, names: bool, w: int) -> Column:
-    each = F.transform(tokens, lambda t: F.xxhash64(template(t, names)))
+def token_hashes(tokens: Column) -> Column:
+    """(plain, named): the hashes of all tokens' templates without and with names as placeholders.
 
-    def hashes(h: Column) -> Column:
-        n = F.size(h)
-        starts = F.when(n >= w, F.sequence(F.lit(1), n - (w - 1))).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.xxhash64(F.slice(h, i, F.lit(w)), F.lit(int(names))))
+    The tokens are lower-cased at once, and a token that has no capital has the same hash in both.
+    """
+    low = F.split(F.lower(F.array_join(tokens, " ")), " ")
 
-    return F.element_at(F.transform(F.array(each), hashes), 1)
+    def both(l: Column) -> Column:
+        plain = F.transform(l, lambda t: F.xxhash64(F.when(F.substring(t, 1, 1).between("0", "9") | t.isin(NUMBERS), "<num>").when(t.isin(UNITS), "<unit>").otherwise(t)))
+        return F.element_at(F.transform(F.array(plain), lambda h: F.struct(h.alias("plain"), with_names(l, h).alias("named"))), 1)
+
+    def with_names(l: Column, h: Column) -> Column:
+        def one(t: Column, i: Column) -> Column:
+            own, x = F.get(h, i), F.get(l, i)
+            name = (F.length(t) > 1) & x.endswith(F.substring(t, 2, 1_000_000)) & ~x.isin(NUMBERS) & ~x.isin(UNITS)
+            return F.when(t == x, own).when(name, F.xxhash64(F.lit("<name>"))).otherwise(own)
+
+        return F.transform(tokens, one)
+
+    return F.element_at(F.transform(F.array(low), both), 1)
+
+
+def window_hashes(hashes: Column, names: bool, w: int) -> Column:
+    n = F.size(hashes)
+    starts = F.when(n >= w, F.sequence(F.lit(1), n - (w - 1))).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.xxhash64(F.slice(hashes, i, F.lit(w)), F.lit(int(names))))
 
 
 def tokens_of(text: Column) -> Column:
@@ -76,7 +93,8 @@ def windows(rows: DataFrame, params: Params) -> DataFrame:
     """rows and, for each window of its tokens in either template: names, pos (from 0), hash."""
     w = params.window
     n = F.greatest(F.size("tokens") - (w - 1), F.lit(0))
-    both = F.concat(window_hashes(F.col("tokens"), True, w), window_hashes(F.col("tokens"), False, w))
+    named = lambda h: F.concat(window_hashes(h["named"], True, w), window_hashes(h["plain"], False, w))
+    both = F.element_at(F.transform(F.array(token_hashes(F.col("tokens"))), named), 1)
     out = rows.select(*rows.columns, n.alias("n_windows"), F.posexplode(both).alias("at", "hash"))
     return out.withColumn("names", F.col("at") < F.col("n_windows")).withColumn("pos", F.when(F.col("names"), F.col("at")).otherwise(F.col("at") - F.col("n_windows"))).drop("at", "n_windows")
 

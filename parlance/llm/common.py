@@ -36,7 +36,7 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 def store(df: DataFrame, label: str) -> DataFrame:
     """Write df to the shared folder and read it again: lineage ends there, and a lost executor loses nothing."""
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

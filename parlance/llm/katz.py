@@ -1,6 +1,6 @@
 """Katz backoff language model over word pairs, counted and evaluated in partitioned tables.
 
-Texts are kept as blocks of a few million tokens: the distinct words' 64-bit hashes and the tokens as numbers
+Texts are kept as blocks of a million tokens or two: the distinct words' 64-bit hashes and the tokens as numbers
 into them. Every block asks the count tables once: its distinct words and word pairs go, as packed sorted keys, to
 the partition that owns their hash range; that partition adds up what all blocks sent and answers each block in
 the order of its question. So a pair crosses the network once for each block and not once for each occurrence,
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from parlance.llm.common import discard, store, utf8
 
-BLOCK_TOKENS = 4_000_000
+BLOCK_TOKENS = 1_500_000
 #: Distinct keys that a partition of the count tables should have, about.
 PARTITION_KEYS = 1_000_000
 END, START = b" ", b"  "  # no word has a space
@@ -126,22 +126,22 @@ class Block:
     def __init__(self, row: dict):
         hashes = np.frombuffer(row["hashes"], "<u8")
         self.hashes = np.r_[hashes, np.uint64(xxhash.xxh64_intdigest(START))]
-        self.tokens = from_planes(row["tokens"], "<u4").astype(np.int64)
+        self.tokens = from_planes(row["tokens"], "<u4").astype(np.int32)
         sizes = np.array(row["sizes"], np.int64)
-        self.doc = np.repeat(np.arange(len(sizes)), sizes)
-        self.history = np.r_[0, self.tokens[:-1]]
+        self.doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        self.history = np.r_[np.int32(0), self.tokens[:-1]]
         self.history[np.cumsum(sizes) - sizes] = len(hashes)
         self.train = ~np.array(row["held"], bool)[self.doc]
         self.word_order = np.argsort(hashes)
         key = pair_key(self.hashes[self.history], self.hashes[self.tokens])
-        order = np.argsort(key)
-        ordered = key[order]
-        new = np.r_[True, ordered[1:] != ordered[:-1]]
-        self.starts = np.flatnonzero(new)
-        self.pairs = ordered[self.starts]
+        order = np.argsort(key).astype(np.int32)
+        key = key[order]
+        new = np.r_[True, key[1:] != key[:-1]]
+        self.starts = np.flatnonzero(new).astype(np.int32)
+        self.pairs = key[self.starts]
         self.first = order[self.starts]  # a token that has the pair
-        self.pair_of = np.empty(len(order), np.int64)
-        self.pair_of[order] = np.cumsum(new) - 1
+        self.pair_of = np.empty(len(order), np.int32)
+        self.pair_of[order] = np.cumsum(new, dtype=np.int32) - 1
         self.order = order
 
     def asked(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -285,7 +285,7 @@ def score_blocks(stored: DataFrame, replies: DataFrame, m: Model) -> DataFrame:
         has = np.flatnonzero(s1)
         masses = table(MASS, len(has), h=b.hashes[has].view(np.int64), x=s1[has], y=s2[has])
         lost = np.flatnonzero(~seen[b.pair_of] & (c1[b.history] > 0))
-        code, n = np.unique(b.doc[lost] * n_words + b.history[lost], return_counts=True)
+        code, n = np.unique(b.doc[lost].astype(np.int64) * n_words + b.history[lost], return_counts=True)
         unseen = table(UNSEEN, len(code), row=rows[code // n_words], h=b.hashes[code % n_words].view(np.int64), n=n.astype(np.int32))
         return pa.concat_tables([docs, masses, unseen])
 

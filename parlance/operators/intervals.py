@@ -34,7 +34,8 @@ def interval_pairs(left: DataFrame, right: DataFrame, key: str, bin_s: float | N
     both sides are laid out over time bins and joined on (key, bin), so that neither a long recording nor one
     that holds much of the data meets in one task; a pair counts in the first bin that both touch.
     """
-    over = (F.col("t0") < F.col("r1")) & (F.col("r0") < F.col("t1"))
+    # the plain range test, and a positive overlap: an empty interval has none
+    over = (F.col("t0") < F.col("r1")) & (F.col("r0") < F.col("t1")) & (F.col("t0") < F.col("t1")) & (F.col("r0") < F.col("r1"))
     if bin_s is None:
         return left.join(right, key).filter(over)
     width = int(bin_s * 1_000_000)

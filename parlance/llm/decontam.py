@@ -133,7 +133,7 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
     changed = F.size(F.filter("bound", lambda x: x["was"] != x["now"]))
     spans = F.flatten(F.transform("starts", lambda p: F.sequence(p, p + (params.window - 1))))
     pairs = lines.withColumn("spans", F.array_distinct(spans)).withColumn("changed", changed).groupBy("doc_id", "text_hash", "item_id", "item_tokens").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_set("spans")))).alias("covered_tokens"), F.min("changed").alias("slots_changed")
+        F.size(F.array_distinct(F.flatten(F.collect_set("spans")))).alias("covered_tokens"), F.max_by("changed", F.struct(F.size("starts"), F.col("names"))).alias("slots_changed")
     )
     return pairs.filter(F.col("covered_tokens") >= params.coverage * F.col("item_tokens")).select("doc_id", "text_hash", "item_id", "covered_tokens", "item_tokens", "slots_changed")
 

@@ -70,6 +70,13 @@ def slices(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
+def pieces_of(batch: pa.RecordBatch, size: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of some MB, so that what a worker makes of one at a time stays small."""
+    rows = max(1, batch.num_rows * size // max(1, batch.nbytes))
+    for a in range(0, batch.num_rows, rows):
+        yield batch.slice(a, rows)
+
+
 def with_struct(df: DataFrame, out: str, fields: T.StructType, fn: Callable[[pa.RecordBatch], pa.Array]) -> DataFrame:
     """df and a struct column ``out`` that fn makes from each Arrow batch; a column of that name is replaced."""
     rest = df.drop(out)
@@ -77,7 +84,8 @@ def with_struct(df: DataFrame, out: str, fields: T.StructType, fn: Callable[[pa.
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, fn(batch)], names=[*batch.schema.names, out])
+            for part in pieces_of(batch):
+                yield pa.RecordBatch.from_arrays([*part.columns, fn(part)], names=[*part.schema.names, out])
 
     return rest.mapInArrow(run, schema)
 

@@ -30,8 +30,8 @@ from parlance.llm.common import utf8, with_struct
 MARK = "▁"
 NORMAL, UNKNOWN, BYTE = 1, 2, 6
 #: Chunk encodings that a worker keeps; the table is emptied when it is full.
-KEPT_CHUNKS = 400_000
-KEPT_PAIRS = 2_000_000
+KEPT_CHUNKS = 300_000
+KEPT_PAIRS = 500_000
 
 
 class PieceCodec:

@@ -24,8 +24,8 @@ from pyspark.sql import types as T
 from parlance.llm.common import slices, utf8, with_struct
 
 SYMBOLS = b"#*$%&|<>"
-#: Words in one suffix-array build: bounds a worker's memory to some tens of MB.
-CHUNK_WORDS = 400_000
+#: Words in one suffix-array build: bounds a worker's memory to some tens of MB (a longer document alone takes more).
+CHUNK_WORDS = 200_000
 
 
 @dataclass(frozen=True)

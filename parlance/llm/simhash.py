@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parlance.llm.common import store, utf8
+from parlance.llm.common import pieces_of, store, utf8
 
 ALL = (1 << 64) - 1
 #: Fingerprints under one masked value beyond which it is masked again.
@@ -62,7 +62,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
     rows = docs.select(F.col(id_col).alias("id"), F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("digest"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (p for batch in batches for p in pieces_of(batch)):
             fps = np.array([fingerprint(t, shingle) for t in utf8(b.column(2))], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps), b.column(1)], names=["id", "fp", "digest"])
 

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parlance.plans import meetings, ratings, speech, texts, training, waves
+from parlance.plans import meetings, ratings, speech, streams, texts, training, waves
 
-MODULES = (speech, ratings, texts, training, waves, meetings)
+MODULES = (speech, ratings, texts, training, waves, meetings, streams)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

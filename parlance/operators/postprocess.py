@@ -99,3 +99,16 @@ def translate_runs(runs: DataFrame, model: Factory) -> DataFrame:
     done = infer_text(rows, ["sentence"], model, "_reply")
     joined = done.groupBy("model_id", "audio_file").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "_reply"))), lambda x: x["_reply"]), " ").alias("_tr"))
     return runs.drop("translation").join(joined, ["model_id", "audio_file"], "left").withColumn("translation", F.when(ok & (F.col("language") == "eng"), F.col("transcript")).when(ok, F.col("_tr"))).drop("_tr")
+
+
+def two_pass(df: DataFrame, source: str, corrector: Factory, translator: Factory) -> DataFrame:
+    """Corrected text of a source column, then the translation of what was corrected."""
+    fixed = infer_text(df, [source], corrector, "corrected").drop("corrected_error")
+    return infer_text(fixed, ["corrected"], translator, "translated").drop("translated_error")
+
+
+def combined(df: DataFrame, source: str, model: Factory) -> DataFrame:
+    """Both from one reply of two lines, ``BN: …`` and ``EN: …``; a line that is missing is null."""
+    out = infer_text(df, [source], model, "_reply")
+    line = lambda mark: F.nullif(F.regexp_extract("_reply", rf"(?m)^{mark}:[ \t]*(.*)$", 1), F.lit(""))
+    return out.withColumns({"corrected": line("BN"), "translated": line("EN")}).drop("_reply", "_reply_error")

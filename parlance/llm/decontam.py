@@ -140,6 +140,6 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
 
 def remove(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", params: Params = Params()) -> DataFrame:
     """docs without the contaminated ones."""
-    found = matches(docs, items, id_col, text_col, params=params).select(F.col("doc_id").alias("_of"), F.col("text_hash").alias("_hash")).distinct()
+    found = matches(docs, items, id_col, text_col, params=params).select(F.col("doc_id").alias("__leak_of"), F.col("text_hash").alias("__leak_hash")).distinct()
     found = store(found, "contaminated")
-    return docs.join(found, F.col(id_col).eqNullSafe(F.col("_of")) & (F.xxhash64(F.col(text_col)) == F.col("_hash")), "left_anti")
+    return docs.join(found, F.col(id_col).eqNullSafe(F.col("__leak_of")) & (F.xxhash64(F.col(text_col)) == F.col("__leak_hash")), "left_anti")

@@ -166,4 +166,4 @@ def assess(docs: DataFrame, text_col: str = "text", out: str = "quality", limits
 
 def keep_good(docs: DataFrame, text_col: str = "text", limits: Limits = Limits()) -> DataFrame:
     """The documents that pass, with their own columns."""
-    return assess(docs, text_col, "_quality", limits).filter(F.col("_quality.kept")).drop("_quality")
+    return assess(docs, text_col, "__quality", limits).filter(F.col("__quality.kept")).drop("__quality")

@@ -137,7 +137,7 @@ def listed(spans: Column) -> Column:
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "source", params: Params = Params()) -> DataFrame:
     """docs with every span replaced by a tag that says its kind and whether it looked live or copied."""
     found = scan(docs, id_col, text_col, repo_col, None, params).filter(F.size("secrets") > 0)
-    found = store(found.select(F.col("doc_id").alias("_of"), F.col("text_hash").alias("_hash"), F.col("secrets").alias("_secrets")).dropDuplicates(["_of", "_hash"]), "secret-spans")
+    found = store(found.select(F.col("doc_id").alias("__secret_of"), F.col("text_hash").alias("__secret_hash"), F.col("secrets").alias("__secret_spans")).dropDuplicates(["__secret_of", "__secret_hash"]), "secret-spans")
     text = F.col(text_col)
 
     def step(acc: Column, s: Column) -> Column:
@@ -148,6 +148,6 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo
             F.when(fresh, F.concat(acc["out"], text.substr(acc["at"] + 1, s["start"] - acc["at"]), tag)).otherwise(acc["out"]).alias("out"),
         )
 
-    clean = F.aggregate("_secrets", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda a: F.concat(a["out"], text.substr(a["at"] + 1, F.length(text))))
-    same = F.col(id_col).eqNullSafe(F.col("_of")) & (F.xxhash64(text) == F.col("_hash"))
-    return docs.join(found, same, "left").withColumn(text_col, F.when(F.col("_secrets").isNull(), text).otherwise(clean)).select(*docs.columns)
+    clean = F.aggregate("__secret_spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda a: F.concat(a["out"], text.substr(a["at"] + 1, F.length(text))))
+    same = F.col(id_col).eqNullSafe(F.col("__secret_of")) & (F.xxhash64(text) == F.col("__secret_hash"))
+    return docs.join(found, same, "left").withColumn(text_col, F.when(F.col("__secret_spans").isNull(), text).otherwise(clean)).select(*docs.columns)

@@ -270,11 +270,11 @@ def keep_one(docs: DataFrame, shingle: int = 5, radius: int = 6, similarity: flo
             if not unsure.limit(1).count():
                 break
     # exact copies: the row with the smallest id stays; equal rows of that id are one row
-    keep = texts.select("digest", F.col("id").alias("_id"), "n")
+    keep = texts.select("digest", F.col("id").alias("__near_id"), F.col("n").alias("__near_n"))
     keep = keep if gone is None else keep.join(store(gone, "near-gone"), "digest", "left_anti")
-    keep = store(keep.withColumnRenamed("digest", "_digest"), "near-keep")
-    found = docs.join(keep, (key == F.col("_digest")) & F.col(id_col).eqNullSafe(F.col("_id")))
-    single = found.filter("n = 1").select(*cols)
+    keep = store(keep.withColumnRenamed("digest", "__near_digest"), "near-keep")
+    found = docs.join(keep, (key == F.col("__near_digest")) & F.col(id_col).eqNullSafe(F.col("__near_id")))
+    single = found.filter("__near_n = 1").select(*cols)
     # of rows equal in id and text, one
-    several = found.filter("n > 1").dropDuplicates(["_digest"]).select(*cols)
+    several = found.filter("__near_n > 1").dropDuplicates(["__near_digest"]).select(*cols)
     return single.unionByName(several)

@@ -13,13 +13,15 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="the supplied tabl
 
 def test_stages_on_odd_rows(spark, tmp_path):
     rows = [(1, "only a few"), (2, None), (3, " ".join(f"w{k}" for k in range(40))), (4, " ".join(f"w{k}" for k in range(40))), (3, " ".join(f"w{k}" for k in range(40))), (None, " ".join(f"v{k}" for k in range(20)) + " password=abcdefgh1")]
-    docs = spark.createDataFrame([(i, t, None, None, None, "more") for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, kind string")
+    clashing = "n id digest fp row hash kept quality pieces secrets spans tokens item_id component_id text_hash body ids".split()
+    docs = spark.createDataFrame([(i, t, None, None, None, *["more"] * len(clashing)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in clashing))
     columns = docs.columns
     for _, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, SF)
         assert docs.columns == columns
     out = {r["doc_id"]: r for r in corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()}
     assert set(out) == {3, None} and out[None]["text"].endswith(" <secret:assign>") and out[3]["n_tokens"] == len(out[3]["ids"])
+    assert out[3]["pieces"] == out[3]["n"] == "more"
 
 
 def test_stages_on_nothing(spark):

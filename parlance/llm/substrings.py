@@ -40,6 +40,8 @@ BLOCK_WORDS = 1_500_000
 GRAM = 5
 #: Different segments of one anchor beyond which its windows are compared by hash.
 BUSY = 2_000
+#: First places of hashed windows are broadcast up to this many rows (about 50 bytes each).
+BROADCAST_ROWS = 200_000
 PARTITION_ANCHORS = 400_000
 SHARD_SEGMENTS = 8_000
 LAST = np.iinfo(np.int64).max
@@ -409,7 +411,10 @@ def repeated(parts: DataFrame, window: int) -> DataFrame:
     if not windows.limit(1).count():
         return of_shards
     first = windows.groupBy("hash").agg(F.min(F.struct("id", "row", "start")).alias("first"), F.count("*").alias("n")).filter("n > 1").select("hash", "first")
-    again = windows.join(store(first, "substring-first"), "hash").filter(F.struct("id", "row", "start") > F.col("first")).select("row", "start")
+    first = store(first, "substring-first")
+    # a frequent window has many rows: without an exchange by hash none of them meet; beyond the limit Spark splits them
+    first = F.broadcast(first) if first.count() <= BROADCAST_ROWS else first
+    again = windows.join(first, "hash").filter(F.struct("id", "row", "start") > F.col("first")).select("row", "start")
     return of_shards.unionByName(again)
 
 

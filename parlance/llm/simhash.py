@@ -9,7 +9,8 @@ its mask keeps none: every pair within the radius is equal under one of the 2**(
 Links are sought between distinct fingerprints only, so copies cost nothing. Fingerprints that share a masked
 value are compared in one task; masked values that too many fingerprints share are masked again, by a covering
 of the bits that their mask left out, until the fingerprints in one bucket are few because little is left to
-differ in. A bucket gives a star for each of its connected parts, never all its pairs. Components are found by
+differ in. A bucket gives a star for each of its connected parts, never all its pairs. A radius beyond 3, which needs many
+masks, first connects what is within 3 and then only seeks links between what is still apart. Components are found by
 label propagation with pointer jumping over tables in the shared folder.
 
 Defined results: a null or empty text has fingerprint zero, which is linked like any other; a text of fewer
@@ -35,6 +36,8 @@ ALL = (1 << 64) - 1
 BUCKET = 2048
 #: One in so many fingerprints is counted to find such values; the count only chooses the way, not the result.
 COUNTED = 8
+#: A larger radius is sought among what this one has connected.
+NEAR = 3
 #: Buckets cannot be large from this level on: their masks leave few bits open.
 LAST_LEVEL = 2
 
@@ -89,44 +92,46 @@ def mask_of(table: int, level: int, radius: int) -> int:
 
 
 def masked(rows: DataFrame, level: int, radius: int) -> DataFrame:
-    """(t, key, fp) under every mask of a level; from the second level on, rows carry the table t they come from."""
+    """(t, key, fp, label) under every mask of a level; from the second level on, rows carry the table t they come from."""
     width = (1 << radius + 1) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         masks: dict[int, np.uint64] = {}
         for b in batches:
-            fps = b.column("fp").to_numpy(zero_copy_only=False)
+            fps, labels = (b.column(c).to_numpy(zero_copy_only=False) for c in ("fp", "label"))
             froms = b.column("t").to_numpy(zero_copy_only=False) if level else np.zeros(len(fps), np.int32)
             for parent in np.unique(froms).tolist():
-                own = fps[froms == parent]
+                own, marks = fps[froms == parent], pa.array(labels[froms == parent])
                 for k in range(width):
                     t = parent * width + k
                     if t not in masks:
                         masks[t] = np.uint64(mask_of(t, level, radius))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), t, np.int32)), pa.array((own.view(np.uint64) & masks[t]).view(np.int64)), pa.array(own)], names=["t", "key", "fp"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), t, np.int32)), pa.array((own.view(np.uint64) & masks[t]).view(np.int64)), pa.array(own), marks], names=["t", "key", "fp", "label"])
 
-    return rows.mapInArrow(run, "t int, key long, fp long")
+    return rows.mapInArrow(run, "t int, key long, fp long, label long")
 
 
-def stars(fps: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, int]]:
-    """Connected parts of a bucket of distinct fingerprints, each as (members but one, that one)."""
-    left = fps
+def parts_of(fps: np.ndarray, radius: int) -> Iterator[np.ndarray]:
+    """Connected parts of a bucket of distinct fingerprints that have more than one, as places in it."""
+    left = np.arange(len(fps))
     while len(left) > 1:
-        seed, left = left[0], left[1:]
-        front, members = [seed], []
+        front, members, left = [left[0]], [left[:1]], left[1:]
         while front and len(left):
-            near = np.bitwise_count(left ^ front.pop()) <= radius
+            near = np.bitwise_count(fps[left] ^ fps[front.pop()]) <= radius
             if near.any():
                 got = left[near]
                 members.append(got)
                 front.extend(got)
                 left = left[~near]
-        if members:
-            yield np.concatenate(members), seed
+        if len(members) > 1:
+            yield np.concatenate(members)
 
 
 def bucket_links(entries: DataFrame, radius: int) -> DataFrame:
-    """(a, b) stars of all buckets; buckets are runs of equal (t, key) in sorted partitions."""
+    """(a, b) of labels: a star for each connected part of a bucket, over the labels in it.
+
+    Buckets are runs of equal (t, key) in sorted partitions.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -135,15 +140,16 @@ def bucket_links(entries: DataFrame, radius: int) -> DataFrame:
             new = np.r_[True, (rows[1:, :2] != rows[:-1, :2]).any(1)]
             at = np.flatnonzero(new)
             size = np.diff(np.r_[at, len(rows)])
-            fps = rows[:, 2].view(np.uint64)
+            fps, labels = np.ascontiguousarray(rows[:, 2]).view(np.uint64), rows[:, 3]
             twos = at[size == 2]
-            near = twos[np.bitwise_count(fps[twos] ^ fps[twos + 1]) <= radius]
-            a, b = [fps[near]], [fps[near + 1]]
+            near = twos[(np.bitwise_count(fps[twos] ^ fps[twos + 1]) <= radius) & (labels[twos] != labels[twos + 1])]
+            a, b = [labels[near]], [labels[near + 1]]
             for s, n in zip(at[size > 2].tolist(), size[size > 2].tolist(), strict=True):
-                for members, seed in stars(np.ascontiguousarray(fps[s : s + n]), radius):
-                    a.append(members)
-                    b.append(np.full(len(members), seed))
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).view(np.int64)) for x in (a, b)], names=["a", "b"])
+                for members in parts_of(fps[s : s + n], radius):
+                    own = np.unique(labels[s + members])
+                    a.append(own[1:])
+                    b.append(np.full(len(own) - 1, own[0]))
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (a, b)], names=["a", "b"])
 
         for batch in batches:
             rows = np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns], 1)
@@ -168,9 +174,12 @@ def bucket_links(entries: DataFrame, radius: int) -> DataFrame:
 
 
 def links(distinct: DataFrame, radius: int) -> DataFrame:
-    """Stars that connect exactly the distinct fingerprints within the radius, as a stored table (a, b)."""
+    """Edges (a, b) between labels that connect exactly the distinct fingerprints within the radius, stored.
+
+    distinct: (fp, label); fingerprints of one label are taken as connected already.
+    """
     found: DataFrame | None = None
-    rows = distinct.select("fp")
+    rows = distinct.select("fp", "label")
     for level in range(LAST_LEVEL + 1):
         entries = masked(rows, level, radius)
         hot = None
@@ -179,11 +188,11 @@ def links(distinct: DataFrame, radius: int) -> DataFrame:
             hot = store(counted.groupBy("t", "key").count().filter(F.col("count") > BUCKET // COUNTED).select("t", "key"), "simhash-hot")
             hot = hot if hot.limit(1).count() else None
         cold = entries if hot is None else entries.join(hot, ["t", "key"], "left_anti")
-        got = store(bucket_links(cold.select("t", "key", "fp"), radius).distinct(), "simhash-links")
+        got = store(bucket_links(cold.select("t", "key", "fp", "label"), radius).distinct(), "simhash-links")
         found = got if found is None else found.unionByName(got)
         if hot is None:
             break
-        rows = store(entries.join(hot, ["t", "key"]).select("t", "fp"), "simhash-again")
+        rows = store(entries.join(hot, ["t", "key"]).select("t", "fp", "label"), "simhash-again")
     return found
 
 
@@ -206,7 +215,13 @@ def components(edges: DataFrame) -> DataFrame:
 def linked(prints: DataFrame, radius: int = 3) -> DataFrame:
     """(fp, component_id) of all distinct fingerprints of a stored table with id and fp, stored."""
     classes = store(prints.groupBy("fp").agg(F.min("id").alias("first")), "simhash-classes")
-    labels = components(links(classes, radius))
+    edges = links(classes.select("fp", F.col("fp").alias("label")), min(radius, NEAR))
+    if radius > NEAR:
+        # what few masks connect goes into the many masks under one label, so that a large group gives few edges
+        near = components(edges)
+        labelled = classes.select("fp").join(near, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("label", "fp").alias("label"))
+        edges = store(edges.unionByName(links(store(labelled, "simhash-labelled"), radius)), "simhash-edges")
+    labels = components(edges)
     named = store(labels.join(classes, F.col("node") == F.col("fp")).select("fp", "label", "first"), "simhash-named")
     tops = named.groupBy("label").agg(F.min("first").alias("component_id"))
     joined = store(named.join(tops, "label").select("fp", "component_id"), "simhash-joined")

@@ -81,13 +81,14 @@ def test_simhash_components(docs, texts):
     assert counted(got) == counted((i, f"{p:016x}", c) for (i, _), p, c in zip(texts, prints, want, strict=True))
 
 
-def test_hot_buckets_are_masked_again(spark, monkeypatch):
+@pytest.mark.parametrize("radius", [3, 4])
+def test_hot_buckets_are_masked_again(spark, monkeypatch, radius):
     rng = random.Random(4)
-    prints = sorted({0x0F0F << 20 ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 5))) for _ in range(300)})
+    prints = sorted({0x0F0F << 20 ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 4))) for _ in range(60)})
     rows = spark.createDataFrame([(i, p - (1 << 64) if p >> 63 else p) for i, p in enumerate(prints)], "id long, fp long")
     monkeypatch.setattr(simhash, "BUCKET", 16)
-    got = {r["fp"]: r["component_id"] for r in simhash.linked(store(rows, "t")).collect()}
-    want = brute.components(list(range(len(prints))), prints)
+    got = {r["fp"]: r["component_id"] for r in simhash.linked(store(rows, "t"), radius).collect()}
+    want = brute.components(list(range(len(prints))), prints, radius)
     assert [got[p - (1 << 64) if p >> 63 else p] for p in prints] == want
 
 

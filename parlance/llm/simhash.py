@@ -20,6 +20,7 @@ a component's id unless all are null; other columns are left out; an empty table
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,24 +41,39 @@ COUNTED = 8
 NEAR = 3
 #: Buckets cannot be large from this level on: their masks leave few bits open.
 LAST_LEVEL = 2
+#: One in so many texts is looked at for common shingles: those in COMMON of them or more, MOST_COMMON at most.
+ASKED = 16
+COMMON = 3
+MOST_COMMON = 100_000
 
 
-def fingerprint(text: bytes, shingle: int) -> int:
-    """64 bits of a text, lower-cased from A to Z."""
+def shingles(text: bytes, shingle: int) -> np.ndarray:
+    """Hashes of a text's word shingles in their order, lower-cased from A to Z; none of a text without words."""
     words = text.lower().split()
     if not words:
-        return 0
+        return np.empty(0, np.uint64)
     joined = b" ".join(words)
     n = max(1, len(words) - shingle + 1)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = np.r_[0, ends[:-1] + 1][:n].tolist()
     stops = ends[min(shingle, len(words)) - 1 :].tolist()
     digest = xxhash.xxh64_intdigest
+    return np.fromiter((digest(joined[i:j], 42) for i, j in zip(starts, stops, strict=True)), np.uint64, n)
+
+
+def print_of(hashes: np.ndarray) -> int:
+    """64 bits of a text's shingle hashes."""
+    if not len(hashes):
+        return 0
     ones = np.zeros(64, np.int64)
-    for a in range(0, n, 65536):  # a long text in parts
-        hashes = np.array([digest(joined[i:j], 42) for i, j in zip(starts[a : a + 65536], stops[a : a + 65536], strict=True)], np.uint64)
-        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(2 * ones > n, bitorder="little").view(np.uint64)[0])
+    for a in range(0, len(hashes), 65536):  # a long text in parts
+        ones += np.unpackbits(hashes[a : a + 65536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0])
+
+
+def fingerprint(text: bytes, shingle: int) -> int:
+    """64 bits of a text, lower-cased from A to Z."""
+    return print_of(shingles(text, shingle))
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -127,50 +143,51 @@ def parts_of(fps: np.ndarray, radius: int) -> Iterator[np.ndarray]:
             yield np.concatenate(members)
 
 
+def whole_runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[np.ndarray]:
+    """Sorted rows of whole numbers, cut only where the first columns, so many as keys, change."""
+    held: list[np.ndarray] = []
+    for batch in batches:
+        rows = np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns], 1)
+        if not len(rows):
+            continue
+        cut = np.flatnonzero((rows[:, :keys] != rows[-1, :keys]).any(1))
+        cut = int(cut[-1]) + 1 if len(cut) else 0
+        if held and (cut or (held[-1][-1, :keys] != rows[0, :keys]).any()):
+            yield np.concatenate([*held, rows[:cut]])
+            held = [rows[cut:]]
+        elif held:
+            held.append(rows)
+        else:
+            if cut:
+                yield rows[:cut]
+            held = [rows[cut:]]
+    if held:
+        yield np.concatenate(held)
+
+
 def bucket_links(entries: DataFrame, radius: int) -> DataFrame:
     """(a, b) of labels: a star for each connected part of a bucket, over the labels in it.
 
     Buckets are runs of equal (t, key) in sorted partitions.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-
-        def links(rows: np.ndarray) -> pa.RecordBatch:
-            new = np.r_[True, (rows[1:, :2] != rows[:-1, :2]).any(1)]
-            at = np.flatnonzero(new)
-            size = np.diff(np.r_[at, len(rows)])
-            fps, labels = np.ascontiguousarray(rows[:, 2]).view(np.uint64), rows[:, 3]
-            twos = at[size == 2]
-            near = twos[(np.bitwise_count(fps[twos] ^ fps[twos + 1]) <= radius) & (labels[twos] != labels[twos + 1])]
-            a, b = [labels[near]], [labels[near + 1]]
-            for s, n in zip(at[size > 2].tolist(), size[size > 2].tolist(), strict=True):
-                for members in parts_of(fps[s : s + n], radius):
-                    own = np.unique(labels[s + members])
-                    a.append(own[1:])
-                    b.append(np.full(len(own) - 1, own[0]))
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (a, b)], names=["a", "b"])
-
-        for batch in batches:
-            rows = np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns], 1)
-            if not len(rows):
-                continue
-            cut = np.flatnonzero((rows[:, :2] != rows[-1, :2]).any(1))
-            cut = int(cut[-1]) + 1 if len(cut) else 0
-            if held and (cut or (held[-1][-1, :2] != rows[0, :2]).any()):
-                yield links(np.concatenate([*held, rows[:cut]]))
-                held = [rows[cut:]]
-            elif held:
-                held.append(rows)
-            else:
-                if cut:
-                    yield links(rows[:cut])
-                held = [rows[cut:]]
-        if held:
-            yield links(np.concatenate(held))
+    def links(rows: np.ndarray) -> pa.RecordBatch:
+        new = np.r_[True, (rows[1:, :2] != rows[:-1, :2]).any(1)]
+        at = np.flatnonzero(new)
+        size = np.diff(np.r_[at, len(rows)])
+        fps, labels = np.ascontiguousarray(rows[:, 2]).view(np.uint64), rows[:, 3]
+        twos = at[size == 2]
+        near = twos[(np.bitwise_count(fps[twos] ^ fps[twos + 1]) <= radius) & (labels[twos] != labels[twos + 1])]
+        a, b = [labels[near]], [labels[near + 1]]
+        for s, n in zip(at[size > 2].tolist(), size[size > 2].tolist(), strict=True):
+            for members in parts_of(fps[s : s + n], radius):
+                own = np.unique(labels[s + members])
+                a.append(own[1:])
+                b.append(np.full(len(own) - 1, own[0]))
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (a, b)], names=["a", "b"])
 
     dealt = entries.repartition("t", "key").sortWithinPartitions("t", "key")
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.mapInArrow(lambda batches: map(links, whole_runs(batches, 2)), "a long, b long")
 
 
 def links(distinct: DataFrame, radius: int) -> DataFrame:
@@ -254,39 +271,144 @@ def similar(a: pa.Array, b: pa.Array, shingle: pa.Array, least: pa.Array) -> pa.
     return pa.array([one(x, y, n, s) for x, y, n, s in zip(utf8(a), utf8(b), shingle.to_pylist(), least.to_pylist(), strict=True)], pa.bool_())
 
 
-def keep_one(docs: DataFrame, shingle: int = 5, radius: int = 6, similarity: float = 0.8, rounds: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def common_shingles(docs: DataFrame, shingle: int, text_col: str) -> np.ndarray:
+    """Hashes of the shingles that many texts have, the rarest first, by a count over a part of the texts.
+
+    They only choose the order in which shingles are asked for, never the result.
+    """
+    rows = docs.select(F.col(text_col).alias("text")).filter(F.pmod(F.xxhash64("text"), F.lit(ASKED)) == 0).distinct()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in (p for batch in batches for p in pieces_of(batch)):
+            for t in utf8(b.column(0)):
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(shingles(t, shingle)).view(np.int64))], names=["h"])
+
+    counted = store(rows.mapInArrow(run, "h long").groupBy("h").count().filter(F.col("count") >= COMMON), "near-common")
+    total, least = 0, None
+    for r in sorted(counted.groupBy("count").agg(F.count("*").alias("n")).collect(), reverse=True):
+        total += r["n"]
+        if total > MOST_COMMON:
+            break
+        least = r["count"]
+    found = sorted((r["count"], r["h"]) for r in counted.filter(F.col("count") >= least).collect()) if least else []
+    return np.array([h for _, h in found], np.int64).view(np.uint64)
+
+
+def asked_shingles(hashes: np.ndarray, common: np.ndarray, rank: np.ndarray, similarity: float) -> np.ndarray:
+    """The first of a set of shingles in an order that all texts share; similar sets have one of these in common.
+
+    Sets x and y of that similarity share at least ceil(similarity * n) of the n shingles of either, so they cannot
+    miss each other within the first n - ceil(similarity * n) + 1. common is sorted, rank is its places in the order.
+    """
+    n = len(hashes)
+    late = np.zeros(n, np.int64)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
+        late = np.where(common[at] == hashes, rank[at] + 1, 0)
+    return hashes[np.lexsort((hashes, late))[: n - math.ceil(similarity * n - 1e-9) + 1]]
+
+
+def near_prints(docs: DataFrame, shingle: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
+    """(id, fp, digest, n, asked) of every document: n different shingles, of which those asked for are given."""
+    rows = docs.select(F.col(id_col).alias("id"), F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("digest"), F.col(text_col).alias("text"))
+    found = common_shingles(docs, shingle, text_col)
+    by = np.argsort(found)
+    common, nothing = found[by], np.array([xxhash.xxh64_intdigest(b"", 42)], np.uint64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in (p for batch in batches for p in pieces_of(batch)):
+            fps, sizes, asked = [], [], []
+            for t in utf8(b.column(2)):
+                hashes = shingles(t, shingle)
+                fps.append(print_of(hashes))
+                own = np.unique(hashes) if len(hashes) else nothing
+                sizes.append(len(own))
+                asked.append(asked_shingles(own, common, by, similarity).view(np.int64))
+            fps = np.array(fps, np.uint64).view(np.int64)
+            lists = pa.ListArray.from_arrays(np.r_[0, np.cumsum([len(x) for x in asked])].astype(np.int32), pa.array(np.concatenate([*asked, np.empty(0, np.int64)])))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps), b.column(1), pa.array(sizes, pa.int32()), lists], names=["id", "fp", "digest", "n", "asked"])
+
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, fp long, digest string, n int, asked array<long>")
+
+
+def met(rows: DataFrame) -> DataFrame:
+    """(h, n, node, pos) without the shingles that only one text asks for, stored."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for r in whole_runs(batches, 1):
+            same = r[1:, 0] == r[:-1, 0]
+            r = r[np.r_[False, same] | np.r_[same, False]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(r[:, k])) for k in range(4)], names=["h", "n", "node", "pos"])
+
+    return store(rows.repartition("h").sortWithinPartitions("h").mapInArrow(run, "h long, n long, node long, pos long"), "near-met")
+
+
+def proposed(rows: DataFrame, similarity: float, every: bool) -> DataFrame:
+    """(a, b) of texts of different labels that ask for the same shingle: neighbours by size, or every pair that can be similar.
+
+    rows: (h, n, node, pos, label). Sizes too different, or too few shingles after the shared ones, rule a pair out.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for r in whole_runs(batches, 1):
+            h, n, node, pos, label = (np.ascontiguousarray(r[:, k]) for k in range(5))
+            at, step = np.arange(len(r) - 1), 1
+            while len(at):
+                to = at + step
+                on = (h[at] == h[to]) & (n[at] >= similarity * n[to] - 1e-9)
+                at, to = at[on], to[on]
+                # a pair's first shared shingle leaves room for what they must share; at a later one it may be ruled out
+                room = 1 + np.minimum(n[at] - pos[at], n[to] - pos[to]) - 1 >= similarity / (1 + similarity) * (n[at] + n[to]) - 1e-9
+                apart = room & (label[at] != label[to])
+                pair = np.unique(np.sort(np.stack([node[at[apart]], node[to[apart]]], 1), axis=1), axis=0)
+                if len(pair):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pair[:, k])) for k in (0, 1)], names=["a", "b"])
+                if not every:
+                    break
+                step += 1
+                at = at[at + step < len(r)]
+
+    dealt = rows.select("h", "n", "node", "pos", "label").repartition("h").sortWithinPartitions("h", "n", "node")
+    return store(dealt.mapInArrow(run, "a long, b long").distinct(), "near-proposed")
+
+
+def keep_one(docs: DataFrame, shingle: int = 5, radius: int = 6, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one document of each group of near copies, that with the smallest id.
 
-    Groups are components of fingerprints within the radius. Of a group's distinct texts, those whose word
-    shingles are similar to the first one's go; the rest get a new first, for a few rounds, and then stay, so
-    that no document goes that resembles none of those kept. Exact copies always go.
+    Groups are the components of links, and a link is a pair of texts whose word shingles were compared and are
+    similar enough; a group may drift, so that its ends are less similar. Every pair that is similar enough is
+    compared or already in one group: fingerprints within the radius gather large groups around one text each,
+    then texts of different groups meet at the shingles that they ask for, first neighbours by size, then all of
+    them. Exact copies always go. A null id comes after all others.
     """
     cols = docs.columns
-    place = store(groups(docs, shingle, radius, id_col, text_col), "near-place")
+    prints = store(near_prints(docs, shingle, similarity, id_col, text_col), "near-prints")
     # one row for each text: the smallest id that has it stands for it
-    texts = place.groupBy("digest").agg(F.min("id").alias("id"), F.min("component_id").alias("component_id"), F.count("*").alias("n"))
-    texts = store(texts, "near-texts")
-    many = texts.groupBy("component_id").agg(F.count("*").alias("texts")).filter("texts > 1").select("component_id")
-    unsure = store(texts.join(store(many, "near-many"), "component_id").select("component_id", "digest", "id"), "near-unsure")
-    gone: DataFrame | None = None
+    texts = prints.groupBy("digest").agg(F.min("id").alias("id"), F.count("*").alias("rows"), F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("asked").alias("asked"))
+    texts = store(texts.withColumn("node", F.monotonically_increasing_id()), "near-texts")
     key = F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
-    if unsure.limit(1).count():
-        bodies = docs.select(key.alias("digest"), F.col(text_col).alias("body")).join(unsure, "digest")
-        unsure = store(bodies.dropDuplicates(["digest"]).select("component_id", "digest", "id", "body"), "near-bodies")
-        for _ in range(rounds):
-            first = unsure.groupBy("component_id").agg(F.min(F.struct("id", "digest")).alias("first"))
-            first = store(first.select("component_id", F.col("first.digest").alias("first_digest")), "near-first")
-            lead = store(unsure.join(first, (unsure["component_id"] == first["component_id"]) & (F.col("digest") == F.col("first_digest"))).select(first["component_id"], "first_digest", F.col("body").alias("first_body")), "near-lead")
-            pairs = unsure.join(lead, "component_id").filter(F.col("digest") != F.col("first_digest"))
-            judged = store(pairs.select("component_id", "digest", "id", "body", similar("body", "first_body", F.lit(shingle), F.lit(similarity)).alias("same")), "near-judged")
-            out = judged.filter("same").select("digest")
-            gone = out if gone is None else gone.unionByName(out)
-            unsure = judged.filter("NOT same").drop("same")
-            if not unsure.limit(1).count():
-                break
+
+    def checked(pairs: DataFrame) -> DataFrame:
+        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(texts.select("node", "digest"), "node")
+        bodies = docs.select(key.alias("digest"), F.col(text_col).alias("body")).join(store(nodes, "near-nodes"), "digest")
+        bodies = store(bodies.dropDuplicates(["node"]).select("node", "body"), "near-bodies")
+        both = pairs.join(bodies.select(F.col("node").alias("a"), F.col("body").alias("x")), "a").join(bodies.select(F.col("node").alias("b"), F.col("body").alias("y")), "b")
+        return store(both.filter(similar("x", "y", F.lit(shingle), F.lit(similarity))).select("a", "b"), "near-links")
+
+    placed = store(texts.select("node", "fp").join(linked(prints.select("id", "fp"), radius), "fp").select("node", "component_id"), "near-place")
+    leads = placed.groupBy("component_id").agg(F.min("node").alias("lead"), F.count("*").alias("texts")).filter("texts > 1")
+    edges = checked(store(placed.join(leads, "component_id").filter("node > lead").select(F.col("lead").alias("a"), F.col("node").alias("b")), "near-leads"))
+    labels = components(edges)
+    rows = met(texts.select("n", "node", F.posexplode("asked").alias("pos", "h")).select("h", "n", "node", "pos"))
+    for every in (False, True):
+        apart = rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        edges = store(edges.unionByName(checked(proposed(apart, similarity, every))), "near-edges")
+        labels = components(edges)
+    grouped = texts.select("digest", "id", "rows", "node").join(labels, "node").select("label", "digest", F.struct(F.col("id").isNull().alias("no"), "id", "digest").alias("at"))
+    first = grouped.groupBy("label").agg(F.min("at").alias("first"))
+    gone = grouped.join(first, "label").filter(F.col("digest") != F.col("first.digest")).select("digest")
     # exact copies: the row with the smallest id stays; equal rows of that id are one row
-    keep = texts.select("digest", F.col("id").alias("__near_id"), F.col("n").alias("__near_n"))
-    keep = keep if gone is None else keep.join(store(gone, "near-gone"), "digest", "left_anti")
+    keep = texts.select("digest", F.col("id").alias("__near_id"), F.col("rows").alias("__near_n")).join(store(gone, "near-gone"), "digest", "left_anti")
     keep = store(keep.withColumnRenamed("digest", "__near_digest"), "near-keep")
     found = docs.join(keep, (key == F.col("__near_digest")) & F.col(id_col).eqNullSafe(F.col("__near_id")))
     single = found.filter("__near_n = 1").select(*cols)

@@ -108,6 +108,39 @@ def test_keep_one(docs, texts, none):
     assert simhash.keep_one(none).count() == 0 and simhash.groups(none).count() == 0
 
 
+def similarity_groups(rows, k=5, least=0.8):
+    """The smallest id of each component of pairs that are similar, by comparing all."""
+    sets = [{tuple(t.lower().split()[i : i + k]) for i in range(max(1, len(t.split()) - k + 1))} for _, t in rows]
+    top = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j]):
+                a, b = top[i], top[j]
+                top = [min(a, b) if x in (a, b) else x for x in top]
+    return sorted(rows[i][0] for i in set(top))
+
+
+@pytest.mark.parametrize("common", [True, False])
+def test_keep_one_finds_all_similar_pairs(spark, monkeypatch, common):
+    """Pairs near the threshold have fingerprints that are far apart; a shared passage makes many shingles common."""
+    if common:
+        monkeypatch.setattr(simhash, "ASKED", 1)
+    rng = random.Random(8)
+    words = [f"w{k}" for k in range(3000)]
+    passage = [rng.choice(words) for _ in range(60)]
+    rows = []
+    for k in range(60):
+        base = (passage if k % 3 == 0 else []) + [rng.choice(words) for _ in range(rng.randint(40, 160))]
+        other = base.copy()
+        for at in rng.sample(range(len(base)), max(1, len(base) // 55)):
+            other[at] = "new"
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(other))]
+    want = similarity_groups(rows)
+    assert 60 <= len(want) < 90
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOCS).repartition(3)
+    assert sorted(r["doc_id"] for r in simhash.keep_one(docs).collect()) == want
+
+
 # 2
 
 

@@ -110,6 +110,7 @@ def test_keep_one(docs, texts, none):
 
 def similarity_groups(rows, k=5, least=0.8):
     """The smallest id of each component of pairs that are similar, by comparing all."""
+    rows = sorted(rows)
     sets = [{tuple(t.lower().split()[i : i + k]) for i in range(max(1, len(t.split()) - k + 1))} for _, t in rows]
     top = list(range(len(rows)))
     for i in range(len(rows)):
@@ -141,6 +142,23 @@ def test_keep_one_finds_all_similar_pairs(spark, monkeypatch, common):
     assert sorted(r["doc_id"] for r in simhash.keep_one(docs).collect()) == want
 
 
+def test_keep_one_leaves_one_of_a_drifting_group(spark):
+    """Versions of which only neighbours are similar, and variants that are similar to their base alone."""
+    rng = random.Random(9)
+    chain, rows = [f"c{k}" for k in range(100)], []
+    for k in range(20):
+        rows.append((k, " ".join(chain)))
+        chain = chain.copy()
+        for at in (5 * k, 5 * k + 1):
+            chain[at] = f"new{at}"
+    base = [f"b{k}" for k in range(200)]
+    rows += [(100 + k, " ".join([*base[: 30 * k + 5], "x", *base[30 * k + 6 : 30 * k + 12], "y", "z", "z", *base[30 * k + 15 :]])) for k in range(6)] + [(110, " ".join(base))]
+    rng.shuffle(rows)
+    assert similarity_groups(rows) == [0, 100]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOCS)
+    assert sorted(r["doc_id"] for r in simhash.keep_one(docs).collect()) == [0, 100]
+
+
 # 2
 
 

@@ -35,8 +35,7 @@ from parlance.llm.common import slices, utf8
 
 MAGIC = b"PLT1"
 SHARD_TOKENS = 1_000_000
-MIN_USES = 8
-ROUNDS = 4
+MIN_USES = 6
 SLOT_BITS = 18
 #: Encodings that a worker keeps: of chunks, and of the parts that chunks are cut into. A full table is emptied.
 KEPT_CHUNKS = 800_000
@@ -100,35 +99,39 @@ def encoder(definition: str) -> ChunkEncoder:
 
 
 def compress(seq: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(symbols, their document ends, rules as rows of two, expansion lengths) of ids with document ends."""
+    """(symbols, their document ends, rules as rows of two, expansion lengths) of ids with document ends.
+
+    Rounds go on until no pair has MIN_USES places that don't overlap. A pair of old symbols only gets rarer, and a
+    new pair lies at a replaced place, so a round looks only there and at pairs that were frequent before.
+    """
     rules, lengths = [np.empty((0, 2), np.int64)], [np.empty(0, np.int64)]
-    known, n_rules = np.ones(base, np.int64), 0
-    for _ in range(ROUNDS):
-        if len(seq) < 2 * MIN_USES:
-            break
-        key = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:].astype(np.uint64)
-        inside = ~last[:-1]
-        ordered = np.sort(key[inside])
-        at = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]]) if len(ordered) else np.empty(0, np.int64)
+    known, n_rules, size = np.ones(base, np.int64), 0, len(seq)
+    seq, last, dead = seq.copy(), last.copy(), np.zeros(size, bool)
+    after, before = np.arange(1, size + 1), np.arange(-1, size)  # replaced pairs are skipped, not cut out
+    slot = lambda k: (k * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)
+    live = np.flatnonzero(~last[:-1])
+    while len(live) >= MIN_USES:
+        key = (seq[live].astype(np.uint64) << np.uint64(32)) | seq[after[live]].astype(np.uint64)
+        touch = after[live[:-1]] == live[1:]
+        # of the overlapping places of a pair of equal symbols, every second one counts
+        run = np.maximum.accumulate(np.where(np.r_[True, ~touch | (key[1:] != key[:-1])], np.arange(len(live)), 0))
+        counted = (np.arange(len(live)) - run) % 2 == 0
+        ordered = np.sort(key[counted])
+        at = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
         counts = np.diff(np.r_[at, len(ordered)])
         often = counts >= MIN_USES
         if not often.any():
             break
-        pairs, counts = ordered[at[often]], counts[often]
-        by = np.argsort(counts, kind="stable")
-        pairs, counts = pairs[by], counts[by]
-        slot = lambda k: (k * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)
+        pairs = ordered[at[often]][np.argsort(counts[often], kind="stable")]
         which = np.full(1 << SLOT_BITS, -1, np.int64)
         which[slot(pairs)] = np.arange(len(pairs))  # of pairs that meet in a slot, the most frequent has it this round
         rule = which[slot(key)]
-        rule[(rule < 0) | (pairs[rule] != key) | ~inside] = -1
-        rank = np.where(rule >= 0, counts[rule], 0)
-        take = (rank > 0) & (rank > np.r_[0, rank[:-1]]) & (rank >= np.r_[rank[1:], 0])
+        hope = rule >= 0  # all places of a frequent pair, whether or not it has the slot
+        # the place in the order is the rank: the most frequent pair wins wherever it is, so every round gets on
+        rank = np.where(hope & counted & (pairs[rule] == key), rule + 1, 0)
+        take = (rank > 0) & (rank > np.r_[0, np.where(touch, rank[:-1], 0)]) & (rank > np.r_[np.where(touch, rank[1:], 0), 0])
         uses = np.bincount(rule[take], minlength=len(pairs))
         take &= uses[rule] >= MIN_USES
-        take_at = np.flatnonzero(take)
-        if not len(take_at):
-            break
         kept = np.flatnonzero(uses >= MIN_USES)
         number = np.zeros(len(pairs), np.int64)
         number[kept] = base + n_rules + np.arange(len(kept))
@@ -137,13 +140,18 @@ def compress(seq: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray,
         lengths.append(known[new].sum(1))
         known = np.r_[known, lengths[-1]]
         n_rules += len(kept)
-        seq, last = seq.copy(), last.copy()
-        seq[take_at] = number[rule[take_at]]
-        last[take_at] = last[take_at + 1]
-        stay = np.ones(len(seq), bool)
-        stay[take_at + 1] = False
-        seq, last = seq[stay], last[stay]
-    return seq, last, np.concatenate(rules), np.concatenate(lengths)
+        first = live[take]
+        second = after[first]
+        seq[first] = number[rule[take]]
+        last[first] = last[second]
+        dead[second] = True
+        after[first] = after[second]
+        before[after[first]] = first
+        ahead = before[first]
+        changed = np.concatenate([ahead[ahead >= 0], first])
+        live = np.unique(np.concatenate([live[hope], changed[~last[changed]]]))
+        live = live[~dead[live] & ~last[live]]
+    return seq[~dead], last[~dead], np.concatenate(rules), np.concatenate(lengths)
 
 
 def pack(ids: list[int | None], texts: list[bytes], end_id: int) -> bytes:

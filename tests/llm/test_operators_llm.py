@@ -202,6 +202,25 @@ def test_pair_grammar_random_access():
         tokenfile.Shard(b"none")
 
 
+def test_pair_grammar_leaves_no_frequent_pair():
+    """A long passage that many documents hold becomes one symbol; no pair stays that could be replaced often enough."""
+    rng = random.Random(7)
+    passage = [rng.randint(3, 40_000) for _ in range(200)]
+    texts = [passage if k % 2 else [rng.randint(3, 60) for _ in range(90)] for k in range(60)] + [[5, 6] * 50, [9] * 77]
+    s = tokenfile.Shard(tokenfile.pack(list(range(62)), [np.array(t, "<u4").tobytes() for t in texts], 2))
+    assert s.all().tolist() == [i for t in texts for i in [*t, 2]]
+    assert set(s.doc_symbols[1:60:2].tolist()) == {1}
+    uses, at = collections.Counter(), 0
+    for n in s.doc_symbols.tolist():
+        own, held = s.symbols[at : at + n].tolist(), {}
+        at += n
+        for k, pair in enumerate(zip(own, own[1:])):
+            if held.get(pair, -2) < k - 1:
+                uses[pair] += 1
+                held[pair] = k
+    assert max(uses.values()) < tokenfile.MIN_USES <= 6
+
+
 # 3
 
 

@@ -3,7 +3,7 @@
 Texts become token templates: numbers, units and names turn into typed placeholders, all else is lower-cased. A
 window of consecutive template tokens that a document shares with a benchmark item is a match, found by a hash
 join. Along one alignment of a document and an item, the values in the placeholders must agree: one item value
-always stands for one document value. That keeps re-parameterised questions (other numbers, other names, the
+always stands for one document value. Where they do not, only windows without changed values count. That keeps re-parameterised questions (other numbers, other names, the
 same text) and refuses chance agreement of templates. A document is contaminated by an item if consistent
 windows cover enough of the item's tokens.
 
@@ -125,11 +125,13 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
     bound = F.transform(bound, lambda x: F.struct(F.lower(x["was"]).alias("was"), F.lower(x["now"]).alias("now")))
     hits = hits.select("doc_id", "text_hash", "item_id", "item_tokens", "names", (F.col("pos") - F.col("item_pos")).alias("shift"), "item_pos", bound.alias("bound"))
     # one alignment has each item position once, so a group is no larger than an item
-    lines = hits.groupBy("doc_id", "text_hash", "item_id", "item_tokens", "names", "shift").agg(
-        F.collect_set("item_pos").alias("starts"), F.array_distinct(F.flatten(F.collect_set("bound"))).alias("bound")
-    )
-    values = F.size(F.array_distinct(F.transform("bound", lambda x: x["was"])))
-    lines = lines.filter(values == F.size("bound"))
+    whole = hits.groupBy("doc_id", "text_hash", "item_id", "item_tokens", "names", "shift").agg(F.collect_set(F.struct("item_pos", "bound")).alias("hit"))
+    bindings = F.array_distinct(F.flatten(F.transform("hit", lambda h: h["bound"])))
+    consistent = F.size(F.array_distinct(F.transform(bindings, lambda x: x["was"]))) == F.size(bindings)
+    # where values disagree, windows that hold the item's own values still count
+    same = F.filter("hit", lambda h: F.forall(h["bound"], lambda x: x["was"] == x["now"]))
+    whole = whole.withColumn("hit", F.when(consistent, F.col("hit")).otherwise(same)).filter(F.size("hit") > 0)
+    lines = whole.withColumn("starts", F.transform("hit", lambda h: h["item_pos"])).withColumn("bound", F.array_distinct(F.flatten(F.transform("hit", lambda h: h["bound"]))))
     changed = F.size(F.filter("bound", lambda x: x["was"] != x["now"]))
     spans = F.flatten(F.transform("starts", lambda p: F.sequence(p, p + (params.window - 1))))
     pairs = lines.withColumn("spans", F.array_distinct(spans)).withColumn("changed", changed).groupBy("doc_id", "text_hash", "item_id", "item_tokens").agg(

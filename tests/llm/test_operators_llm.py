@@ -241,6 +241,16 @@ def test_decontamination(spark, none):
     assert {(r["doc_id"], r["item_id"]) for r in big.collect()} == set(got)
 
 
+def test_decontamination_keeps_unchanged_windows(spark):
+    item = "a shop sells 2 apples at the early market before noon and later in the long cold winter evening the owner gives away 2 pears to the children who wait near the old stone bridge"
+    rows = [(1, item.replace("2 pears", "7 pears")), (2, item.replace("2 apples", "3 apples").replace("2 pears", "7 pears")), (3, item)]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOCS)
+    bench = spark.createDataFrame([(10, item)], "item_id long, text string")
+    got = {r["doc_id"]: (r["covered_tokens"], r["item_tokens"], r["slots_changed"]) for r in decontam.matches(docs, bench).collect()}
+    assert set(got) == {1, 2, 3} and got[3][0] == got[3][1] and got[3][2] == 0
+    assert got[1][0] < got[1][1] and got[1][2] == got[2][2] == 0
+
+
 # 4
 
 

@@ -35,7 +35,6 @@ KINDS = ("assign", "access", "hex", "owned")
 @dataclass(frozen=True)
 class Params:
     bare_least: int = 16
-    bare_most: int = 256
     #: A value in more repositories or with more owners than this is a copied example.
     max_repos: int = 2
     max_owners: int = 2
@@ -93,7 +92,7 @@ def candidates(docs: DataFrame, id_col: str, text_col: str, repo_col: str, owner
         "hex": matches(text, rf"[0-9a-f]{{{HEX_LEAST},}}"),
         "owned": F.filter(
             matches(text, rf"[A-Za-z0-9+/_-]{{{params.bare_least},}}"),
-            lambda m: (F.length(m["value"]) <= params.bare_most) & m["value"].rlike("[0-9].*[0-9]") & m["value"].rlike("[A-Za-z].*[A-Za-z]"),
+            lambda m: m["value"].rlike("[0-9].*[0-9]") & m["value"].rlike("[A-Za-z].*[A-Za-z]"),
         ),
     }
 

@@ -291,6 +291,15 @@ def test_secrets(spark, none):
     assert secrets.scan(none).count() == 0
 
 
+def test_long_bare_secrets(spark):
+    rng = random.Random(11)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    own, common = ("".join(rng.choice(alphabet) for _ in range(n)) for n in (1200, 900))
+    docs = spark.createDataFrame([(1, f"key {own} end", None, "o1/r", 1), *[(k, f"key {common} end", None, f"o{k}/r", 1) for k in (2, 3, 4)]], DOCS)
+    got = {r["doc_id"]: r["text"] for r in secrets.redact(docs).collect()}
+    assert got == {1: "key <secret:owned> end", **{k: f"key {common} end" for k in (2, 3, 4)}}
+
+
 # 6
 
 

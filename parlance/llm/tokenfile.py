@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -66,7 +67,7 @@ class ChunkEncoder:
         self.parts: dict[str, bytes] = {}
 
     def _packed(self, ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return array("I", ids).tobytes()
 
     def _chunk(self, chunk: bytes) -> bytes:
         text = chunk.decode()
@@ -106,8 +107,8 @@ def compress(seq: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray,
     """
     rules, lengths = [np.empty((0, 2), np.int64)], [np.empty(0, np.int64)]
     known, n_rules, size = np.ones(base, np.int64), 0, len(seq)
-    seq, last, dead = seq.copy(), last.copy(), np.zeros(size, bool)
-    after, before = np.arange(1, size + 1), np.arange(-1, size)  # replaced pairs are skipped, not cut out
+    seq, last, dead, again = seq.astype(np.uint32), last.copy(), np.zeros(size, bool), np.zeros(size, bool)
+    after, before = np.arange(1, size + 1, dtype=np.int32), np.arange(-1, size, dtype=np.int32)  # replaced pairs are skipped, not cut out
     slot = lambda k: (k * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)
     live = np.flatnonzero(~last[:-1])
     while len(live) >= MIN_USES:
@@ -149,8 +150,10 @@ def compress(seq: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray,
         before[after[first]] = first
         ahead = before[first]
         changed = np.concatenate([ahead[ahead >= 0], first])
-        live = np.unique(np.concatenate([live[hope], changed[~last[changed]]]))
-        live = live[~dead[live] & ~last[live]]
+        again[live[hope]] = again[changed] = True
+        again &= ~dead & ~last
+        live = np.flatnonzero(again)
+        again[live] = False
     return seq[~dead], last[~dead], np.concatenate(rules), np.concatenate(lengths)
 
 

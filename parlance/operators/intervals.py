@@ -64,10 +64,16 @@ def best_overlap(pairs: DataFrame, keys: list[str]) -> DataFrame:
     return pairs.groupBy(*keys).agg(F.min(order).alias("best")).select(*keys, F.col("best.speaker").alias("speaker"))
 
 
-def contained(regions: DataFrame, groups: DataFrame) -> DataFrame:
-    """Regions that lie wholly inside a group of their recording (group columns: g_no, g0_s, g1_s)."""
+def contained(regions: DataFrame, groups: DataFrame, bin_s: float = 60.0) -> DataFrame:
+    """Regions that lie wholly inside a group of their recording (group columns: g_no, g0_s, g1_s).
+
+    Groups are laid out over time bins; a region asks the bin of its start.
+    """
+    width = int(bin_s * 1_000_000)
+    laid = groups.withColumn("_bin", F.explode(F.sequence(F.floor(micros(F.col("g0_s")) / width).cast("long"), F.floor(F.greatest(micros(F.col("g1_s")), micros(F.col("g0_s"))) / width).cast("long"))))
+    asked = regions.withColumn("_bin", F.floor(micros(F.col("start_s")) / width).cast("long"))
     inside = (micros(F.col("start_s")) >= micros(F.col("g0_s"))) & (micros(F.col("end_s")) <= micros(F.col("g1_s")))
-    return regions.join(groups, "recording_id").filter(inside)
+    return asked.join(laid, ["recording_id", "_bin"]).filter(inside).drop("_bin")
 
 
 def islands(df: DataFrame, keys: list[str], order: list[str], breaks: Column, name: str = "island") -> DataFrame:
@@ -124,24 +130,32 @@ def non_speech_regions(regions: DataFrame, totals: DataFrame, min_gap_s: float =
 def vad_groups(regions: DataFrame, max_s: float = 30.0, max_gap_s: float = 3.0) -> DataFrame:
     """Greedy grouping of regions: a group grows while it stays within max_s and the gap stays below max_gap_s.
 
-    A fold over each recording's ordered regions, in the engine. Yields (recording_id, g_no, regions, g0_s, g1_s).
+    Where a gap is max_gap_s or more a group ends whatever came before, so recordings are first cut there; only these
+    runs are gone through in order. Yields (recording_id, g_no, regions, g0_s, g1_s).
     """
     most, gap = int(max_s * 1_000_000), int(max_gap_s * 1_000_000)
-    row = F.struct("pos", micros(F.col("start_s")).alias("a"), micros(F.col("end_s")).alias("b"))
-    per = regions.groupBy("recording_id").agg(F.array_sort(F.collect_list(row)).alias("rows"))
-    empty = F.array().cast("array<struct<no:int,a:bigint,b:bigint>>")
-
-    def step(acc: Column, r: Column) -> Column:
-        stays = (F.size(acc["out"]) > 0) & (r["b"] - acc["start"] <= most) & (r["a"] - acc["end"] < gap)
-        no = F.when(F.size(acc["out"]) == 0, 0).when(stays, acc["no"]).otherwise(acc["no"] + 1)
-        return F.struct(
-            F.when(stays, acc["start"]).otherwise(r["a"]).alias("start"), r["b"].alias("end"), no.alias("no"),
-            F.concat(acc["out"], F.array(F.struct(no.alias("no"), r["a"].alias("a"), r["b"].alias("b")))).alias("out"),
-        )
-
-    zero = F.struct(F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("end"), F.lit(0).alias("no"), empty.alias("out"))
-    rows = per.select("recording_id", F.explode(F.aggregate("rows", zero, step, lambda a: a["out"])).alias("r"))
-    grouped = rows.groupBy("recording_id", F.col("r.no").alias("g_no")).agg(F.array_sort(F.collect_list(F.struct("r.a", "r.b"))).alias("rs"))
+    w = Window.partitionBy("recording_id").orderBy("pos")
+    r = regions.select("recording_id", "pos", micros(F.col("start_s")).alias("a"), micros(F.col("end_s")).alias("b"))
+    cut = islands(r, ["recording_id"], ["pos"], F.when(F.lag("b").over(w).isNotNull(), F.col("a") - F.lag("b").over(w) >= gap), "run")
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            part = []
+            for starts, ends in zip(b["a"], b["b"], strict=True):
+                no, first, out = 0, None, []
+                for x, y in zip(starts, ends, strict=True):
+                    if first is None or y - first > most:
+                        no, first = no + (first is not None), x
+                    out.append(no)
+                part.append(out)
+            yield pd.DataFrame({"recording_id": b["recording_id"], "run": b["run"], "a": b["a"], "b": b["b"], "part": part})
+
+    rows = cut.groupBy("recording_id", "run").agg(F.array_sort(F.collect_list(F.struct("pos", "a", "b"))).alias("rows"))
+    runs = rows.select("recording_id", "run", F.transform("rows", lambda x: x["a"]).alias("a"), F.transform("rows", lambda x: x["b"]).alias("b"))
+    each = runs.mapInPandas(fold, "recording_id string, run long, a array<long>, b array<long>, part array<int>")
+    each = each.select("recording_id", "run", F.posexplode(F.arrays_zip("a", "b", "part")).alias("k", "r")).select("recording_id", "run", "k", "r.*")
+    grouped = each.groupBy("recording_id", "run", "part").agg(F.array_sort(F.collect_list(F.struct("k", "a", "b"))).alias("rs"))
+    grouped = grouped.withColumn("g_no", F.row_number().over(Window.partitionBy("recording_id").orderBy("run", "part")) - 1)
     return grouped.select(
         "recording_id", "g_no", F.transform("rs", lambda r: F.struct((r["a"] / 1e6).alias("start_s"), (r["b"] / 1e6).alias("end_s"))).alias("regions"),
         (F.element_at("rs", 1)["a"] / 1e6).alias("g0_s"), (F.element_at("rs", -1)["b"] / 1e6).alias("g1_s"),
@@ -198,22 +212,37 @@ def fixed_windows(totals: DataFrame, max_s: float = 30.0, overlap_s: float = 2.0
     return rows.select("recording_id", "chunk_id", (a / 1e6).alias("start_s"), (b / 1e6).alias("end_s"), ((b - a) / 1e6).alias("duration_s"))
 
 
+def over_blocks(blocks: DataFrame, ranges: DataFrame, keys: list[str]) -> DataFrame:
+    """Blocks with every range (recording_id, start_s, end_s and keys) that they hold samples of: first and last sample cut to the block.
+
+    Ranges are laid out over block numbers, so that they meet their blocks by equality.
+    """
+    shape = blocks.groupBy("recording_id").agg(F.max(F.size("samples")).alias("_size"), F.max("sample_rate").alias("_rate")).filter("_size > 0")
+    r = ranges.select("recording_id", *keys, "start_s", "end_s").join(shape, "recording_id")
+    r = r.withColumns({"_a": F.floor(F.col("start_s") * F.col("_rate")).cast("long"), "_b": F.floor(F.col("end_s") * F.col("_rate")).cast("long")}).filter("_b > _a AND _b > 0")
+    first, last = F.floor(F.greatest(F.lit(0), F.col("_a")) / F.col("_size")).cast("int"), F.floor((F.col("_b") - 1) / F.col("_size")).cast("int")
+    laid = r.withColumn("block_no", F.explode(F.sequence(first, last))).select("recording_id", "block_no", *keys, "_a", "_b")
+    j = blocks.join(laid, ["recording_id", "block_no"])
+    lo = F.greatest(F.lit(0), F.col("_a") - F.col("start_sample")).cast("int")
+    hi = F.least(F.size("samples").cast("long"), F.col("_b") - F.col("start_sample")).cast("int")
+    return j.withColumn("samples", F.slice("samples", lo + 1, F.greatest(hi - lo, F.lit(0)))).filter(F.size("samples") > 0).drop("_a", "_b")
+
+
 def slice_samples(blocks: DataFrame, chunks: DataFrame) -> DataFrame:
     """Samples of each chunk from fixed blocks, in order: (recording_id, chunk_id, block_no, samples)."""
-    rate = F.col("sample_rate")
-    a, b = F.floor(F.col("start_s") * rate).cast("long"), F.floor(F.col("end_s") * rate).cast("long")
-    stop = F.col("start_sample") + F.size("samples")
-    pairs = blocks.join(chunks, "recording_id").filter((F.col("start_sample") < b) & (a < stop))
-    first = F.greatest(F.lit(0), a - F.col("start_sample")).cast("int")
-    last = F.least(F.size("samples").cast("long"), b - F.col("start_sample")).cast("int")
-    return pairs.select("recording_id", "chunk_id", "block_no", "sample_rate", F.slice("samples", first + 1, last - first).alias("samples"))
-
-
-def frames_in_regions(frames: DataFrame, regions: DataFrame) -> DataFrame:
-    """frames (recording_id, t0, t1 in microseconds) with ``in_speech``: whether a frame starts inside a region."""
-    r = regions.select("recording_id", micros(F.col("start_s")).alias("r0"), micros(F.col("end_s")).alias("r1"))
-    keys = frames.select("recording_id", "t0").distinct()
-    hit = keys.join(r, "recording_id").filter((F.col("t0") >= F.col("r0")) & (F.col("t0") < F.col("r1"))).select("recording_id", "t0").distinct()
+    return over_blocks(blocks, chunks, ["chunk_id"]).select("recording_id", "chunk_id", "block_no", "sample_rate", "samples")
+
+
+def frames_in_regions(frames: DataFrame, regions: DataFrame, bin_s: float = 60.0) -> DataFrame:
+    """frames (recording_id, t0, t1 in microseconds) with ``in_speech``: whether a frame starts inside a region.
+
+    Regions are laid out over time bins and meet the frames of their bins by equality.
+    """
+    width = int(bin_s * 1_000_000)
+    r = regions.select("recording_id", micros(F.col("start_s")).alias("r0"), micros(F.col("end_s")).alias("r1")).filter("r1 > r0")
+    r = r.withColumn("bin", F.explode(F.sequence(F.floor(F.col("r0") / width).cast("long"), F.floor((F.col("r1") - 1) / width).cast("long"))))
+    keys = frames.select("recording_id", "t0").distinct().withColumn("bin", F.floor(F.col("t0") / width).cast("long"))
+    hit = keys.join(r, ["recording_id", "bin"]).filter((F.col("t0") >= F.col("r0")) & (F.col("t0") < F.col("r1"))).select("recording_id", "t0").distinct()
     return frames.join(hit.withColumn("in_speech", F.lit(True)), ["recording_id", "t0"], "left").withColumn("in_speech", F.coalesce("in_speech", F.lit(False)))
 
 

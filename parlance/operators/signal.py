@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parlance.functions.times import micros
+from parlance.operators.intervals import over_blocks
+from parlance.operators.quality import gap_class
 
 N_FFT, HOP = 2048, 1024
 
@@ -60,12 +62,21 @@ def frames(blocks: DataFrame, frame_s: float) -> DataFrame:
     return rows.select("recording_id", first.cast("long").alias("frame_no"), F.round((F.col("start_sample") + F.col("k") * F.col("size")) * 1e6 / F.col("sample_rate")).cast("long").alias("t0"), power.alias("power"))
 
 
+def percentiles(values: DataFrame, shares: tuple[float, ...], digits: int = 6) -> DataFrame:
+    """(recording_id, p: array, n) with interpolated percentiles of ``v``, from counts of values rounded to some digits.
+
+    Equal values of a recording are counted first, so what meets is no more than the different ones.
+    """
+    counts = values.groupBy("recording_id", F.round("v", digits).alias("v")).agg(F.count("*").alias("k"))
+    p = counts.groupBy("recording_id").agg(F.percentile("v", F.array(*map(F.lit, shares)), F.col("k")).alias("p"), F.sum("k").alias("n"))
+    return p.select("recording_id", "p", "n")
+
+
 def percentile_snr(fr: DataFrame, least: int = 5, margin_db: float = 15.0) -> DataFrame:
     """Per recording: P75 minus P25 of the frames' level, and the share of frames well above P25."""
-    level = fr.select("recording_id", db(F.sqrt("power"), 1e-9).alias("db"))
-    p = level.groupBy("recording_id").agg(F.percentile("db", F.array(F.lit(0.25), F.lit(0.75))).alias("p"), F.count("*").alias("n"))
-    floor = p.select("recording_id", "n", F.col("p")[0].alias("p25"), F.col("p")[1].alias("p75"))
-    above = level.join(floor, "recording_id").groupBy("recording_id", "n", "p25", "p75").agg((100 * F.avg((F.col("db") > F.col("p25") + margin_db).cast("int"))).alias("pct"))
+    level = fr.select("recording_id", db(F.sqrt("power"), 1e-9).alias("v"))
+    floor = percentiles(level, (0.25, 0.75)).select("recording_id", "n", F.col("p")[0].alias("p25"), F.col("p")[1].alias("p75"))
+    above = level.join(floor, "recording_id").groupBy("recording_id", "n", "p25", "p75").agg((100 * F.avg((F.col("v") > F.col("p25") + margin_db).cast("int"))).alias("pct"))
     enough = F.col("n") >= least
     return above.select("recording_id", F.when(enough, F.col("p75") - F.col("p25")).otherwise(0.0).alias("snr_db"), F.when(enough, F.col("pct")).otherwise(0.0).alias("speech_pct"), "p25")
 
@@ -155,26 +166,51 @@ def spectra(blocks: DataFrame) -> DataFrame:
 
 
 def mean_spectrum(blocks: DataFrame) -> DataFrame:
-    """(recording_id, bin, magnitude): the mean over all frames."""
-    s = spectra(blocks)
-    return s.select("recording_id", "frames", F.posexplode("magnitude").alias("bin", "m")).groupBy("recording_id", "bin").agg((F.sum("m") / F.sum("frames")).alias("magnitude"))
+    """(recording_id, magnitude: array): the mean over all frames, one number a bin."""
+    s = spectra(blocks).select("recording_id", "frames", "magnitude")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sums: dict[str, list] = {}
+            for rid, n, m in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                held = sums.setdefault(rid, [0, 0.0])
+                held[0], held[1] = held[0] + n, held[1] + np.array(m)
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array([v[0] for v in sums.values()], pa.int64()), pa.array([v[1] for v in sums.values()], pa.list_(pa.float64()))], names=["recording_id", "frames", "magnitude"])
+
+    # blocks of a recording are added up within a batch, then the few sums that are left
+    part = s.mapInArrow(run, "recording_id string, frames long, magnitude array<double>")
+    add = part.groupBy("recording_id").agg(F.sum("frames").alias("n"), F.collect_list("magnitude").alias("ms"))
+    total = F.aggregate("ms", F.array_repeat(F.lit(0.0), N_FFT // 2 + 1), lambda t, m: F.zip_with(t, m, lambda x, y: x + y))
+    return add.select("recording_id", F.transform(total, lambda x: x / F.col("n")).alias("magnitude"))
 
 
 def roll_off(spectrum: DataFrame, rates: DataFrame, share: float = 0.85) -> DataFrame:
     """First frequency at which the cumulated energy reaches a share of all; 0 without energy."""
-    e = spectrum.withColumn("e", F.col("magnitude") * F.col("magnitude"))
-    w = Window.partitionBy("recording_id")
-    c = e.withColumns({"c": F.sum("e").over(w.orderBy("bin")), "t": F.sum("e").over(w)})
-    b = c.groupBy("recording_id").agg(F.min(F.when(F.col("c") >= share * F.col("t"), F.col("bin"))).alias("bin"), F.max("t").alias("t"))
-    return b.join(rates, "recording_id").select("recording_id", F.when(F.col("t") < 1e-10, 0.0).otherwise(F.col("bin") * F.col("sample_rate") / N_FFT).alias("spectral_rolloff_hz"))
+    shape = spectrum.select("recording_id", _spectrum_shape(F.col("magnitude"), F.lit(share), F.lit(20.0)).alias("s"))
+    return shape.join(rates, "recording_id").select("recording_id", (F.col("s.roll_off") * F.col("sample_rate") / N_FFT).alias("spectral_rolloff_hz"))
 
 
 def bandwidth(spectrum: DataFrame, rates: DataFrame, below_db: float = 20.0) -> DataFrame:
     """Between the first and last frequency within 20 dB of the spectrum's peak; 0 without energy."""
-    w = Window.partitionBy("recording_id")
-    level = spectrum.withColumn("db", 20 * F.log10(F.col("magnitude") + 1e-10)).withColumns({"top": F.max("db").over(w), "m": F.max("magnitude").over(w)})
-    b = level.groupBy("recording_id").agg(F.max(F.when(F.col("db") >= F.col("top") - below_db, F.col("bin"))).alias("hi"), F.min(F.when(F.col("db") >= F.col("top") - below_db, F.col("bin"))).alias("lo"), F.max("m").alias("m"))
-    return b.join(rates, "recording_id").select("recording_id", F.when(F.col("m") < 1e-10, 0.0).otherwise((F.col("hi") - F.col("lo")) * F.col("sample_rate") / N_FFT).alias("effective_bandwidth_hz"))
+    shape = spectrum.select("recording_id", _spectrum_shape(F.col("magnitude"), F.lit(0.85), F.lit(below_db)).alias("s"))
+    return shape.join(rates, "recording_id").select("recording_id", (F.col("s.width") * F.col("sample_rate") / N_FFT).alias("effective_bandwidth_hz"))
+
+
+SHAPE = T.StructType([T.StructField("roll_off", T.DoubleType()), T.StructField("width", T.DoubleType())])
+
+
+@F.arrow_udf(SHAPE)
+def _spectrum_shape(magnitude: pa.Array, share: pa.Array, below_db: pa.Array) -> pa.Array:
+    """Bins of the roll-off and of the width, from one spectrum an entry."""
+    rolls, widths = [], []
+    for m, p, d in zip(magnitude.to_pylist(), share.to_pylist(), below_db.to_pylist(), strict=True):
+        m = np.array(m or [0.0])
+        e = np.cumsum(m * m)
+        rolls.append(0.0 if e[-1] < 1e-10 else float(np.argmax(e >= p * e[-1])))
+        level = 20 * np.log10(m + 1e-10)
+        near = np.flatnonzero(level >= level.max() - d)
+        widths.append(0.0 if m.max() < 1e-10 else float(near[-1] - near[0]))
+    return pa.StructArray.from_arrays([pa.array(rolls, pa.float64()), pa.array(widths, pa.float64())], SHAPE.names)
 
 
 @F.arrow_udf(T.DoubleType())
@@ -229,14 +265,9 @@ def speaker_metrics(blocks: DataFrame, turns: DataFrame) -> DataFrame:
 
 def speaker_audio(blocks: DataFrame, turns: DataFrame) -> DataFrame:
     """Blocks of each speaker's own samples, in turn order, renumbered as recordings ``recording/speaker``."""
-    rate = F.col("sample_rate")
-    t = turns.select("recording_id", "speaker_id", "turn_no", "start_s", "end_s")
-    j = blocks.join(t, "recording_id").withColumns({"a": F.floor(F.col("start_s") * rate).cast("long"), "b": F.floor(F.col("end_s") * rate).cast("long")})
-    j = j.filter((F.col("start_sample") < F.col("b")) & (F.col("a") < F.col("start_sample") + F.size("samples")))
-    first = F.greatest(F.lit(0), F.col("a") - F.col("start_sample")).cast("int")
-    last = F.least(F.size("samples").cast("long"), F.col("b") - F.col("start_sample")).cast("int")
+    held = over_blocks(blocks, turns, ["speaker_id", "turn_no"])
     rid = F.concat_ws("/", "recording_id", "speaker_id")
-    cut = j.select(rid.alias("recording_id"), "turn_no", "block_no", "sample_rate", F.slice("samples", first + 1, last - first).alias("samples"))
+    cut = held.select(rid.alias("recording_id"), "turn_no", "block_no", "sample_rate", "samples")
     w = Window.partitionBy("recording_id").orderBy("turn_no", "block_no")
     before = F.coalesce(F.sum(F.size("samples")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return cut.select("recording_id", (F.row_number().over(w) - 1).alias("block_no"), before.alias("start_sample"), "sample_rate", "samples")
@@ -253,3 +284,19 @@ def energy_regions(blocks: DataFrame, frame_s: float = 0.02, margin_db: float =
     isle = loud.withColumn("k", F.sum(new.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     r = isle.groupBy("recording_id", "k").agg((F.min("t0") / 1e6).alias("start_s"), ((F.max("t0") + step) / 1e6).alias("end_s"))
     return r.select("recording_id", (F.col("k") - 1).cast("int").alias("pos"), "start_s", "end_s")
+
+
+def gap_classes(blocks: DataFrame, gaps: DataFrame) -> DataFrame:
+    """gaps (recording_id, start_s, end_s) with their level in dBFS, flatness and class, from their own samples.
+
+    A gap without samples is silence. The flatness is that of its first 2048 samples; every block gives that many at most.
+    """
+    keyed = gaps.select("recording_id", "start_s", "end_s", F.col("start_s").alias("gap_start"), F.col("end_s").alias("gap_end"))
+    parts = over_blocks(blocks, keyed, ["gap_start", "gap_end"])
+    sums = parts.groupBy("recording_id", F.col("gap_start").alias("start_s"), F.col("gap_end").alias("end_s")).agg(
+        F.sum(energy(F.col("samples"))).alias("e"), F.sum(F.size("samples")).alias("n"), F.array_sort(F.collect_list(F.struct("block_no", F.slice("samples", 1, N_FFT).alias("x")))).alias("heads")
+    )
+    first = F.slice(F.flatten(F.transform("heads", lambda h: h["x"])), 1, N_FFT)
+    measured = sums.select("recording_id", "start_s", "end_s", db(F.sqrt(F.col("e") / F.col("n")), 1e-12).alias("rms_dbfs"), flatness(first).alias("flatness"))
+    out = gaps.join(measured, ["recording_id", "start_s", "end_s"], "left").withColumns({"rms_dbfs": F.coalesce("rms_dbfs", F.lit(-120.0)), "flatness": F.coalesce("flatness", F.lit(1.0))})
+    return out.withColumn("region_type", gap_class(F.col("rms_dbfs"), F.col("flatness"), F.lit(True)))

@@ -73,3 +73,19 @@ def wer(pred: Column, ref: Column, rule: str = "floor") -> Column:
 def pct(value: Column, digits: int = 1) -> Column:
     """A share as rounded per cent. Rounds halves up, as SQL does, where a binary float would go to even."""
     return F.round(value * 100, digits)
+
+
+def pct_even(value: Column, digits: int = 1) -> Column:
+    """A share as per cent, rounded by the binary value's own digits, exact halves to even.
+
+    How far the value is above the half between two results is summed over powers of two, the largest first; every
+    one of these sums is exact in a double.
+    """
+    x = value * 100
+    low = F.floor(x * 10**digits)
+    above = -(2 * low + 1).cast("double")
+    for bit in range((2 * 10**digits).bit_length() - 1, -1, -1):
+        if 2 * 10**digits >> bit & 1:
+            above = above + x * float(1 << bit)
+    up = (above > 0) | ((above == 0) & (low % 2 == 1))
+    return (low + up.cast("long")) / 10**digits

@@ -75,12 +75,30 @@ def capped(df: DataFrame, cap: int, groups: list[str], key: str, done: DataFrame
 
 
 def by_hash(key: str, seed: int = 42) -> list[Column]:
-    """A fixed random-looking order of rows."""
-    return [F.xxhash64(F.col(key), F.lit(seed)), F.col(key)]
+    """A fixed random-looking order of rows, which other engines can follow: the MD5 of seed and key as text, then the key."""
+    return [F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")).cast("binary")), F.col(key)]
+
+
+def first_by_hash(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
+    """The first n rows in hash order: all below a hash bound, which counts of hash ranges give, and what the bound's own range lacks.
+
+    Counting by the hash's first 16 bits gives at most 65,536 numbers; only the rows of one of these ranges are sorted.
+    """
+    h = df.withColumn("_h", by_hash(key, seed)[0]).withColumn("_top", F.left("_h", F.lit(4)))
+    upto, edge, room = 0, None, 0
+    for r in sorted(h.groupBy("_top").count().collect()):
+        if upto + r["count"] > n:
+            edge, room = r["_top"], n - upto
+            break
+        upto += r["count"]
+    if edge is None:
+        return df
+    below = h.filter(F.col("_top") < edge)
+    return below.unionByName(h.filter(F.col("_top") == edge).orderBy("_h", key).limit(room)).drop("_h", "_top")
 
 
 def random_sample(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
-    return df.orderBy(*by_hash(key, seed)).limit(n)
+    return first_by_hash(df, n, key, seed)
 
 
 def even_sample(df: DataFrame, n: int, groups: list[str], key: str, seed: int = 42, order: list[Column | str] | None = None) -> DataFrame:
@@ -115,7 +133,7 @@ def stratified_split(df: DataFrame, k: int, groups: list[str], key: str, seed: i
 def dev_split(df: DataFrame, key: str, share: float = 0.1, seed: int = 42) -> DataFrame:
     """df with ``split``: a share of all rows, one at least, by hash order, drawn after missing files are dropped."""
     n = max(1, int(df.count() * share))
-    dev = random_sample(df.select(key), n, key, seed).withColumn("_dev", F.lit(True))
+    dev = first_by_hash(df.select(key), n, key, seed).withColumn("_dev", F.lit(True))
     return df.join(dev, key, "left").withColumn("split", F.when(F.col("_dev"), "dev").otherwise("train")).drop("_dev")
 
 

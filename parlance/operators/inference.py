@@ -51,6 +51,36 @@ def infer_rows(df: DataFrame, factory: Callable[[], Callable[[dict], Iterable[di
     return df.select(*dict.fromkeys([*keys, *inputs])).mapInPandas(run, full)
 
 
+def infer_batches(df: DataFrame, factory: Callable[[], Callable[[list[dict]], list[list[dict]]]], keys: list[str], inputs: list[str], schema: str, batch_size: int = 8) -> DataFrame:
+    """infer_rows for a model that takes batches and gives a list of rows for each row of one.
+
+    If a batch fails, its rows are tried one by one, so that one bad row costs only itself.
+    """
+    own = T.StructType.fromDDL(schema)
+    full = T.StructType([*[df.schema[k] for k in keys], *own.fields, T.StructField("error", T.StringType()), T.StructField("elapsed_s", T.DoubleType())])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = loaded(factory)
+
+        def tried(rows: list[dict]) -> list[dict]:
+            began = time.perf_counter()
+            try:
+                got = model([{c: r[c] for c in inputs} for r in rows])
+            except Exception as e:  # a model may fail in any way; the row says how
+                if len(rows) > 1:
+                    return [x for r in rows for x in tried([r])]
+                return [{k: rows[0][k] for k in keys} | {"error": f"{type(e).__name__}: {e}", "elapsed_s": 0.0}]
+            spent = (time.perf_counter() - began) / max(1, sum(map(len, got)))
+            return [{k: r[k] for k in keys} | x | {"error": None, "elapsed_s": spent} for r, found in zip(rows, got, strict=True) for x in found]
+
+        for batch in batches:
+            rows = batch.to_dict("records")
+            out = [x for k in range(0, len(rows), batch_size) for x in tried(rows[k : k + batch_size])]
+            yield pd.DataFrame(out, columns=full.names).astype(object).where(lambda x: x.notna(), None)
+
+    return df.select(*dict.fromkeys([*keys, *inputs])).mapInPandas(run, full)
+
+
 def infer_text(df: DataFrame, inputs: list[str], factory: Callable[[], Callable[[list[dict]], list[str]]], out: str, batch_size: int = 8) -> DataFrame:
     """df with the model's text for each row and an error column; the model gets small batches.
 

@@ -103,9 +103,9 @@ def with_footer(df: DataFrame, label: str, numeric: list[str], flag: str) -> Dat
     return df.select(*[F.col(c).cast("double").alias(c) if c in numeric else c for c in df.columns]).unionByName(row)
 
 
-def distribution(df: DataFrame, flag: str = "quality") -> DataFrame:
-    """Count and percentage of each flag that occurs, in the fixed order."""
-    n = df.groupBy(flag).agg(F.count("*").alias("n"))
+def distribution(df: DataFrame, flag: str = "quality", means: tuple[str, ...] = ()) -> DataFrame:
+    """Count, percentage and means of the named metrics of each flag that occurs, in the fixed order."""
+    n = df.groupBy(flag).agg(F.count("*").alias("n"), *[F.avg(c).alias(f"mean_{c}") for c in means])
     order = F.array_position(F.array(*map(F.lit, FLAGS)), F.col(flag))
     # a handful of flags: the window over them has no key because there is nothing to cut them by
     return n.withColumn("pct", F.round(100 * F.col("n") / F.sum("n").over(Window.partitionBy()), 1)).withColumn("ord", order)

@@ -106,8 +106,8 @@ def top_k(queries: DataFrame, items: DataFrame, block: list[str], distance: Colu
     return best.withColumn("rank", F.row_number().over(Window.partitionBy(query_id).orderBy("distance", item_id)))
 
 
-def model_matrix(models: DataFrame, audio: DataFrame, baseline: str | None = None) -> DataFrame:
-    """Every model with every file, the baseline first, duplicates dropped; models are a short list.
+def model_matrix(models: DataFrame, audio: DataFrame, baseline: str | None = None, most: int = 10_000) -> DataFrame:
+    """Every model with every file, the baseline first, duplicates dropped; more than ``most`` models are refused.
 
     Both lists keep their first occurrence's order (columns ``pos``).
     """
@@ -115,6 +115,8 @@ def model_matrix(models: DataFrame, audio: DataFrame, baseline: str | None = Non
     if baseline is not None:
         m = m.withColumn("m_pos", F.when(F.col("model_id") == baseline, -1).otherwise(F.col("m_pos")))
     a = audio.groupBy("audio_file").agg(F.min("pos").alias("a_pos"))
+    if m.limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} models")
     listed = m.agg(F.array_sort(F.collect_list(F.struct("m_pos", "model_id"))).alias("ms"))
     return a.join(F.broadcast(listed)).select("audio_file", "a_pos", F.explode("ms").alias("m")).select("m.model_id", "m.m_pos", "audio_file", "a_pos")
 
@@ -126,5 +128,6 @@ def comparison(runs: DataFrame, models: list[str]) -> DataFrame:
     return runs.groupBy("audio_file").pivot("model_id", models).agg(*cell)
 
 
-def language_histogram(detected: DataFrame) -> DataFrame:
-    return detected.groupBy("language").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "language")
+def language_histogram(detected: DataFrame, means: tuple[str, ...] = ()) -> DataFrame:
+    """Rows of each detected language, the most frequent first, with means of the named rates."""
+    return detected.groupBy("language").agg(F.count("*").alias("n"), *[F.avg(c).alias(f"mean_{c}") for c in means]).orderBy(F.desc("n"), "language")

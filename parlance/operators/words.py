@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from parlance.operators.inference import infer_rows
+from parlance.schemas import WORD
+
 UNSPACED = ("zho", "jpn", "kor")
 
 
@@ -35,3 +40,21 @@ def tighten(segments: DataFrame) -> DataFrame:
     apply = (n > 0) & (F.col("end_s") - F.col("start_s") >= 0.1) & ~F.col("language").isin(*UNSPACED)
     first, last = F.get("words", F.lit(0)), F.get("words", n - 1)
     return segments.withColumns({"start_s": F.when(apply, first["start_s"]).otherwise(F.col("start_s")), "end_s": F.when(apply, F.greatest("end_s", last["end_s"])).otherwise(F.col("end_s"))})
+
+
+def align(segments: DataFrame, factory: Callable[[], Callable[[dict], list[dict]]], inputs: tuple[str, ...] = ("raw_text", "language")) -> DataFrame:
+    """Segments with the words that an aligner finds, drawn in to them; where it fails or finds none, a segment stays.
+
+    The model gets recording_id, pos, start_s, end_s and the inputs, and gives rows of word, start_s, end_s and
+    confidence. ``align_error`` says why a segment stayed.
+    """
+    keys = ["recording_id", "pos"]
+
+    def words_of() -> Callable[[dict], list[dict]]:
+        model = factory()
+        return lambda row: [{"found": [(w["word"], w["start_s"], w["end_s"], w["confidence"]) for w in model(row)]}]
+
+    words_of.__qualname__ = f"{factory.__module__}.{factory.__qualname__}"  # a worker keeps models by name
+    got = infer_rows(segments, words_of, keys, [*keys, "start_s", "end_s", *inputs], f"found array<{WORD}>").select(*keys, "found", F.col("error").alias("align_error"))
+    out = segments.join(got, keys, "left")
+    return tighten(out.withColumn("words", F.when(F.size("found") > 0, F.col("found")).otherwise(F.col("words"))).drop("found"))

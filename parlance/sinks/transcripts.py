@@ -90,10 +90,21 @@ def srt(speech: DataFrame, use_translation: bool = True) -> DataFrame:
     return per.select("recording_id", F.array_join(F.transform("entries", lambda e, i: F.concat((i + 1).cast("string"), F.lit("\n"), e)), "\n").alias("value"))
 
 
-def write(path: str, meta: DataFrame, speech: DataFrame, gaps: DataFrame, fmt: str = "all", **options) -> list[str]:
-    """Write one format or all under ``format=`` folders; an unknown format writes nothing."""
+def write(path: str, meta: DataFrame, speech: DataFrame, gaps: DataFrame, fmt: str = "all", folders: bool = False, **options) -> list[str]:
+    """Write one format or all under ``format=`` folders; an unknown format writes nothing.
+
+    ``json`` has one transcript object a line. ``txt`` and ``srt`` have one object of recording_id and value a line, since
+    their texts have lines of their own. With ``folders`` every recording is a folder of plain text files instead, as a
+    person wants to open them; that is for a selection of recordings, not for millions.
+    """
     made = {"txt": lambda: text(meta, speech, gaps, **options), "json": lambda: json(meta, speech, gaps), "srt": lambda: srt(speech)}
     wanted = [f for f in FORMATS if fmt in (f, "all")]
     for f in wanted:
-        made[f]().write.mode("overwrite").partitionBy("recording_id").option("lineSep", "\n\n").text(f"{path}/format={f}")
+        rows, out = made[f](), f"{path}/format={f}"
+        if folders:
+            rows.write.mode("overwrite").partitionBy("recording_id").option("lineSep", "\n\n").text(out)
+        elif f == "json":
+            rows.select("value").write.mode("overwrite").text(out)
+        else:
+            rows.select(F.to_json(F.struct("recording_id", "value")).alias("value")).write.mode("overwrite").text(out)
     return wanted

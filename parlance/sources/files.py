@@ -61,8 +61,10 @@ def not_finished(keys: DataFrame, outputs: DataFrame) -> DataFrame:
 
 def assets(files: DataFrame, stems: DataFrame) -> DataFrame:
     """Per stem its recordings, sorted, and its first transcript document."""
-    s = F.lower(F.col("stem"))
-    j = stems.join(files, F.lower("name").startswith(s))
+    # a name is cut at every length that a stem has (a few), so that stems and files meet by equality
+    lengths = sorted(r[0] for r in stems.select(F.length("stem")).distinct().collect() if r[0])
+    cut = files.withColumn("_key", F.explode(F.array(*[F.lower(F.substring("name", 1, n)) for n in lengths]).cast("array<string>")))
+    j = stems.withColumn("_key", F.lower("stem")).join(cut.distinct(), "_key")
     return j.groupBy("stem").agg(
         F.array_sort(F.collect_set(F.when(F.col("name").endswith(".m4a") & F.col("name").startswith(F.col("stem")), F.col("path")))).alias("audio"),
         F.min(F.when(F.lower("name").endswith(".docx") & F.lower("name").contains("ranscription"), F.col("path"))).alias("document"),

@@ -20,23 +20,24 @@ def json_lines(spark: SparkSession, path: str, schema: str = schemas.PAIRS, stri
     return spark.read.schema(schema).option("mode", "FAILFAST" if strict else "DROPMALFORMED").json(path)
 
 
-def transcripts(spark: SparkSession, path: str) -> DataFrame:
-    """Transcript files with two texts: raw ones joined, and corrected ones (else translated-from, else plain) joined."""
-    t = spark.read.schema(schemas.TRANSCRIPT).option("multiLine", True).json(path).withColumn("file", F.col("_metadata.file_name"))
+def transcripts(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Transcript files, or one a line, with two texts: raw ones joined, and corrected ones (else translated-from, else plain) joined."""
+    t = spark.read.schema(schemas.TRANSCRIPT).option("multiLine", not lines).json(path).withColumn("file", F.col("_metadata.file_name"))
     join = lambda pick: F.array_join(F.filter(F.transform("segments", lambda s: F.trim(pick(s))), lambda x: x.isNotNull() & (x != "")), " ")
     filled = lambda c: F.nullif(F.trim(c), F.lit(""))
     return t.select("file", "metadata", "segments", join(lambda s: s["raw_text"]).alias("raw"), join(lambda s: F.coalesce(filled(s["corrected_text"]), filled(s["raw_text"]), s["text"])).alias("text"))
 
 
-def mic_report(spark: SparkSession, path: str) -> DataFrame:
-    """File rows of a nested microphone report."""
+def mic_report(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """File rows of nested microphone reports, a file each or one a line."""
     schema = f"mic_summaries array<struct<mic_name:string,files:array<struct<{schemas.struct(schemas.FILE_METRICS).simpleString()[7:-1]}>>>>"
-    r = spark.read.schema(schema).option("multiLine", True).json(path)
+    r = spark.read.schema(schema).option("multiLine", not lines).json(path)
     return r.select(F.explode("mic_summaries").alias("m")).select(F.explode("m.files").alias("f")).select("f.*")
 
 
-def references(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("file string, transcript string").option("multiLine", True).json(path)
+def references(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """file and transcript of a list in a file, or of one object a line."""
+    return spark.read.schema("file string, transcript string").option("multiLine", not lines).json(path)
 
 
 def corpus(spark: SparkSession, path: str, columns: tuple[str, ...] = ("transcription", "raw_transcription")) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 WORDS = "array<struct<word:string,start_s:double,end_s:double,confidence:double>>"
@@ -12,6 +12,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ticks(c: str) -> Column:
+    """Seconds as whole tenths of a millisecond, cut where no time of whole or quarter microseconds lies."""
+    return F.floor(F.col(c) * 1e4 + 0.123).alias(c)
+
+
 def _timed(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     us = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', cast(ts as timestamp_ntz))")
@@ -57,10 +62,11 @@ def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def waveform(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Embeddings as 64 samples at 16 Hz in four blocks of 16."""
-    e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("string").alias("recording_id"), "embedding", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("block_no"))
-    return e.select("recording_id", "block_no", (F.col("block_no") * 16).cast("long").alias("start_sample"), F.lit(16).alias("sample_rate"), F.slice("embedding", F.col("block_no") * 16 + 1, F.lit(16)).alias("samples"))
+def waveform(spark: SparkSession, sf_dir: str, blocks: int = 4) -> DataFrame:
+    """Embeddings as 64 samples at 16 Hz in a few blocks. Spectra need blocks no shorter than their frames: one block."""
+    n = 64 // blocks
+    e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("string").alias("recording_id"), "embedding", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block_no"))
+    return e.select("recording_id", "block_no", (F.col("block_no") * n).cast("long").alias("start_sample"), F.lit(16).alias("sample_rate"), F.slice("embedding", F.col("block_no") * n + 1, F.lit(n)).alias("samples"))
 
 
 def interview_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,10 +88,22 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select(F.col("source").alias("src"), F.col("lang").alias("subsource"), F.col("doc_id").alias("id"), text.alias("text"), F.when(F.col("doc_id") % 17 != 0, F.length(text) / 600).alias("wps"), (F.col("doc_id") % 120 / 100).alias("wer"))
 
 
-def ascii_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Neighbouring documents that are plain ASCII, as references and hypotheses: (file, ref, hyp), 200 characters each."""
-    d = table(spark, sf_dir, "documents").filter("text IS NOT NULL AND octet_length(text) = length(text)").select("doc_id", F.left("text", F.lit(200)).alias("t"))
-    return d.join(d.select((F.col("doc_id") - 1).alias("doc_id"), F.col("t").alias("h")), "doc_id").select(F.col("doc_id").alias("file"), F.col("t").alias("ref"), F.col("h").alias("hyp"))
+def turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn of a conversation as reference, the turn after it as hypothesis, whole: (file, ref, hyp)."""
+    c = table(spark, sf_dir, "conversations").filter("text IS NOT NULL").select("conv_id", "turn", "text")
+    after = c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("hyp"))
+    return c.join(after, ["conv_id", "turn"]).select(F.concat_ws("/", "conv_id", "turn").alias("file"), F.col("text").alias("ref"), "hyp")
+
+
+def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversation turns as runs of speech models, one model for each place in a conversation; every seventh place fails."""
+    c = table(spark, sf_dir, "conversations")
+    failed = F.col("turn") % 7 == 3
+    return c.select(
+        F.col("turn").alias("pos"), F.concat(F.lit("m"), F.col("turn").cast("string")).alias("model_id"), F.col("conv_id").cast("string").alias("audio_file"),
+        F.when(~failed, F.col("text")).alias("transcript"), F.when(~failed, F.length("text") / 7).alias("elapsed_s"), F.when(failed, "timeout").alias("error"),
+        F.lit(None).cast("string").alias("translation"), F.when(F.col("conv_id") % 3 == 0, "eng").otherwise("fra").alias("language"),
+    )
 
 
 TIMED = "(SELECT event_id, user_id, event_type, value, epoch_us(ts) AS t0, epoch_us(ts) + CAST(floor(value * 6e8) AS BIGINT) AS t1 FROM events)"
@@ -102,5 +120,16 @@ FILES = """(SELECT CAST(conv_id AS VARCHAR) AS interview_key, CAST(conv_id AS VA
   turn * 60000000 AS t0, length(coalesce(text, '')) / 15.0::DOUBLE AS duration_s FROM conversations)"""
 PAIRS = """(SELECT source AS src, lang AS subsource, doc_id AS id, coalesce(text, '') AS text, CASE WHEN doc_id % 17 <> 0 THEN length(coalesce(text, '')) / 600.0::DOUBLE END AS wps,
   (doc_id % 120) / 100.0::DOUBLE AS wer FROM documents)"""
-ASCII = """(SELECT a.doc_id AS file, left(a.text, 200) AS ref, left(b.text, 200) AS hyp FROM documents a JOIN documents b ON b.doc_id = a.doc_id + 1
-  WHERE octet_length(encode(a.text)) = length(a.text) AND octet_length(encode(b.text)) = length(b.text))"""
+#: The other engine's edit distance counts bytes, so accented letters stand as one-byte marks on both sides.
+LETTERS = "éèÍÉßêçÇíÈÑüöÖóÓäÜÄÊñáÁúÚ"
+MARKS = " || ".join(f"chr({k})" for k in [*range(1, 9), *range(14, 32)][: len(LETTERS)])
+
+
+def narrow(c: str) -> str:
+    return f"translate({c}, '{LETTERS}', {MARKS})"
+
+
+TURN_PAIRS = f"""(SELECT a.conv_id || '/' || a.turn AS file, {narrow("a.text")} AS ref, {narrow("b.text")} AS hyp FROM conversations a JOIN conversations b ON b.conv_id = a.conv_id AND b.turn = a.turn + 1
+  WHERE a.text IS NOT NULL AND b.text IS NOT NULL)"""
+RUNS = """(SELECT turn AS pos, 'm' || turn AS model_id, CAST(conv_id AS VARCHAR) AS audio_file, CASE WHEN turn % 7 <> 3 THEN text END AS transcript, CASE WHEN turn % 7 <> 3 THEN length(text) / 7::DOUBLE END AS elapsed_s,
+  CASE WHEN turn % 7 = 3 THEN 'timeout' END AS error, CASE WHEN conv_id % 3 = 0 THEN 'eng' ELSE 'fra' END AS language FROM conversations)"""

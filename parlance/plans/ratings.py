@@ -27,10 +27,11 @@ def q_file_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_quality_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.distribution(rated(spark, sf_dir)).select("quality", "n", "pct")
+    d = quality.distribution(rated(spark, sf_dir), means=("duration_s", "snr_db", "pct"))
+    return d.select("quality", "n", "pct", *[F.round(f"mean_{c}", 4).alias(f"mean_{c}") for c in ("duration_s", "snr_db", "pct")])
 
 
-DISTRIBUTION_SQL = f"SELECT quality, count(*) AS n, round(100.0::DOUBLE * count(*) / sum(count(*)) OVER (), 1) AS pct FROM {RATED} GROUP BY quality"
+DISTRIBUTION_SQL = f"SELECT quality, count(*) AS n, round(100.0::DOUBLE * count(*) / sum(count(*)) OVER (), 1) AS pct, round(avg(duration_s), 4) AS mean_duration_s, round(avg(snr_db), 4) AS mean_snr_db, round(avg(pct), 4) AS mean_pct FROM {RATED} GROUP BY quality"
 
 
 def q_usable_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -129,13 +129,25 @@ SELECT recording_id, CAST(chunk_id AS INTEGER) AS chunk_id, chunk_id * 28000000
 
 
 def q_vad_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of documents as regions, grouped greedily; no plain SQL folds this way."""
+    """Lines of documents as regions, grouped greedily to chunks."""
     d = fx.table(spark, sf_dir, "documents").filter("text IS NOT NULL").select(F.col("doc_id").cast("string").alias("recording_id"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
     w = intervals.Window.partitionBy("recording_id").orderBy("pos").rowsBetween(intervals.Window.unboundedPreceding, -1)
     start = F.coalesce(F.sum(F.length("line") / 10 + F.col("pos") % 4).over(w), F.lit(0.0))
     r = d.select("recording_id", "pos", start.alias("start_s"), (start + F.length("line") / 10).alias("end_s"))
     t = r.groupBy("recording_id").agg((F.max("end_s") + 1).alias("total_s"))
-    return intervals.vad_chunks(r, t)
+    return intervals.vad_chunks(r, t).select("recording_id", "chunk_id", *[F.round(c, 4).alias(c) for c in ("start_s", "end_s", "duration_s")])
+
+
+VAD_SQL = """
+WITH RECURSIVE l AS (SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos, unnest(string_split(text, chr(10))) AS line FROM documents WHERE text IS NOT NULL),
+r AS (SELECT doc_id, pos, coalesce(sum(length(line) * 100000 + pos % 4 * 1000000) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS a, length(line) * 100000 AS d FROM l),
+g AS (SELECT doc_id, pos, a, a + d AS b, a AS first, 0 AS no FROM r WHERE pos = 0
+  UNION ALL SELECT r.doc_id, r.pos, r.a, r.a + r.d, CASE WHEN r.a + r.d - g.first <= 30000000 AND r.a - g.b < 3000000 THEN g.first ELSE r.a END,
+    CASE WHEN r.a + r.d - g.first <= 30000000 AND r.a - g.b < 3000000 THEN g.no ELSE g.no + 1 END FROM g JOIN r ON r.doc_id = g.doc_id AND r.pos = g.pos + 1),
+t AS (SELECT doc_id, max(a + d) + 1000000 AS total FROM r GROUP BY doc_id),
+c AS (SELECT doc_id, no, greatest(0, min(a) - 200000) AS x, least(any_value(total), arg_max(b, pos) + 200000) AS y, min(a) AS s FROM g JOIN t USING (doc_id) GROUP BY ALL)
+SELECT CAST(doc_id AS VARCHAR) AS recording_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY s, no) - 1 AS INT) AS chunk_id, round(x / 1e6, 4) AS start_s, round(y / 1e6, 4) AS end_s, round((y - x) / 1e6, 4) AS duration_s FROM c
+"""
 
 
 def q_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,6 +172,6 @@ QUERIES = {
     "q_non_speech": (q_non_speech, NON_SPEECH_SQL),
     "q_recording_quality": (q_recording_quality, QUALITY_SQL),
     "q_fixed_windows": (q_fixed_windows, WINDOWS_SQL),
-    "q_vad_groups": (q_vad_groups, None),
+    "q_vad_groups": (q_vad_groups, VAD_SQL),
     "q_timestamps": (q_timestamps, TIMES_SQL),
 }

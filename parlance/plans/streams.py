@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parlance.operators import dataset
 from parlance.plans import fixtures as fx
 from parlance.plans.ratings import FLAG
+from parlance.storage import fresh_path
 from parlance.streaming import live
 
 
@@ -19,13 +19,80 @@ def q_stream_quality_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = F.col("event_id")
     clip = F.when(i % 10 == 0, i % 200 / 100.0).otherwise(i % 10 / 100.0)
     rows = events.select(F.col("ts").cast("timestamp").alias("ts"), (i * 7 % 400 / 10.0).alias("snr"), (i * 13 % 100).alias("speech_pct"), clip.alias("clip_pct"), (i * 11 % 45 - 60).alias("rms"))
-    name = f"quality_{uuid.uuid4().hex}"
-    query = live.quality_counts(rows, delay="1000 days").writeStream.format("memory").queryName(name).outputMode("complete").trigger(availableNow=True).start()
-    query.awaitTermination()
-    return spark.table(name).select(F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("hour"), "quality", "n")
+    out = fresh_path(spark, "quality-counts")
+    counts = live.quality_counts(rows, delay="1000 days")
+    live.write_latest(counts, out, fresh_path(spark, "quality-checkpoint")).awaitTermination()
+    return live.latest(spark, out).select(F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("hour"), "quality", "n")
 
 
 STREAM_SQL = f"""SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS hour, {FLAG} AS quality, count(*) AS n
 FROM (SELECT m.*, CAST(round(speech_ratio * 100) AS INT) AS pct, e.ts FROM {fx.METRICS} m JOIN events e ON m.file_path = CAST(e.event_id AS VARCHAR)) GROUP BY ALL"""
 
-QUERIES = {"q_stream_quality_counts": (q_stream_quality_counts, STREAM_SQL)}
+
+
+def _arriving(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"*{name}.parquet").parquet(sf_dir)
+
+
+def q_stream_new_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents through a step as they arrive, in two runs with one checkpoint: the second finds nothing new."""
+    out, checkpoint = fresh_path(spark, "new-documents"), fresh_path(spark, "new-checkpoint")
+    step = lambda df: df.select("doc_id", "source", F.md5(F.col("text").cast("binary")).alias("text"))
+    for _ in range(2):
+        live.process_new(_arriving(spark, sf_dir, "documents"), step, out, checkpoint).awaitTermination()
+    return spark.read.parquet(out).select("doc_id", "source", "text")
+
+
+def q_stream_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each source up to a cap as documents arrive, counting what earlier batches wrote; the cap is the feature."""
+    out = fresh_path(spark, "capped-documents")
+    step = lambda df, done: dataset.capped(df.select(F.col("source").alias("src"), F.col("doc_id").alias("id")), 25, ["src"], "id", done)
+    live.process_counting(_arriving(spark, sf_dir, "documents"), step, out, fresh_path(spark, "capped-checkpoint"), "src string, id long").awaitTermination()
+    return spark.read.parquet(out).select("src", "id")
+
+
+def q_stream_first_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated user and kind pairs within the watermark are dropped as events arrive."""
+    e = _arriving(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type")
+    out = fresh_path(spark, "first-visits")
+    live.process_new(live.without_repeats(e, ["user_id", "event_type"], "ts", "1000 days"), lambda df: df, out, fresh_path(spark, "visits-checkpoint")).awaitTermination()
+    return spark.read.parquet(out).select("user_id", "event_type").distinct()
+
+
+def q_stream_merged_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns merged as they arrive, with a closing row for every recording: the batch's result."""
+    e = _arriving(spark, sf_dir, "events")
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    rows = e.select(
+        F.col("user_id").cast("string").alias("recording_id"), F.col("event_id").cast("int").alias("pos"), F.concat(F.lit("S"), (F.col("event_id") % 2).cast("string")).alias("speaker_id"), F.lit("eng").alias("language"),
+        (us / 1e6).alias("start_s"), ((us + F.floor(F.col("value") * 6e8)) / 1e6).alias("end_s"), F.col("event_type").alias("raw_text"),
+    )
+    # the last place closes a recording, so it is given with every row and counts once
+    close = e.select(F.col("user_id").cast("string").alias("recording_id"), F.lit(2**31 - 1).alias("pos"), F.lit(None).cast("string").alias("speaker_id"), F.lit("eng").alias("language"), F.lit(0.0).alias("start_s"), F.lit(0.0).alias("end_s"), F.lit("").alias("raw_text"))
+    key, mine = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, mine)
+    try:
+        out = fresh_path(spark, "merged-turns")
+        live.process_new(live.merge_turns(rows.unionByName(close)), lambda df: df, out, fresh_path(spark, "merged-checkpoint")).awaitTermination()
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+    m = spark.read.parquet(out)
+    return m.select("recording_id", F.col("pos").cast("long").alias("pos"), "speaker_id", "n_merged", F.md5(F.col("raw_text").cast("binary")).alias("text"))
+
+
+MERGED_SQL = f"""
+WITH r AS (SELECT CAST(user_id AS VARCHAR) AS recording_id, event_id AS pos, 'S' || event_id % 2 AS speaker_id, event_type AS txt, t0, t1 FROM {fx.TIMED}),
+b AS (SELECT *, (lag(speaker_id) OVER w IS DISTINCT FROM speaker_id OR t0 - lag(t1) OVER w > 500000)::INT AS new FROM r WINDOW w AS (PARTITION BY recording_id ORDER BY pos)),
+i AS (SELECT *, sum(new) OVER (PARTITION BY recording_id ORDER BY pos) AS k FROM b)
+SELECT recording_id, min(pos) AS pos, any_value(speaker_id) AS speaker_id, CAST(count(*) AS INT) AS n_merged, md5(string_agg(txt, ' ' ORDER BY pos)) AS text FROM i GROUP BY recording_id, k
+"""
+
+QUERIES = {
+    "q_stream_quality_counts": (q_stream_quality_counts, STREAM_SQL),
+    "q_stream_new_documents": (q_stream_new_documents, "SELECT doc_id, source, md5(text) AS text FROM documents"),
+    "q_stream_capped": (q_stream_capped, "SELECT source AS src, doc_id AS id FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS k FROM documents) WHERE k <= 25"),
+    "q_stream_first_visits": (q_stream_first_visits, "SELECT DISTINCT user_id, event_type FROM events"),
+    "q_stream_merged_turns": (q_stream_merged_turns, MERGED_SQL),
+}

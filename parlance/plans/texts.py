@@ -12,22 +12,22 @@ from parlance.plans import fixtures as fx
 
 
 def q_error_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = fx.ascii_pairs(spark, sf_dir)
+    p = fx.turn_pairs(spark, sf_dir)
     return p.select("file", char_distance(F.col("hyp"), F.col("ref")).cast("long").alias("edits"), F.round(cer(F.col("hyp"), F.col("ref")), 6).alias("cer"))
 
 
-RATES_SQL = f"SELECT file, CAST(levenshtein(hyp, ref) AS BIGINT) AS edits, round(levenshtein(hyp, ref) / greatest(length(ref), 1)::DOUBLE, 6) AS cer FROM {fx.ASCII}"
+RATES_SQL = f"SELECT file, CAST(levenshtein(hyp, ref) AS BIGINT) AS edits, round(levenshtein(hyp, ref) / greatest(length(ref), 1)::DOUBLE, 6) AS cer FROM {fx.TURN_PAIRS}"
 
 
 def q_word_error_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word distances; no built-in of the other engine counts them, so a test holds them against plain Python."""
-    p = fx.ascii_pairs(spark, sf_dir)
+    p = fx.turn_pairs(spark, sf_dir)
     return p.select("file", F.round(wer(F.col("hyp"), F.col("ref")), 6).alias("wer"))
 
 
 def q_system_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two systems of hypotheses: the neighbour, and the reference without its last ten characters."""
-    p = fx.ascii_pairs(spark, sf_dir)
+    p = fx.turn_pairs(spark, sf_dir)
     s = F.array(F.struct(F.lit("neighbour").alias("system"), F.col("hyp").alias("h")), F.struct(F.lit("cut").alias("system"), F.expr("left(ref, greatest(length(ref) - 10, 0))").alias("h")))
     rows = p.select("file", "ref", F.explode(s).alias("s")).select("file", "ref", "s.*")
     scores = rows.select("system", cer(F.col("h"), F.col("ref")).alias("cer"), F.lit(0.0).alias("wer"), char_distance(F.col("h"), F.col("ref")).alias("edits"), F.length("ref").alias("ref_chars"))
@@ -36,7 +36,7 @@ def q_system_means(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 MEANS_SQL = f"""
-WITH r AS (SELECT file, ref, 'neighbour' AS system, hyp AS h FROM {fx.ASCII} UNION ALL SELECT file, ref, 'cut', left(ref, greatest(length(ref) - 10, 0)) FROM {fx.ASCII}),
+WITH r AS (SELECT file, ref, 'neighbour' AS system, hyp AS h FROM {fx.TURN_PAIRS} UNION ALL SELECT file, ref, 'cut', left(ref, greatest(length(ref) - 10, 0)) FROM {fx.TURN_PAIRS}),
 s AS (SELECT system, levenshtein(h, ref) AS e, greatest(length(ref), 1) AS n, levenshtein(h, ref) / greatest(length(ref), 1)::DOUBLE AS c FROM r)
 SELECT system, count(*) AS n, round(avg(c), 6) AS macro_cer, round(sum(e) / sum(n)::DOUBLE, 6) AS micro_cer, round(list_sort(list(c))[CAST(count(*) // 2 AS INT) + 1], 6) AS median, round(min(c), 6) AS best, round(max(c), 6) AS worst
 FROM s GROUP BY system
@@ -44,20 +44,20 @@ FROM s GROUP BY system
 
 
 def q_better_or_worse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = fx.ascii_pairs(spark, sf_dir).select(cer(F.col("hyp"), F.col("ref")).alias("neighbour"), F.lit(0.8).alias("fixed"))
+    p = fx.turn_pairs(spark, sf_dir).select(cer(F.col("hyp"), F.col("ref")).alias("neighbour"), F.lit(0.8).alias("fixed"))
     return scoring.bands(p, "neighbour", "fixed")
 
 
-BANDS_SQL = f"""WITH d AS (SELECT (levenshtein(hyp, ref) / greatest(length(ref), 1)::DOUBLE - 0.8) * 100 AS d FROM {fx.ASCII})
+BANDS_SQL = f"""WITH d AS (SELECT (levenshtein(hyp, ref) / greatest(length(ref), 1)::DOUBLE - 0.8) * 100 AS d FROM {fx.TURN_PAIRS})
 SELECT count(*) FILTER (d < -1) AS better, count(*) FILTER (abs(d) <= 1) AS same, count(*) FILTER (d > 1) AS worse FROM d"""
 
 
 def q_strategy_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = fx.ascii_pairs(spark, sf_dir).select(cer(F.col("hyp"), F.col("ref")).alias("A"), F.round(cer(F.col("hyp"), F.col("ref")), 1).alias("B"), F.lit(0.8).alias("C"))
+    p = fx.turn_pairs(spark, sf_dir).select(cer(F.col("hyp"), F.col("ref")).alias("A"), F.round(cer(F.col("hyp"), F.col("ref")), 1).alias("B"), F.lit(0.8).alias("C"))
     return scoring.wins(p, ["A", "B", "C"])
 
 
-WINS_SQL = f"""WITH r AS (SELECT levenshtein(hyp, ref) / greatest(length(ref), 1)::DOUBLE AS a FROM {fx.ASCII}), s AS (SELECT a, round(a, 1) AS b, 0.8::DOUBLE AS c FROM r)
+WINS_SQL = f"""WITH r AS (SELECT levenshtein(hyp, ref) / greatest(length(ref), 1)::DOUBLE AS a FROM {fx.TURN_PAIRS}), s AS (SELECT a, round(a, 1) AS b, 0.8::DOUBLE AS c FROM r)
 SELECT CASE WHEN a <= b AND a <= c THEN 'A' WHEN b <= c THEN 'B' ELSE 'C' END AS system, count(*) AS wins FROM s GROUP BY ALL"""
 
 

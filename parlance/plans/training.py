@@ -68,6 +68,10 @@ def q_random_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dataset.random_sample(fx.pairs(spark, sf_dir), 100, "id").select("id", "src")
 
 
+ORDER = "md5('42:' || id), id"
+SAMPLE_SQL = f"SELECT id, src FROM {fx.PAIRS} ORDER BY {ORDER} LIMIT 100"
+
+
 def q_stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dataset.stratified_split(fx.pairs(spark, sf_dir), 10, KEYS, "id", order=["id"]).select("src", "subsource", "id", "split")
 
@@ -76,11 +80,11 @@ SPLIT_SQL = f"""SELECT src, subsource, id, CASE WHEN row_number() OVER (PARTITIO
 
 
 def q_dev_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A tenth in hash order; the other engine lacks the hash."""
-    return dataset.dev_split(fx.pairs(spark, sf_dir), "id").groupBy("split").agg(F.count("*").alias("n"))
+    """A tenth in hash order."""
+    return dataset.dev_split(fx.pairs(spark, sf_dir), "id").select("id", "split")
 
 
-DEV_SQL = "WITH n AS (SELECT count(*) AS n, greatest(1, CAST(floor(count(*) * 0.1) AS BIGINT)) AS d FROM documents) SELECT 'dev' AS split, d AS n FROM n UNION ALL SELECT 'train', n - d FROM n WHERE n > d"
+DEV_SQL = f"SELECT id, CASE WHEN row_number() OVER (ORDER BY {ORDER}) <= greatest(1, floor(count(*) OVER () * 0.1)) THEN 'dev' ELSE 'train' END AS split FROM {fx.PAIRS}"
 
 
 def q_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,16 +92,16 @@ def q_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labels as new values over a default for every second document."""
+    """Labels as new values over a default for every document."""
     from parlance.operators.quality import upsert_files
 
-    old = fx.table(spark, sf_dir, "documents").filter("doc_id % 2 = 0").select("doc_id", F.lit(-1).alias("quality"))
+    old = fx.table(spark, sf_dir, "documents").select("doc_id", F.lit(-1).alias("quality"))
     new = fx.table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").cast("int").alias("quality"))
     return upsert_files(old, new, ["doc_id"])
 
 
 UPSERT_SQL = """WITH n AS (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY doc_id)
-SELECT doc_id, CAST(quality AS INT) AS quality FROM n UNION ALL SELECT doc_id, -1 FROM documents WHERE doc_id % 2 = 0 AND doc_id NOT IN (SELECT doc_id FROM n)"""
+SELECT doc_id, CAST(quality AS INT) AS quality FROM n UNION ALL SELECT doc_id, -1 FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM n)"""
 
 
 def q_chat_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,7 +164,7 @@ QUERIES = {
     "q_resume": (q_resume, RESUME_SQL),
     "q_capped_sources": (q_capped_sources, CAPPED_SQL),
     "q_even_sample": (q_even_sample, EVEN_SQL),
-    "q_random_sample": (q_random_sample, None),
+    "q_random_sample": (q_random_sample, SAMPLE_SQL),
     "q_stratified_split": (q_stratified_split, SPLIT_SQL),
     "q_dev_split": (q_dev_split, DEV_SQL),
     "q_composition": (q_composition, f"SELECT src, subsource, count(*) AS n FROM {fx.PAIRS} GROUP BY ALL"),

@@ -63,12 +63,21 @@ SELECT recording_id, count(*) FILTER (m > 1e-10 AND power > 1.5 * m) AS plosive_
 
 
 def q_spectrum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Roll-off and bandwidth of the padded short waves; tests hold them against numpy."""
-    b = fx.waveform(spark, sf_dir)
+    """Roll-off and bandwidth of the short waves, padded to a frame."""
+    b = fx.waveform(spark, sf_dir, 1)
     s, r = signal.mean_spectrum(b), b.select("recording_id", "sample_rate").distinct()
     return signal.roll_off(s, r).join(signal.bandwidth(s, r), "recording_id")
 
 
+#: Magnitudes of the 64 samples padded to 2048.
+PADDED = f"""(SELECT recording_id, b, sqrt(pow(sum(v * cos(2 * pi() * b * (k - 1) / 2048)), 2) + pow(sum(v * sin(2 * pi() * b * (k - 1) / 2048)), 2)) AS m
+  FROM (SELECT recording_id, unnest(x) AS v, unnest(range(1, 65)) AS k FROM {WAVE}), (SELECT unnest(range(0, 1025)) AS b) GROUP BY ALL)"""
+SPECTRUM_SQL = f"""
+WITH s AS (SELECT *, sum(m * m) OVER (PARTITION BY recording_id ORDER BY b) AS c, sum(m * m) OVER (PARTITION BY recording_id) AS t, 20 * log10(m + 1e-10) AS db, max(20 * log10(m + 1e-10)) OVER (PARTITION BY recording_id) AS top FROM {PADDED})
+SELECT recording_id, min(b) FILTER (c >= 0.85 * t) * 16 / 2048::DOUBLE AS spectral_rolloff_hz, (max(b) FILTER (db >= top - 20) - min(b) FILTER (db >= top - 20)) * 16 / 2048::DOUBLE AS effective_bandwidth_hz FROM s GROUP BY recording_id
+"""
+
+
 def q_ctc_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of documents as frame ids by their length, repeats and blanks dropped."""
     d = fx.table(spark, sf_dir, "documents").select("doc_id", F.transform(F.split(F.coalesce("text", F.lit("")), " "), lambda w: F.length(w) % 6).alias("ids"))
@@ -86,6 +95,6 @@ QUERIES = {
     "q_percentile_snr": (q_percentile_snr, SNR_SQL),
     "q_region_power": (q_region_power, REGION_SQL),
     "q_spikes": (q_spikes, SPIKES_SQL),
-    "q_spectrum": (q_spectrum, None),
+    "q_spectrum": (q_spectrum, SPECTRUM_SQL),
     "q_ctc_collapse": (q_ctc_collapse, CTC_SQL),
 }

@@ -83,11 +83,12 @@ def full_name(code: Column, names: dict[str, str] | None = None) -> Column:
     return lookup(code, {r[0]: r[1].lower() for r in rows()} | (names or {}))
 
 
-def with_language(df: DataFrame, spark_registry: DataFrame, code_col: str = "language") -> DataFrame:
-    """df with its language's attributes; an unknown code gets defaults. The registry has some tens of rows."""
+def with_language(df: DataFrame, spark_registry: DataFrame, code_col: str = "language", broadcast_rows: int = 10_000) -> DataFrame:
+    """df with its language's attributes; an unknown code gets defaults. A registry of up to broadcast_rows is broadcast."""
     lang = spark_registry.select(F.col("code").alias("_code"), *[F.col(c).alias(f"_{c}") for c in ("name", "tier", "bcp47", "script", "nllb_code")])
     code = F.col(code_col)
-    out = df.join(F.broadcast(lang), code == F.col("_code"), "left")
+    small = lang.limit(broadcast_rows + 1).count() <= broadcast_rows
+    out = df.join(F.broadcast(lang) if small else lang, code == F.col("_code"), "left")
     return out.select(
         *[F.col(c) for c in df.columns],
         F.coalesce("_name", F.concat(F.lit("Unknown ("), code, F.lit(")"))).alias("language_name"),

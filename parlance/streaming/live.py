@@ -88,15 +88,22 @@ class MergeTurns(StatefulProcessor):
     """The exact merge: holds each recording's open row and emits it when the next one doesn't join it.
 
     Rows of one trigger are ordered by position; a recording's rows must arrive in order across triggers. A row
-    with a null speaker closes its recording.
+    with a null speaker closes its recording; with ``idle_s``, so does that much processing time without a row.
     """
 
-    def __init__(self, max_gap_s: float = 0.5):
+    def __init__(self, max_gap_s: float = 0.5, idle_s: float | None = None):
         self.gap = round(max_gap_s * 1_000_000)
+        self.idle_ms = None if idle_s is None else int(idle_s * 1000)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.open = handle.getValueState("open", MERGED)
 
+    def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[pd.DataFrame]:
+        held = [tuple(self.open.get())] if self.open.exists() else []
+        self.open.clear()
+        yield pd.DataFrame(held, columns=[c.split()[0] for c in MERGED.split(", ")])
+
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
         held = self.open.get() if self.open.exists() else None
         now = None if held is None else list(held)
@@ -114,16 +121,22 @@ class MergeTurns(StatefulProcessor):
                 if now is not None:
                     out.append(tuple(now))
                 now = [key[0], int(r.pos), r.speaker_id, r.language, float(r.start_s), float(r.end_s), r.raw_text, 1]
+        if self.idle_ms is not None:
+            for at in list(self.handle.listTimers()):
+                self.handle.deleteTimer(at)
         if now is None:
             self.open.clear()
         else:
             self.open.update(tuple(now))
+            if self.idle_ms is not None:
+                self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms)
         yield pd.DataFrame(out, columns=[c.split()[0] for c in MERGED.split(", ")])
 
     def close(self) -> None:
         pass
 
 
-def merge_turns(stream: DataFrame, max_gap_s: float = 0.5) -> DataFrame:
+def merge_turns(stream: DataFrame, max_gap_s: float = 0.5, idle_s: float | None = None) -> DataFrame:
     """Merged rows as they close. Needs the RocksDB state store."""
-    return stream.groupBy("recording_id").transformWithStateInPandas(MergeTurns(max_gap_s), MERGED, "Append", "None")
+    mode = "None" if idle_s is None else "ProcessingTime"
+    return stream.groupBy("recording_id").transformWithStateInPandas(MergeTurns(max_gap_s, idle_s), MERGED, "Append", mode)

@@ -1,3 +1,5 @@
+import time
+
 from pyspark.sql import functions as F
 
 from parlance import schemas
@@ -59,6 +61,22 @@ def test_exact_merge_equals_the_batch(spark, tmp_path):
     assert sorted((r["pos"], r["raw_text"], r["n_merged"]) for r in got.collect()) == sorted((r["pos"], r["raw_text"], r["n_merged"]) for r in batch.collect())
 
 
+def test_idle_recordings_are_closed(spark, tmp_path):
+    """Without a closing row, a recording's last row comes out once no row has arrived for a while."""
+    rows = [("r", 0, "A", "eng", 0.0, 1.0, "x"), ("r", 1, "A", "eng", 1.1, 2.0, "y"), ("r", 2, "B", "eng", 2.1, 3.0, "z")]
+    spark.createDataFrame(rows, TURN).coalesce(1).write.parquet(str(tmp_path / "in"))
+    merged = live.merge_turns(live.arriving(spark, str(tmp_path / "in"), TURN), idle_s=1.0)
+    query = merged.writeStream.format("memory").queryName("idle").outputMode("append").option("checkpointLocation", str(tmp_path / "c")).trigger(processingTime="1 second").start()
+    try:
+        for _ in range(60):
+            if spark.table("idle").count() == 2:
+                break
+            time.sleep(1)
+    finally:
+        query.stop()
+    assert sorted((r["speaker_id"], r["raw_text"]) for r in spark.table("idle").collect()) == [("A", "x y"), ("B", "z")]
+
+
 def test_sessions(spark):
     rows = spark.createDataFrame([("r", "A", "eng", 0.0, 1.0), ("r", "A", "eng", 0.3, 1.2), ("r", "A", "eng", 5.0, 6.0)], "recording_id string, speaker_id string, language string, start_s double, end_s double").withColumn("ts", F.timestamp_seconds("start_s"))
     assert sorted(r["n"] for r in live.session_turns(rows).collect()) == [1, 2]

@@ -6,33 +6,21 @@ exactly those six characters, and UTF-8 never uses their bytes inside another ch
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+import ctypes
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from parlance.storage import fresh_path
+
 #: The same words for Java's and RE2's regular expressions.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or a new one where it is unset."""
-    sc = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not base:
-        sc.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="spark-"))
-        base = sc.getCheckpointDir()
-    return base
-
-
-def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/parlance/{label}-{uuid.uuid4().hex}"
-
-
 def store(df: DataFrame, label: str) -> DataFrame:
     """Write df to the shared folder and read it again: lineage ends there, and a lost executor loses nothing."""
     path = fresh_path(df.sparkSession, label)
@@ -70,6 +58,13 @@ def slices(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
+def by_range(keys: np.ndarray, bits: int) -> tuple[list[int], list[slice]]:
+    """The ranges of 2**bits equal ones that sorted 64-bit keys fall in, and where each one's keys are: no more than keys."""
+    part = (keys >> np.uint64(64 - bits)).astype(np.int64)
+    at = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(part) else np.empty(0, np.int64)
+    return part[at].tolist(), [slice(a, b) for a, b in zip(at.tolist(), [*at[1:].tolist(), len(part)], strict=False)]
+
+
 def pieces_of(batch: pa.RecordBatch, size: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """A batch in slices of some MB, so that what a worker makes of one at a time stays small."""
     rows = max(1, batch.num_rows * size // max(1, batch.nbytes))
@@ -77,15 +72,41 @@ def pieces_of(batch: pa.RecordBatch, size: int = 2 << 20) -> Iterator[pa.RecordB
         yield batch.slice(a, rows)
 
 
-def with_struct(df: DataFrame, out: str, fields: T.StructType, fn: Callable[[pa.RecordBatch], pa.Array]) -> DataFrame:
-    """df and a struct column ``out`` that fn makes from each Arrow batch; a column of that name is replaced."""
+def trim() -> None:
+    """Give freed memory back to the system where the C library can: an idle worker otherwise keeps its largest size."""
+    release = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if release:
+        release(0)
+
+
+def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, and trim() when its task ends."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            trim()
+
+    return whole
+
+
+def with_struct(df: DataFrame, out: str, fields: T.StructType, fn: Callable[[pa.RecordBatch], pa.Array], done: Callable[[], None] = lambda: None) -> DataFrame:
+    """df and a struct column ``out`` that fn makes from each Arrow batch; a column of that name is replaced.
+
+    done is called when a task ends: workers are used again, and what they keep would stay beside the next stage.
+    """
     rest = df.drop(out)
     schema = T.StructType([*rest.schema.fields, T.StructField(out, fields)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in pieces_of(batch):
-                yield pa.RecordBatch.from_arrays([*part.columns, fn(part)], names=[*part.schema.names, out])
+        try:
+            for batch in batches:
+                for part in pieces_of(batch):
+                    yield pa.RecordBatch.from_arrays([*part.columns, fn(part)], names=[*part.schema.names, out])
+        finally:
+            done()
+            trim()
 
     return rest.mapInArrow(run, schema)
 

@@ -17,10 +17,11 @@ from __future__ import annotations
 
 import heapq
 import re
+from array import array
 from functools import lru_cache
-from itertools import chain
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -29,9 +30,9 @@ from parlance.llm.common import utf8, with_struct
 
 MARK = "▁"
 NORMAL, UNKNOWN, BYTE = 1, 2, 6
-#: Chunk encodings that a worker keeps; the table is emptied when it is full.
-KEPT_CHUNKS = 300_000
-KEPT_PAIRS = 500_000
+#: What a worker keeps: bytes of chunk encodings while it has a task, and pairs (130 bytes each). A full table is emptied.
+KEPT_BYTES = 64 << 20
+KEPT_PAIRS = 400_000
 
 
 class PieceCodec:
@@ -62,8 +63,9 @@ class PieceCodec:
         for c in {c for x in words for c in x} - set(self.token):
             self.token[c] = -1 - len(self.token)
         self.spelling = {i: x for x, i in self.token.items()}
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.chunks: dict[str, tuple[int, ...]] = {}
+        self.pairs: dict[int, bool] = {}
+        self.chunks: dict[str, bytes] = {}
+        self.held = 0
         self.automaton = ahocorasick.Automaton()
         for x, i in self.token.items():
             if len(x) == 1 or self._merged(x) == [x]:  # a piece that merging never makes is left out
@@ -99,7 +101,7 @@ class PieceCodec:
         if len(self.pairs) >= KEPT_PAIRS:
             self.pairs.clear()
         a, b = self.spelling[left], self.spelling[right]
-        ok = self.pairs[left, right] = self._merged(a + b) == [a, b]
+        ok = self.pairs[left << 32 ^ right] = self._merged(a + b) == [a, b]
         return ok
 
     def _table(self, text: str) -> list[int]:
@@ -116,7 +118,7 @@ class PieceCodec:
                 if left is None:
                     last[stop] = entry
                 else:
-                    ok = pairs.get((left[0], token))
+                    ok = pairs.get(left[0] << 32 ^ token)
                     if ok or ok is None and self._compatible(left[0], token):
                         last[stop] = entry
         ids: list[int] = []
@@ -138,16 +140,26 @@ class PieceCodec:
             marks -= 1
         return [self.piece[x] for x in self._merged(MARK * marks)] + ids
 
-    def encode(self, text: str) -> list[int]:
+    def packed(self, text: str) -> bytes:
+        """Ids as 32-bit integers."""
         if not text:
-            return []
+            return b""
         chunks = self.chunks
         cut = self.cut.findall(self.prefix + text.replace(" ", MARK))
-        if len(chunks) > KEPT_CHUNKS:
+        if self.held > KEPT_BYTES:
             chunks.clear()
+            self.held = 0
         for x in {x for x in cut if x not in chunks}:
-            chunks[x] = tuple(self._chunk(x))
-        return list(chain.from_iterable(map(chunks.__getitem__, cut)))
+            ids = chunks[x] = array("i", self._chunk(x)).tobytes()
+            self.held += 2 * len(x) + len(ids) + 200
+        return b"".join(map(chunks.__getitem__, cut))
+
+    def encode(self, text: str) -> list[int]:
+        return array("i", self.packed(text)).tolist()
+
+    def release(self) -> None:
+        """Forget the texts' chunks, so that an idle worker is small. Pairs stay: they are few, and dear to find again."""
+        self.chunks, self.held = {}, 0
 
     def decode(self, ids: list[int]) -> str:
         out: list[str] = []
@@ -209,7 +221,9 @@ def encode(docs: DataFrame, model: bytes, text_col: str = "text", out: str = "pi
 
     def run(batch: pa.RecordBatch) -> pa.Array:
         c = codec(model)
-        ids = [c.encode(t.decode()) for t in utf8(batch.column(batch.schema.get_field_index(text_col)))]
-        return pa.StructArray.from_arrays([pa.array(ids, pa.list_(pa.int32())), pa.array([c.decode(x) for x in ids], pa.string())], FIELDS.names)
+        packed = [c.packed(t.decode()) for t in utf8(batch.column(batch.schema.get_field_index(text_col)))]
+        ends = np.cumsum([0, *(len(x) // 4 for x in packed)])
+        ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(packed), np.int32)))
+        return pa.StructArray.from_arrays([ids, pa.array([c.decode(array("i", x)) for x in packed], pa.string())], FIELDS.names)
 
-    return with_struct(docs, out, FIELDS, run)
+    return with_struct(docs, out, FIELDS, run, lambda: codec(model).release())

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parlance.llm.common import pieces_of, store, utf8
+from parlance.llm.common import pieces_of, store, trimmed, utf8
 
 ALL = (1 << 64) - 1
 #: Fingerprints under one masked value beyond which it is masked again.
@@ -41,6 +41,8 @@ COUNTED = 8
 NEAR = 3
 #: Buckets cannot be large from this level on: their masks leave few bits open.
 LAST_LEVEL = 2
+#: Columns of a parity.
+PARITY = ("s0", "s1", "s2", "s3")
 #: One in so many texts is looked at for common shingles: those in COMMON of them or more, MOST_COMMON at most.
 ASKED = 16
 COMMON = 3
@@ -85,7 +87,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
             fps = np.array([fingerprint(t, shingle) for t in utf8(b.column(2))], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps), b.column(1)], names=["id", "fp", "digest"])
 
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, fp long, digest string")
+    return rows.mapInArrow(trimmed(run), f"id {rows.schema['id'].dataType.simpleString()}, fp long, digest string")
 
 
 def covering(open_bits: int, radius: int) -> list[int]:
@@ -283,7 +285,7 @@ def common_shingles(docs: DataFrame, shingle: int, text_col: str) -> np.ndarray:
             for t in utf8(b.column(0)):
                 yield pa.RecordBatch.from_arrays([pa.array(np.unique(shingles(t, shingle)).view(np.int64))], names=["h"])
 
-    counted = store(rows.mapInArrow(run, "h long").groupBy("h").count().filter(F.col("count") >= COMMON), "near-common")
+    counted = store(rows.mapInArrow(trimmed(run), "h long").groupBy("h").count().filter(F.col("count") >= COMMON), "near-common")
     total, least = 0, None
     for r in sorted(counted.groupBy("count").agg(F.count("*").alias("n")).collect(), reverse=True):
         total += r["n"]
@@ -308,8 +310,14 @@ def asked_shingles(hashes: np.ndarray, common: np.ndarray, rank: np.ndarray, sim
     return hashes[np.lexsort((hashes, late))[: n - math.ceil(similarity * n - 1e-9) + 1]]
 
 
+def parity(hashes: np.ndarray) -> np.ndarray:
+    """256 bits of a set of hashes: each flips one. Two sets differ in no fewer hashes than their bits differ."""
+    odd = np.bincount((hashes & np.uint64(255)).astype(np.int64), minlength=256) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view(np.int64)
+
+
 def near_prints(docs: DataFrame, shingle: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
-    """(id, fp, digest, n, asked) of every document: n different shingles, of which those asked for are given."""
+    """(id, fp, digest, n, bits, asked) of every document: n different shingles, their parity, and those asked for."""
     rows = docs.select(F.col(id_col).alias("id"), F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("digest"), F.col(text_col).alias("text"))
     found = common_shingles(docs, shingle, text_col)
     by = np.argsort(found)
@@ -317,18 +325,19 @@ def near_prints(docs: DataFrame, shingle: int, similarity: float, id_col: str, t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in (p for batch in batches for p in pieces_of(batch)):
-            fps, sizes, asked = [], [], []
+            fps, sizes, bits, asked = [], [], [], []
             for t in utf8(b.column(2)):
                 hashes = shingles(t, shingle)
                 fps.append(print_of(hashes))
                 own = np.unique(hashes) if len(hashes) else nothing
                 sizes.append(len(own))
+                bits.append(parity(own))
                 asked.append(asked_shingles(own, common, by, similarity).view(np.int64))
             fps = np.array(fps, np.uint64).view(np.int64)
             lists = pa.ListArray.from_arrays(np.r_[0, np.cumsum([len(x) for x in asked])].astype(np.int32), pa.array(np.concatenate([*asked, np.empty(0, np.int64)])))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps), b.column(1), pa.array(sizes, pa.int32()), lists], names=["id", "fp", "digest", "n", "asked"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps), b.column(1), pa.array(sizes, pa.int32()), pa.array(bits, pa.list_(pa.int64())), lists], names=["id", "fp", "digest", "n", "bits", "asked"])
 
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, fp long, digest string, n int, asked array<long>")
+    return rows.mapInArrow(trimmed(run), f"id {rows.schema['id'].dataType.simpleString()}, fp long, digest string, n int, bits array<long>, asked array<long>")
 
 
 def met(rows: DataFrame) -> DataFrame:
@@ -340,18 +349,21 @@ def met(rows: DataFrame) -> DataFrame:
             r = r[np.r_[False, same] | np.r_[same, False]]
             yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(r[:, k])) for k in range(4)], names=["h", "n", "node", "pos"])
 
-    return store(rows.repartition("h").sortWithinPartitions("h").mapInArrow(run, "h long, n long, node long, pos long"), "near-met")
+    return store(rows.repartition("h").sortWithinPartitions("h").mapInArrow(trimmed(run), "h long, n long, node long, pos long"), "near-met")
 
 
 def proposed(rows: DataFrame, similarity: float, every: bool) -> DataFrame:
     """(a, b) of texts of different labels that ask for the same shingle: neighbours by size, or every pair that can be similar.
 
-    rows: (h, n, node, pos, label). Sizes too different, or too few shingles after the shared ones, rule a pair out.
+    rows: (h, n, node, pos, label, and the parity's four parts). Sizes too different, too few shingles after the shared
+    ones, or parities that differ in more bits than the sets may differ in shingles, rule a pair out.
     """
+    most = (1 - similarity) / (1 + similarity)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in whole_runs(batches, 1):
             h, n, node, pos, label = (np.ascontiguousarray(r[:, k]) for k in range(5))
+            bits = np.ascontiguousarray(r[:, 5:]).view(np.uint64)
             at, step = np.arange(len(r) - 1), 1
             while len(at):
                 to = at + step
@@ -359,7 +371,8 @@ def proposed(rows: DataFrame, similarity: float, every: bool) -> DataFrame:
                 at, to = at[on], to[on]
                 # a pair's first shared shingle leaves room for what they must share; at a later one it may be ruled out
                 room = 1 + np.minimum(n[at] - pos[at], n[to] - pos[to]) - 1 >= similarity / (1 + similarity) * (n[at] + n[to]) - 1e-9
-                apart = room & (label[at] != label[to])
+                apart = np.flatnonzero(room & (label[at] != label[to]))
+                apart = apart[np.bitwise_count(bits[at[apart]] ^ bits[to[apart]]).sum(1, dtype=np.int64) <= most * (n[at[apart]] + n[to[apart]]) + 1e-9]
                 pair = np.unique(np.sort(np.stack([node[at[apart]], node[to[apart]]], 1), axis=1), axis=0)
                 if len(pair):
                     yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pair[:, k])) for k in (0, 1)], names=["a", "b"])
@@ -368,8 +381,8 @@ def proposed(rows: DataFrame, similarity: float, every: bool) -> DataFrame:
                 step += 1
                 at = at[at + step < len(r)]
 
-    dealt = rows.select("h", "n", "node", "pos", "label").repartition("h").sortWithinPartitions("h", "n", "node")
-    return store(dealt.mapInArrow(run, "a long, b long").distinct(), "near-proposed")
+    dealt = rows.select("h", "n", "node", "pos", "label", *PARITY).repartition("h").sortWithinPartitions("h", "n", "node")
+    return store(dealt.mapInArrow(trimmed(run), "a long, b long").distinct(), "near-proposed")
 
 
 def keep_one(docs: DataFrame, shingle: int = 5, radius: int = 6, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -384,7 +397,7 @@ def keep_one(docs: DataFrame, shingle: int = 5, radius: int = 6, similarity: flo
     cols = docs.columns
     prints = store(near_prints(docs, shingle, similarity, id_col, text_col), "near-prints")
     # one row for each text: the smallest id that has it stands for it
-    texts = prints.groupBy("digest").agg(F.min("id").alias("id"), F.count("*").alias("rows"), F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("asked").alias("asked"))
+    texts = prints.groupBy("digest").agg(F.min("id").alias("id"), F.count("*").alias("rows"), F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("asked").alias("asked"))
     texts = store(texts.withColumn("node", F.monotonically_increasing_id()), "near-texts")
     key = F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
 
@@ -400,8 +413,10 @@ def keep_one(docs: DataFrame, shingle: int = 5, radius: int = 6, similarity: flo
     edges = checked(store(placed.join(leads, "component_id").filter("node > lead").select(F.col("lead").alias("a"), F.col("node").alias("b")), "near-leads"))
     labels = components(edges)
     rows = met(texts.select("n", "node", F.posexplode("asked").alias("pos", "h")).select("h", "n", "node", "pos"))
+    bits = store(rows.select("node").distinct().join(texts.select("node", *[F.col("bits")[k].alias(c) for k, c in enumerate(PARITY)]), "node"), "near-bits")
     for every in (False, True):
-        apart = rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        placed = bits.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        apart = rows.join(placed, "node")
         edges = store(edges.unionByName(checked(proposed(apart, similarity, every))), "near-edges")
         labels = components(edges)
     grouped = texts.select("digest", "id", "rows", "node").join(labels, "node").select("label", "digest", F.struct(F.col("id").isNull().alias("no"), "id", "digest").alias("at"))

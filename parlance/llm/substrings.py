@@ -4,15 +4,16 @@ A window of ``window`` words repeats if the same words also start earlier: in a
 in the same document. Words that a repeating window covers are removed.
 
 Equal windows have the same least-hashed word group (their anchor) at the same place, so all windows that can be
-equal meet where their anchor is sent. For every anchor, its surroundings (every window that holds it) form a
-segment. Blocks of documents ask the partition that owns an anchor's hash range; it answers in the order of the
+equal meet where their anchor is sent. Word groups that many texts have come last in that order, so that a frequent
+passage gives no anchor to what surrounds it. The windows that choose an anchor form its segment. Blocks of documents ask the partition that owns an anchor's hash range; it answers in the order of the
 question whether a segment is an exact copy of an earlier one (all its windows repeat), the only one of its
 anchor (nothing repeats), or the first of its kind beside others. Only the last go on, once each, to shards by
 anchor. A shard builds an FM-index of its segments: suffix array, Burrows-Wheeler transform and a wavelet matrix
 of packed bits with block counts. Segments are streamed against it from right to left by backward search; where
 the matching statistics reach the threshold, the suffix interval's earliest occurrence says whether the window
 repeats. Anchors with more different segments than ``BUSY`` would make a shard grow: their windows are compared
-by hash in a plain aggregation instead, which Spark combines before it shuffles.
+by hash in a plain aggregation instead, which Spark combines before it shuffles. What is decided by hash (equal
+segments, windows of busy anchors) needs two independent 64-bit hashes to agree; words are not compared again.
 
 Defined results: null or empty texts have no words; equal rows are documents of their own, the later ones repeat
 the first; null ids come after all others; other columns are left out; an empty table gives an empty table.
@@ -33,9 +34,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parlance.llm.common import discard, store, utf8
+from parlance.llm.common import by_range, discard, store, utf8
 
-BLOCK_WORDS = 1_500_000
+#: A block is full at so many words, bytes of text or texts.
+BLOCK_WORDS, BLOCK_BYTES, BLOCK_TEXTS = 1_500_000, 64 << 20, 1 << 20
 #: Words of an anchor.
 GRAM = 5
 #: Different segments of one anchor beyond which its windows are compared by hash.
@@ -43,16 +45,23 @@ BUSY = 2_000
 #: First places of hashed windows are broadcast up to this many rows (about 50 bytes each).
 BROADCAST_ROWS = 200_000
 PARTITION_ANCHORS = 400_000
+#: One in so many texts is looked at for common word groups: those in COMMON of them or more, MOST_COMMON at most.
+ASKED = 16
+COMMON = 8
+MOST_COMMON = 100_000
 SHARD_SEGMENTS = 8_000
 LAST = np.iinfo(np.int64).max
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+#: A second hash of everything that is decided by hash, so that 128 bits have to agree.
+BASE_2 = np.uint64(0xD6E8FEB86659FD93)
+INVERSE_2 = np.uint64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
 ALONE, COPY, FIRST, SHARD, HASH = 0, 1, 2, 3, 4
 
 BLOCK = "block long, n_words long, ids array<long>, sizes array<int>, texts binary"
-ASK = "part int, block long, anchors binary, segments binary, ids binary, docs binary, starts binary"
+ASK = "part int, block long, anchors binary, segments binary, checks binary, ids binary, docs binary, starts binary"
 REPLY = "part int, block long, states binary"
-OUT = "kind int, row long, id long, text binary, spans array<int>, anchor long, start int, n_words long, n_removed long, kept_sha256 string, hash long"
+OUT = "kind int, row long, id long, text binary, spans array<int>, anchor long, start int, n_words long, n_removed long, kept_sha256 string, hash long, check long"
 DONE, WAITING, SEGMENT, WINDOW = 0, 1, 2, 3
 
 
@@ -76,14 +85,14 @@ def blocks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = docs.select(F.col(id_col).cast("long"), F.col(text_col))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, number, total = TaskContext.get().partitionId(), 0, 0
+        task, number, total, size = TaskContext.get().partitionId(), 0, 0, 0
         ids, sizes, texts = [], [], []
 
         def flush() -> pa.RecordBatch:
-            nonlocal number, total
+            nonlocal number, total, size
             row = [task << 36 | number << 24, total, list(ids), list(sizes), zstandard.ZstdCompressor(3).compress(b"".join(texts))]
             kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary()]
-            number, total = number + 1, 0
+            number, total, size = number + 1, 0, 0
             for x in (ids, sizes, texts):
                 x.clear()
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds, strict=True)], names=[c.split()[0] for c in BLOCK.split(", ")])
@@ -94,7 +103,8 @@ def blocks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 sizes.append(len(t))
                 texts.append(t)
                 total += len(t.split())
-                if total >= BLOCK_WORDS:
+                size += len(t)
+                if total >= BLOCK_WORDS or size >= BLOCK_BYTES or len(ids) >= BLOCK_TEXTS:
                     yield flush()
         if ids:
             yield flush()
@@ -105,7 +115,7 @@ def blocks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 class Block:
     """A block's texts, the hashes of its words, its anchors and their segments."""
 
-    def __init__(self, row: dict, window: int):
+    def __init__(self, row: dict, window: int, common: np.ndarray):
         data = zstandard.ZstdDecompressor().decompress(row["texts"]) if sum(row["sizes"]) else b""
         ends = np.cumsum(row["sizes"]).tolist()
         self.texts = [data[b - n : b] for b, n in zip(ends, row["sizes"], strict=True)]
@@ -125,46 +135,92 @@ class Block:
         stop = np.cumsum(self.n_words)
         self.begin, self.stop = np.repeat(stop - self.n_words, self.n_words), np.repeat(stop, self.n_words)
         # prefix sums of hash * BASE**position, so that the hash of any span is one difference
-        self.power = np.cumprod(np.r_[np.uint64(1), np.full(n, BASE, np.uint64)])
-        self.back = np.cumprod(np.r_[np.uint64(1), np.full(n, INVERSE, np.uint64)])
-        self.sums = np.r_[np.uint64(0), np.cumsum(hashes[tokens] * self.power[:-1] if n else hashes, dtype=np.uint64)]
+        self.sums, self.back = self.sums_of(hashes[tokens] if n else hashes, BASE, INVERSE)
         at = np.arange(n)
         fits = at + window <= self.stop
         starts = np.flatnonzero(fits)
-        anchors = np.empty(0, np.int64)
+        self.anchors = self.left = self.right = np.empty(0, np.int64)
         if len(starts):
             grams = self.span(at[: n - GRAM + 1], at[: n - GRAM + 1] + GRAM)
-            view = np.lib.stride_tricks.sliding_window_view(grams, window - GRAM + 1)
-            anchors = np.unique(np.concatenate([c + view[c].argmin(1) for c in np.array_split(starts, len(starts) // 200_000 + 1)]))
-        self.anchors = anchors
-        self.keys = self.span(anchors, anchors + GRAM)
-        self.left = np.maximum(self.begin[anchors], anchors + GRAM - window)
-        self.right = np.minimum(self.stop[anchors], anchors + window)
+            rank = grams >> np.uint64(1)
+            if len(common):  # groups that many texts have come last
+                found = common[np.minimum(np.searchsorted(common, grams), len(common) - 1)] == grams
+                rank |= found.astype(np.uint64) << np.uint64(63)
+            view = np.lib.stride_tricks.sliding_window_view(rank, window - GRAM + 1)
+            chosen = np.concatenate([c + view[c].argmin(1) for c in np.array_split(starts, len(starts) // 200_000 + 1)])
+            # the windows that choose an anchor follow each other
+            self.anchors, first, count = np.unique(chosen, return_index=True, return_counts=True)
+            self.left, self.right = starts[first], starts[first + count - 1] + window
+        anchors = self.anchors
+        # anchors have the least hashes, so they are hashed again to lie evenly over the ranges
+        self.keys = mix(self.span(anchors, anchors + GRAM) ^ BASE)
         self.segments = mix(self.span(self.left, self.right) + (anchors - self.left).astype(np.uint64) * np.uint64(64) + (self.right - anchors).astype(np.uint64))
+        again = np.array([xxhash.xxh64_intdigest(w, 1) for w in numbers], np.uint64) if numbers else hashes
+        self.sums_2, self.back_2 = self.sums_of(again[tokens] if n else again, BASE_2, INVERSE_2)
+        self.checks = self.check(self.left, self.right)
         # rows of equal (anchor, segment), the earliest first
-        self.order = np.lexsort((self.anchors, self.ids[self.doc[anchors]], self.segments, self.keys)) if len(anchors) else anchors
-        k, s = self.keys[self.order], self.segments[self.order]
-        self.new = np.r_[True, (k[1:] != k[:-1]) | (s[1:] != s[:-1])] if len(k) else np.empty(0, bool)
+        self.order = np.lexsort((self.anchors, self.ids[self.doc[anchors]], self.checks, self.segments, self.keys)) if len(anchors) else anchors
+        k, s, c = self.keys[self.order], self.segments[self.order], self.checks[self.order]
+        self.new = np.r_[True, (k[1:] != k[:-1]) | (s[1:] != s[:-1]) | (c[1:] != c[:-1])] if len(k) else np.empty(0, bool)
+
+    @staticmethod
+    def sums_of(hashes: np.ndarray, base: np.uint64, inverse: np.uint64) -> tuple[np.ndarray, np.ndarray]:
+        n = len(hashes)
+        power = np.cumprod(np.r_[np.uint64(1), np.full(n, base, np.uint64)])
+        back = np.cumprod(np.r_[np.uint64(1), np.full(n, inverse, np.uint64)])
+        return np.r_[np.uint64(0), np.cumsum(hashes * power[:n], dtype=np.uint64)], back
+
+    def check(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return mix((self.sums_2[b] - self.sums_2[a]) * self.back_2[a])
 
     def span(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return mix((self.sums[b] - self.sums[a]) * self.back[a])
 
 
-def ask(stored: DataFrame, window: int, bits: int) -> DataFrame:
-    edges = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
+def common_grams(docs: DataFrame, window: int, id_col: str, text_col: str) -> np.ndarray:
+    """Sorted hashes of the word groups that many texts have, by a count over a part of the texts.
+
+    They only choose which group is an anchor, never the result.
+    """
+    stored = blocks(docs.filter(F.pmod(F.xxhash64(F.col(text_col)), F.lit(ASKED)) == 0), id_col, text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                b = Block(row, window, np.empty(0, np.uint64))
+                at = np.flatnonzero(np.arange(len(b.doc)) + GRAM <= b.stop)
+                grams, doc = b.span(at, at + GRAM), b.doc[at]
+                order = np.lexsort((grams, doc))
+                g, d = grams[order], doc[order]
+                once = g[np.r_[True, (g[1:] != g[:-1]) | (d[1:] != d[:-1])]] if len(g) else g
+                found, n = np.unique(once, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "n"])
+
+    counted = store(stored.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= COMMON), "substring-common")
+    total, least = 0, None
+    for r in sorted(counted.groupBy("n").count().collect(), reverse=True):  # one row for each different count
+        total += r["count"]
+        if total > MOST_COMMON:
+            break
+        least = r["n"]
+    found = [r["h"] for r in counted.filter(F.col("n") >= least).select("h").collect()] if least else []
+    discard(stored)
+    return np.sort(np.array(found, np.int64).view(np.uint64))
+
+
+def ask(stored: DataFrame, window: int, bits: int, common: np.ndarray) -> DataFrame:
     names = [c.split()[0] for c in ASK.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                b = Block(row, window)
+                b = Block(row, window, common)
                 at = b.order[b.new]
                 pos = b.anchors[at]
-                columns = [b.keys[at], b.segments[at], b.ids[b.doc[pos]], b.doc[pos].astype("<u4"), (pos - b.begin[pos]).astype("<u4")]
-                cut = np.r_[0, np.searchsorted(columns[0], edges), len(at)]
-                parts = [p for p in range(1 << bits) if cut[p] < cut[p + 1]]
-                values = [parts, [row["block"]] * len(parts)] + [[planes(np.ascontiguousarray(c[cut[p] : cut[p + 1]])) for p in parts] for c in columns]
-                kinds = [pa.int32(), pa.int64()] + [pa.binary()] * 5
+                columns = [b.keys[at], b.segments[at], b.checks[at], b.ids[b.doc[pos]], b.doc[pos].astype("<u4"), (pos - b.begin[pos]).astype("<u4")]
+                parts, cut = by_range(columns[0], bits)
+                values = [parts, [row["block"]] * len(parts)] + [[planes(np.ascontiguousarray(c[x])) for x in cut] for c in columns]
+                kinds = [pa.int32(), pa.int64()] + [pa.binary()] * 6
                 yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, kinds, strict=True)], names=names)
 
     return stored.mapInArrow(run, ASK)
@@ -177,12 +233,12 @@ def answer(asked: DataFrame) -> DataFrame:
         get = lambda c, t: [from_planes(x, t) for x in group.column(c).to_pylist()]
         anchors = get("anchors", "<u8")
         sizes = [len(x) for x in anchors]
-        keys, segments, ids = np.concatenate(anchors), np.concatenate(get("segments", "<u8")), np.concatenate(get("ids", "<i8"))
+        keys, segments, checks, ids = np.concatenate(anchors), np.concatenate(get("segments", "<u8")), np.concatenate(get("checks", "<u8")), np.concatenate(get("ids", "<i8"))
         rows = np.repeat(np.array(group.column("block").to_pylist(), np.int64), sizes) + np.concatenate(get("docs", "<u4"))
-        order = np.lexsort((np.concatenate(get("starts", "<u4")), rows, ids, segments, keys))
-        k, s = keys[order], segments[order]
+        order = np.lexsort((np.concatenate(get("starts", "<u4")), rows, ids, checks, segments, keys))
+        k, s, c = keys[order], segments[order], checks[order]
         new_key = np.r_[True, k[1:] != k[:-1]]
-        first = new_key | np.r_[True, s[1:] != s[:-1]]
+        first = new_key | np.r_[True, (s[1:] != s[:-1]) | (c[1:] != c[:-1])]
         which = np.cumsum(new_key) - 1
         kinds = np.bincount(which, first)[which]  # different segments of the row's anchor
         states = np.empty(len(order), np.uint8)
@@ -205,10 +261,10 @@ def finish(text: bytes, spans: list[tuple[int, int]]) -> tuple[int, int, str]:
     return len(words), int((~keep).sum()) if len(words) else 0, hashlib.sha256(kept).hexdigest()
 
 
-def settle(stored: DataFrame, replies: DataFrame, window: int) -> DataFrame:
+def settle(stored: DataFrame, replies: DataFrame, window: int, common: np.ndarray) -> DataFrame:
     """Finished documents; waiting ones with what is known; segments for shards; windows for hashing. Stored."""
     names = [c.split()[0] for c in OUT.split(", ")]
-    kinds = dict(zip(names, [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.int64()], strict=True))
+    kinds = dict(zip(names, [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64()], strict=True))
 
     def table(kind: int, size: int, **columns) -> pa.Table:
         return pa.table([pa.array(columns[c], t) if c in columns else pa.array(np.full(size, kind, np.int32)) if c == "kind" else pa.nulls(size, t) for c, t in kinds.items()], names=names)
@@ -217,7 +273,7 @@ def settle(stored: DataFrame, replies: DataFrame, window: int) -> DataFrame:
         if not left.num_rows:
             return table(DONE, 0)
         row = left.to_pylist()[0]
-        b = Block(row, window)
+        b = Block(row, window, common)
         told = sorted(zip(right.column("part").to_pylist(), right.column("states").to_pylist(), strict=True))
         entry = np.concatenate([np.frombuffer(x, np.uint8) for _, x in told]) if told else np.empty(0, np.uint8)
         state = np.empty(len(b.anchors), np.uint8)
@@ -254,7 +310,7 @@ def settle(stored: DataFrame, replies: DataFrame, window: int) -> DataFrame:
         n = np.maximum(b.right[busy] - b.left[busy] - window + 1, 0)
         starts = np.repeat(b.left[busy] - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
         starts = np.unique(starts).astype(np.int64)
-        windows = table(WINDOW, len(starts), row=row["block"] + b.doc[starts], id=b.ids[b.doc[starts]], start=(starts - b.begin[starts]).astype(np.int32), hash=b.span(starts, starts + window).view(np.int64))
+        windows = table(WINDOW, len(starts), row=row["block"] + b.doc[starts], id=b.ids[b.doc[starts]], start=(starts - b.begin[starts]).astype(np.int32), hash=b.span(starts, starts + window).view(np.int64), check=b.check(starts, starts + window).view(np.int64))
         return pa.concat_tables([done, waiting, segments, windows])
 
     return store(stored.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(run, OUT), "substring-parts")
@@ -407,14 +463,14 @@ def repeated(parts: DataFrame, window: int) -> DataFrame:
 
     dealt = segments.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
     of_shards = dealt.groupBy("shard").applyInArrow(run, "row long, start int")
-    windows = parts.filter(F.col("kind") == WINDOW).select("hash", "id", "row", "start")
+    windows = parts.filter(F.col("kind") == WINDOW).select("hash", "check", "id", "row", "start")
     if not windows.limit(1).count():
         return of_shards
-    first = windows.groupBy("hash").agg(F.min(F.struct("id", "row", "start")).alias("first"), F.count("*").alias("n")).filter("n > 1").select("hash", "first")
+    first = windows.groupBy("hash", "check").agg(F.min(F.struct("id", "row", "start")).alias("first"), F.count("*").alias("n")).filter("n > 1").select("hash", "check", "first")
     first = store(first, "substring-first")
     # a frequent window has many rows: without an exchange by hash none of them meet; beyond the limit Spark splits them
     first = F.broadcast(first) if first.count() <= BROADCAST_ROWS else first
-    again = windows.join(first, "hash").filter(F.struct("id", "row", "start") > F.col("first")).select("row", "start")
+    again = windows.join(first, ["hash", "check"]).filter(F.struct("id", "row", "start") > F.col("first")).select("row", "start")
     return of_shards.unionByName(again)
 
 
@@ -423,8 +479,9 @@ def deduplicate(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text_
     stored = blocks(docs, id_col, text_col)
     words = stored.agg(F.sum("n_words")).first()[0] or 0
     bits = max(4, math.ceil(math.log2(max(1, words / 8 / PARTITION_ANCHORS))))
-    replies = answer(ask(stored, window, bits))
-    parts = settle(stored, replies, window)
+    common = common_grams(docs, window, id_col, text_col)
+    replies = answer(ask(stored, window, bits, common))
+    parts = settle(stored, replies, window, common)
     discard(stored)
     discard(replies)
     more = store(repeated(parts, window).groupBy("row").agg(F.collect_set("start").alias("starts")), "substring-repeats")

@@ -16,7 +16,7 @@ The extra count leaves mass for the unseen even where every count is too large t
 p(. | h) sum to one exactly: it is the mass that the seen pairs leave over what p leaves them. A text is its words,
 lower-cased from A to Z, and one end token; the first token's history is a start mark, which is no token.
 
-Defined results: a null or empty text is the end token alone; without any training text every token is unknown
+Defined results: a null or empty text is the end token alone; a null id is not held out by itself, so its text is learned from; without any training text every token is unknown
 with probability one; repeated rows are counted and scored each; other columns are left out.
 """
 
@@ -33,9 +33,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parlance.llm.common import discard, store, utf8
+from parlance.llm.common import by_range, discard, store, utf8
 
-BLOCK_TOKENS = 1_500_000
+#: A block is full at so many tokens, bytes of text or texts.
+BLOCK_TOKENS, BLOCK_BYTES, BLOCK_TEXTS = 1_500_000, 64 << 20, 1 << 20
 #: Distinct keys that a partition of the count tables should have, about.
 PARTITION_KEYS = 1_000_000
 END, START = b" ", b"  "  # no word has a space
@@ -87,15 +88,15 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, held_col: str) -> DataFr
         task, number = TaskContext.get().partitionId(), 0
         numbers: dict[bytes, int] = {END: 0}
         ids, held, sizes, tokens = [], [], [], []
-        total = 0
+        total = size = 0
 
         def flush() -> pa.RecordBatch:
-            nonlocal number, total
+            nonlocal number, total, size
             hashes = np.array([xxhash.xxh64_intdigest(w) for w in numbers], "<u8")
             seq = np.concatenate(tokens)
             row = [task << 36 | number << 24, total, list(ids), list(held), list(sizes), hashes.tobytes(), planes(seq)]
             kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.binary(), pa.binary()]
-            number, total = number + 1, 0
+            number, total, size = number + 1, 0, 0
             numbers.clear()
             numbers[END] = 0
             for x in (ids, held, sizes, tokens):
@@ -112,7 +113,8 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, held_col: str) -> DataFr
                 held.append(bool(out))
                 sizes.append(len(words) + 1)
                 total += len(words) + 1
-                if total >= BLOCK_TOKENS:
+                size += len(text)
+                if total >= BLOCK_TOKENS or size >= BLOCK_BYTES or len(ids) >= BLOCK_TEXTS:
                     yield flush()
         if total:
             yield flush()
@@ -153,15 +155,12 @@ class Block:
 
 def ask(stored: DataFrame, bits: int) -> DataFrame:
     """What every block wants to know, cut by the hash ranges of 2**bits partitions."""
-    edges = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 for kind, keys, counts in Block(row).asked():
-                    at = np.r_[0, np.searchsorted(keys, edges), len(keys)]
-                    parts = [p for p in range(1 << bits) if at[p] < at[p + 1]]
-                    cut = [slice(at[p], at[p + 1]) for p in parts]
+                    parts, cut = by_range(keys, bits)
                     n = len(parts)
                     values = [[kind] * n, parts, [row["block"]] * n, [int(c.stop - c.start) for c in cut], [pack_keys(keys[c]) for c in cut], [planes(counts[c]) for c in cut]]
                     kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
@@ -294,7 +293,7 @@ def score_blocks(stored: DataFrame, replies: DataFrame, m: Model) -> DataFrame:
 
 
 def score(docs: DataFrame, held_col: str, id_col: str = "doc_id", text_col: str = "text", params: Params = Params()) -> DataFrame:
-    """Train on rows whose held_col is false, score all: id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
+    """Train on rows with an id whose held_col is false, score all: id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     stored = blocks(docs, id_col, text_col, held_col)
     size = stored.agg(F.sum("n_tokens").alias("n"), F.sum(F.size(F.filter("held", lambda x: ~x))).alias("texts")).first()
     bits = max(4, math.ceil(math.log2(max(1, (size["n"] or 0) / PARTITION_KEYS))))

@@ -3,11 +3,12 @@
 A word that training saw is scored by its log relative frequency in each language, with a fixed penalty where a
 language lacks it. A word that no language knows is scored by its longest n-grams that any language knows: all
 n-grams of one order are averaged, and the next shorter order is taken only if none of them is known. A text's
-score for a language is the mean over its words.
+cost in a language is the mean over its words; the score is the likeliest language's share of the mean likelihoods.
 
-The model is fitted on a bounded sample of the labelled rows (``docs_per_language``, chosen by a hash of the id)
-and keeps at most ``max_words`` words and ``max_grams`` n-grams of each order for each language, so what the
-driver collects and the tasks receive does not grow with the input. Every text is predicted whole.
+The model is fitted on a bounded sample of the labelled rows, chosen by a hash of the id: ``docs_per_language``, and
+no more than ``sample_docs`` for all languages together (one for each, where there are more languages than that). It
+keeps every word and n-gram of the sample, so what the driver collects and the tasks receive does not grow with the
+input. Every text is predicted whole.
 
 Defined results: a null text, or one without letters, is ``und`` with score 0, as is every text if no row can
 be learned from; ties go to the label that sorts first; repeated rows each get their own result; columns besides
@@ -17,8 +18,7 @@ the text pass through, and one named like the output is replaced.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, field
-from itertools import chain
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -27,57 +27,113 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parlance.llm.common import bucket_of, utf8, with_struct
+from parlance.llm.common import bucket_of, slices, store, utf8, with_struct
 
 UND = "und"
 LETTERS = regex.compile(r"\p{L}+")
-KEPT_WORDS = 400_000
+#: Bytes of word scores that a worker keeps.
+KEPT_BYTES = 32 << 20
 
 
 @dataclass(frozen=True)
 class Params:
-    docs_per_language: int = 5_000
-    max_words: int = 40_000
-    max_grams: int = 8_000
+    docs_per_language: int = 1_500
+    sample_docs: int = 12_000
     orders: tuple[int, ...] = (4, 3, 2, 1)
     penalty: float = 7.0  # -log10 of what a language lacks
 
 
-@dataclass
+class Gains:
+    """For each key, in which languages it was seen and how much it gains there over the penalty."""
+
+    def __init__(self, rows: pa.Table, width: int):
+        self.at = {k: i for i, k in enumerate(rows.column("key").to_pylist())}
+        lists = rows.column("found").combine_chunks()
+        self.starts = lists.offsets.to_numpy()
+        found = lists.values
+        self.language, self.gain = (found.field(f).to_numpy(zero_copy_only=False) for f in ("language", "gain"))
+        self.width = width
+
+    def rows(self, at: list[int]) -> np.ndarray:
+        """One line of gains for each key's place."""
+        at = np.array(at, np.int64)
+        n = self.starts[at + 1] - self.starts[at]
+        ends = np.cumsum(n)
+        flat = np.repeat(self.starts[at] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
+        out = np.zeros((len(at), self.width), np.float32)
+        out[np.repeat(np.arange(len(at)), n), self.language[flat]] = self.gain[flat]
+        return out
+
+
 class Model:
-    """Costs (-log10 relative frequency) of words, and of n-grams by order, one value for each language."""
-
-    languages: list[str]
-    words: dict[str, tuple[float, ...]]
-    grams: dict[int, dict[str, tuple[float, ...]]]
-    penalty: float
-    seen: dict[str, int] = field(default_factory=dict)
-    rows: list[tuple[float, ...]] = field(default_factory=list)
-
-    def cost(self, word: str) -> tuple[float, ...]:
-        if (known := self.words.get(word)) is not None:
-            return known
-        padded = f" {word} "
-        for n, table in self.grams.items():
-            found = [v for i in range(len(padded) - n + 1) if (v := table.get(padded[i : i + n])) is not None]
-            if found:
-                return tuple(sum(x) / len(found) for x in zip(*found, strict=True))
-        return (self.penalty,) * len(self.languages)
-
-    def predict(self, text: str) -> tuple[str, float]:
-        words = LETTERS.findall(text.lower())
-        if not words or not self.languages:
-            return UND, 0.0
-        if len(self.seen) > KEPT_WORDS:
-            self.seen.clear()
-            self.rows.clear()
-        for w in {w for w in words if w not in self.seen}:
-            self.seen[w] = len(self.rows)
-            self.rows.append(self.cost(w))
-        flat = np.fromiter(chain.from_iterable(self.rows[self.seen[w]] for w in words), float)
-        total = -math.log(10) * flat.reshape(len(words), -1).sum(0)
-        best = int(total.argmax())
-        return self.languages[best], float(1 / np.exp(total - total[best]).sum())
+    """Words and n-grams with their gains; a worker builds its tables from the Arrow rows that it receives."""
+
+    def __init__(self, languages: list[str], rows: dict[int, pa.Table], penalty: float):
+        self.languages, self.rows, self.penalty = languages, rows, penalty
+        self.tables: dict[int, Gains] = {}
+        self.seen: dict[str, int] = {}
+        self.held: np.ndarray | None = None
+
+    def __getstate__(self) -> dict:
+        return {"languages": self.languages, "rows": self.rows, "penalty": self.penalty, "tables": {}, "seen": {}, "held": None}
+
+    def gains(self, words: list[str]) -> np.ndarray:
+        """A line for each word: its own, else the mean of its longest n-grams that are known, else zero."""
+        out = np.zeros((len(words), len(self.languages)), np.float32)
+        left = range(len(words))
+        for n, table in self.tables.items():
+            get, flat, sizes, placed, rest = table.at.get, [], [], [], []
+            for k in left:
+                padded = f" {words[k]} "
+                found = [i for j in range(len(padded) - n + 1) if (i := get(padded[j : j + n])) is not None] if n else [i] if (i := get(words[k])) is not None else []
+                if found:
+                    flat += found
+                    sizes.append(len(found))
+                    placed.append(k)
+                else:
+                    rest.append(k)
+            if placed:
+                size = np.array(sizes)
+                out[placed] = np.add.reduceat(table.rows(flat), np.cumsum(size) - size, axis=0) / size[:, None]
+            left = rest
+        return out
+
+    def lines(self, words: list[str]) -> np.ndarray:
+        """Gains of words that may repeat; what is new is worked out at once and kept while there is room."""
+        fresh = [w for w in dict.fromkeys(words) if w not in self.seen]
+        room = max(1024, KEPT_BYTES // (4 * len(self.languages) + 150))
+        if self.held is None or len(self.seen) + len(fresh) > len(self.held):
+            self.seen, fresh = {}, list(dict.fromkeys(words))
+            self.held = np.empty((max(room, len(fresh)), len(self.languages)), np.float32)
+        if fresh:
+            start = len(self.seen)
+            self.held[start : start + len(fresh)] = self.gains(fresh)
+            self.seen.update(zip(fresh, range(start, start + len(fresh)), strict=True))
+        return self.held[[self.seen[w] for w in words]]
+
+    def predict(self, texts: list[str]) -> list[tuple[str, float]]:
+        if not self.languages:
+            return [(UND, 0.0)] * len(texts)
+        if not self.tables:
+            self.tables = {n: Gains(t, len(self.languages)) for n, t in self.rows.items()}
+        cut = [LETTERS.findall(t.lower()) for t in texts]
+        totals = np.zeros((len(texts), len(self.languages)))
+        for a, b in slices([len(w) for w in cut], 100_000):  # a longer text in parts
+            words = [w for c in cut[a:b] for w in c]
+            doc = np.repeat(np.arange(a, b), [len(c) for c in cut[a:b]])
+            for k in range(0, len(words), 100_000):
+                d = doc[k : k + 100_000]
+                first = np.flatnonzero(np.r_[True, d[1:] != d[:-1]])
+                totals[d[first]] += np.add.reduceat(self.lines(words[k : k + 100_000]), first, axis=0, dtype=float)
+        out = []
+        for words, total in zip(cut, totals, strict=True):
+            if not words:
+                out.append((UND, 0.0))
+                continue
+            mean = math.log(10) * (total / len(words) - self.penalty)
+            best = int(mean.argmax())
+            out.append((self.languages[best], float(1 / np.exp(mean - mean[best]).sum())))
+        return out
 
 
 def grams(word: Column, n: int) -> Column:
@@ -85,62 +141,32 @@ def grams(word: Column, n: int) -> Column:
     return F.when(F.length(padded) >= n, F.transform(F.sequence(F.lit(1), F.length(padded) - (n - 1)), lambda i: F.substring(padded, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
 
 
-def most_frequent(counts: DataFrame, keys: list[str], limit: int) -> list:
-    """Rows of the largest counts for each key, at most limit of them, cut at a count so that ties stay together."""
-    least: dict[tuple, int] = {}
-    kept: dict[tuple, int] = {}
-    for r in sorted(counts.groupBy(*keys, "n").count().collect(), key=lambda r: -r["n"]):
-        k = tuple(r[x] for x in keys)
-        kept[k] = kept.get(k, 0) + r["count"]
-        if kept[k] <= limit:
-            least[k] = r["n"]
-    wanted = F.lit(False)
-    for k, n in least.items():
-        same = F.col("n") >= n
-        for x, v in zip(keys, k, strict=True):
-            same &= F.col(x) == v
-        wanted |= same
-    return counts.filter(wanted).collect()
-
-
-def tables(rows: list, languages: list[str], totals: dict[str, int], key: str, penalty: float) -> dict[str, tuple[float, ...]]:
-    at = {x: i for i, x in enumerate(languages)}
-    out: dict[str, list[float]] = {}
-    for r in rows:
-        out.setdefault(r[key], [penalty] * len(languages))[at[r["lang"]]] = min(penalty, math.log10(totals[r["lang"]] / r["n"]))
-    return {k: tuple(v) for k, v in out.items()}
-
-
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", params: Params = Params()) -> Model:
     """A model from rows with a text and a label; the sample is taken in the scan, and words are counted there."""
     rows = labelled.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).filter("lang IS NOT NULL AND text IS NOT NULL")
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
-    if not sizes:
-        return Model([], {}, {}, params.penalty)
-    share = F.lit(0)
-    for lang, n in sizes.items():
-        share = F.when(F.col("lang") == lang, math.ceil(params.docs_per_language / n * 2**20)).otherwise(share)
-    sample = rows.filter(F.pmod(F.xxhash64("id"), F.lit(2**20)) < share)
-    words = sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), 1)).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n")).persist()
-    try:
-        languages = sorted(sizes)
-        totals = {r["lang"]: r["t"] for r in words.groupBy("lang").agg(F.sum("n").alias("t")).collect()}
-        known = tables(most_frequent(words, ["lang"], params.max_words), languages, totals, "word", params.penalty)
-        every = F.array(*[F.struct(F.lit(n).alias("order"), grams(F.col("word"), n).alias("grams")) for n in params.orders])
-        parts = (
-            words.select("lang", "n", F.explode(every).alias("g")).select("lang", "n", "g.order", F.explode("g.grams").alias("gram"))
-            .groupBy("lang", "order", "gram").agg(F.sum("n").alias("n")).persist()
-        )
-        sums = {(r["lang"], r["order"]): r["t"] for r in parts.groupBy("lang", "order").agg(F.sum("n").alias("t")).collect()}
-        top = most_frequent(parts, ["lang", "order"], params.max_grams)
-        parts.unpersist()
-        by_order = {
-            n: tables([r for r in top if r["order"] == n], languages, {x: sums.get((x, n), 1) for x in languages}, "gram", params.penalty)
-            for n in params.orders
-        }
-    finally:
-        words.unpersist()
-    return Model(languages, known, by_order, params.penalty)
+    sizes = store(rows.groupBy("lang").agg(F.count("*").alias("docs")), "language-sizes")
+    n = sizes.count()
+    if not n:
+        return Model([], {}, params.penalty)
+    quota = max(1, min(params.docs_per_language, params.sample_docs // n))
+    share = F.ceil(F.lit(quota) / F.col("docs") * 2**20)
+    sample = rows.join(sizes, "lang").filter(F.pmod(F.xxhash64("id"), F.lit(2**20)) < share)
+    words = sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), 1)).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
+    words = store(words, "language-words")
+    languages = sorted(r["lang"] for r in words.select("lang").distinct().collect())
+    if not languages:
+        return Model([], {}, params.penalty)
+    every = F.array(F.struct(F.lit(0).alias("order"), F.array("word").alias("keys")), *[F.struct(F.lit(k).alias("order"), grams(F.col("word"), k).alias("keys")) for k in params.orders])
+    counts = words.select("lang", "n", F.explode(every).alias("g")).select("lang", "n", "g.order", F.explode("g.keys").alias("key")).groupBy("lang", "order", "key").agg(F.sum("n").alias("n"))
+    counts = store(counts, "language-counts")
+    totals = counts.groupBy("lang", "order").agg(F.sum("n").alias("total"))
+    number = F.array_position(F.array(*map(F.lit, languages)), F.col("lang")).cast("int") - 1
+    gain = F.greatest(F.lit(0.0), F.lit(params.penalty) - F.log10(F.col("total") / F.col("n"))).cast("float")
+    table = counts.join(totals, ["lang", "order"]).groupBy("order", "key").agg(F.collect_list(F.struct(number.alias("language"), gain.alias("gain"))).alias("found"))
+    table = store(table, "language-gains")
+    # at most one list entry a language; as many rows as the bounded sample has different words and n-grams
+    found = {k: table.filter(F.col("order") == k).select("key", "found").toArrow() for k in (0, *params.orders)}
+    return Model(languages, found, params.penalty)
 
 
 FIELDS = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
@@ -152,12 +178,12 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", out: str = "l
 
     def run(batch: pa.RecordBatch) -> pa.Array:
         m = sent.value
-        got = [m.predict(t.decode()) for t in utf8(batch.column(batch.schema.get_field_index(text_col)))]
+        got = m.predict([t.decode() for t in utf8(batch.column(batch.schema.get_field_index(text_col)))])
         return pa.StructArray.from_arrays([pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], FIELDS.names)
 
     return with_struct(docs, out, FIELDS, run)
 
 
 def held_out(id_col: str = "doc_id", modulus: int = 3) -> Column:
-    """True for ids whose crc32 leaves remainder 1; false for a null id, which is never learned from either."""
+    """True for ids whose crc32 leaves remainder 1; false for a null id, of which the caller says whether it is learned from."""
     return F.coalesce(bucket_of(F.col(id_col), modulus) == 1, F.lit(False))

@@ -51,7 +51,9 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.scan(documents(spark, sf_dir, "doc_id", "text", "source"))
+    # a source is an owner, and its texts of one language are one of its repositories
+    docs = documents(spark, sf_dir, "doc_id", "text", "source", "lang").withColumn("repository", F.concat_ws("/", F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("none"))))
+    found = secrets.scan(docs, repo_col="repository")
     of = lambda *kinds: F.filter("secrets", lambda s: s["kind"].isin(*kinds))
     return found.select(
         "doc_id",

@@ -101,12 +101,26 @@ def candidates(docs: DataFrame, id_col: str, text_col: str, repo_col: str, owner
 
     tagged = [F.transform(m, tag(k)).alias(f"m_{k}") for k, m in kinds.items()]
     rows = docs.select(F.col(id_col).alias("doc_id"), repo.alias("repo"), owner.alias("owner"), F.xxhash64(F.col(text_col)).alias("text_hash"), *tagged)
-    base = F.concat("m_assign", "m_access", "m_hex")
-    free = F.filter("m_owned", lambda x: ~F.exists(F.col("base"), lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
-    rows = rows.withColumn("base", base).withColumn("spans", F.array_sort(F.concat("base", free)))
+    for k in ("assign", "access", "hex"):
+        rows = rows.withColumn(f"e_{k}", chunk_ends(F.col(f"m_{k}")))
+    free = F.filter("m_owned", lambda x: ~(touched(x, "assign") | touched(x, "access") | touched(x, "hex")))
+    rows = rows.withColumn("spans", F.array_sort(F.concat("m_assign", "m_access", "m_hex", free)))
     return rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "repo", "owner", "text_hash", "spans")
 
 
+def chunk_ends(spans: Column, chunk: int = 256) -> Column:
+    """The last end in each chunk of a kind's spans, which are in order and don't overlap."""
+    n = F.size(spans)
+    last = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / chunk).cast("int")), lambda b: F.get(spans, F.least((b + 1) * chunk, n) - 1)["end"])
+    return F.when(n > 0, last).otherwise(F.array().cast("array<int>"))
+
+
+def touched(x: Column, kind: str, chunk: int = 256) -> Column:
+    """Whether a span overlaps one of a kind: the first that ends after its start tells, and only its chunk is gone through."""
+    before = F.size(F.filter(F.col(f"e_{kind}"), lambda e: e <= x["start"]))
+    return F.exists(F.slice(F.col(f"m_{kind}"), before * chunk + 1, F.lit(chunk)), lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
+
+
 def ownership(found: DataFrame) -> DataFrame:
     """For each value's hash, the number of distinct repositories and owners that have it."""
     has = found.select("repo", "owner", F.explode("spans.hash").alias("hash")).groupBy("hash", "owner", "repo").agg(F.count("*").alias("uses"))

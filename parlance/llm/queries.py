@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parlance.llm import decontam, katz, langid, pieces, quality, secrets, simhash, substrings, tokenfile, warc
+from parlance.llm import align, decontam, katz, langid, pieces, quality, secrets, simhash, substrings, tokenfile, warc
 from parlance.llm.common import documents, fresh_path
 
 
@@ -94,6 +94,13 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.drop("lang"), model).select("doc_id", "held_out", "language.*")
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(public_file("byte_bpe_50k.json"), encoding="utf-8") as f:
+        definition = f.read()
+    texts, _ = align.align(documents(spark, sf_dir), definition, pieces.read_model(public_file("piece_bpe_32k.model")))
+    return texts.select(F.col("id").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
 

@@ -43,7 +43,7 @@ MEETING_SPACES = r"(?:^| )(?:[\s\p{Z}\x{85}\x0b\x1c-\x1f]|$)|▁"
 #: Words that are encoded at once.
 RUN = 512
 #: Bytes of text in one block, unless one text is larger, and in one step within it.
-BLOCK, STEP = 8 << 20, 2 << 20
+BLOCK, STEP = 4 << 20, 1 << 20
 
 
 def byte_characters() -> dict[str, int]:
@@ -218,7 +218,7 @@ class Units:
         entry[np.arange(len(ta)) + b_before[group_a]] = ta["id"].to_numpy() + cut_a * a.size
         entry[np.arange(len(tb)) + a_before[group_b + 1]] = 2 * a.size + tb["id"].to_numpy() + cut_b * b.size
         data, bounds = joined(written, pa.array(entry), at_a + at_b)
-        self.groups = pa.array([data[x:y] for x, y in zip(bounds, bounds[1:], strict=False)], pa.large_binary())
+        self.groups = pa.Array.from_buffers(pa.large_binary(), rows, [None, pa.py_buffer(np.array(bounds, np.int64)), pa.py_buffer(data)])
 
 
 class Aligned:
@@ -295,8 +295,11 @@ def blocks(docs: DataFrame, definition: str, model: bytes, id_col: str, text_col
                     found.append(Aligned(a, b, written, part.column(1)))
                     held += part.nbytes
                     if held >= BLOCK:
-                        yield emit(block, ids, found)
+                        made = emit(block, ids, found)
                         block, held, ids, found = block + 1, 0, [], []
+                        yield made
+                        del made
+                        trim()
             if found:
                 yield emit(block, ids, found)
         finally:

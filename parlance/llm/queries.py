@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parlance.llm import align, decontam, katz, langid, pieces, quality, secrets, simhash, substrings, tokenfile, warc
+from parlance.llm import align, decontam, katz, langid, pagetext, pieces, quality, secrets, simhash, substrings, tokenfile, warc, whiten
 from parlance.llm.common import documents, fresh_path
 
 
@@ -94,6 +94,16 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.drop("lang"), model).select("doc_id", "held_out", "language.*")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whiten.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding"))
+    # beyond a long's range, which takes some million vectors, the exact deviation is left to the operator's decimal
+    return found.withColumnRenamed("id", "vec_id").withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def op12_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pagetext.extract(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(public_file("byte_bpe_50k.json"), encoding="utf-8") as f:
         definition = f.read()

@@ -74,7 +74,6 @@ def pieces_of(batch: pa.RecordBatch, size: int = 2 << 20) -> Iterator[pa.RecordB
 
 def trim() -> None:
     """Give freed memory back to the system where the C library can: an idle worker otherwise keeps its largest size."""
-    pa.default_memory_pool().release_unused()
     release = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if release:
         release(0)

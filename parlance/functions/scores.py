@@ -2,57 +2,25 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from parlance.functions.distances import list_edits, text_edits
 from parlance.functions.text import tokens
 
-#: Distinct words of a pair that fit into one character each.
-WORDS_AS_CHARACTERS = 55_000
+#: Cells of the table of distances up to which the built-in distance is the faster one.
+CELLS = 1 << 18
 
 
 def char_distance(a: Column, b: Column) -> Column:
-    """Levenshtein distance in code points."""
-    return F.levenshtein(a, b)
-
-
-def _as_characters(words: Column, vocabulary: Column) -> Column:
-    # places 256 and up; those of surrogates are jumped over
-    place = lambda w: F.array_position(vocabulary, w) + 255
-    code = lambda w: F.when(place(w) < 0xD800, place(w)).otherwise(place(w) + 0x800)
-    return F.decode(F.unhex(F.array_join(F.transform(words, lambda w: F.lpad(F.hex(code(w)), 4, "0")), "")), "UTF-16BE")
-
-
-@F.arrow_udf(T.LongType())
-def _long_word_distance(a: pa.Array, b: pa.Array) -> pa.Array:
-    def distance(x: list, y: list) -> int:
-        codes = {w: i for i, w in enumerate({*x, *y})}
-        t = np.array([codes[w] for w in y], np.int64)
-        row = np.arange(len(y) + 1)
-        for i, w in enumerate(x, 1):
-            step = np.empty_like(row)
-            step[0] = i
-            step[1:] = np.minimum(row[1:] + 1, row[:-1] + (t != codes[w]))
-            # insertions: the least of what lies to the left, plus its distance
-            row = np.minimum.accumulate(step - np.arange(len(step))) + np.arange(len(step))
-        return int(row[-1])
-
-    return pa.array([None if x is None or y is None else distance(x, y) for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True)], pa.int64())
+    """Levenshtein distance in code points: built in for short texts, bit-parallel rows for long ones."""
+    long = F.length(a).cast("long") * F.length(b) > CELLS
+    return F.when(long, text_edits(F.when(long, a), F.when(long, b)).cast("int")).otherwise(F.levenshtein(F.when(~long, a), F.when(~long, b)))
 
 
 def word_distance(a: Column, b: Column) -> Column:
-    """Levenshtein distance over white-space separated words.
-
-    Each distinct word of a pair becomes one character, so that the built-in distance applies; pairs with more
-    distinct words than characters go through Arrow.
-    """
-    x, y = tokens(a), tokens(b)
-    vocabulary = F.array_distinct(F.concat(x, y))
-    short = F.levenshtein(_as_characters(x, vocabulary), _as_characters(y, vocabulary)).cast("long")
-    return F.when(F.size(vocabulary) <= WORDS_AS_CHARACTERS, short).otherwise(_long_word_distance(x, y))
+    """Levenshtein distance over white-space separated words."""
+    return list_edits(tokens(a), tokens(b))
 
 
 def _rate(distance: Column, size: Column, empty: Column, rule: str) -> Column:

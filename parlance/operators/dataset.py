@@ -115,13 +115,17 @@ def split_sizes(n: Column, k: int, rule: str = "share") -> Column:
 
 
 def stratified_split(df: DataFrame, k: int, groups: list[str], key: str, seed: int = 42, rule: str = "share", order: list[Column | str] | None = None) -> DataFrame:
-    """df with ``split`` (val or train); every group has a validation row, a single row is one.
+    """df with ``split`` (val or train); every group has a validation key, a single one is it.
 
-    Which rows validate is found on narrow rows (group and key): the first few of each group.
+    Which keys validate is found on narrow rows (group and key, each once): the first few of each group. Rows that
+    repeat a key share its split, so no sample is on both sides; null is a key and a group like any other.
     """
     order = order or by_hash(key, seed)
-    sizes = df.groupBy(*groups).agg(split_sizes(F.count("*"), k, rule).cast("int").alias("_n"))
-    narrow = df.select(*dict.fromkeys([*groups, key])).join(sizes, groups)
+    keys = df.select(*dict.fromkeys([*groups, key])).distinct()
+    sizes = keys.groupBy(*groups).agg(split_sizes(F.count("*"), k, rule).cast("int").alias("_n"))
+    same = [F.col(f"_n_{c}").eqNullSafe(F.col(c)) for c in groups]
+    sizes = sizes.select(*[F.col(c).alias(f"_n_{c}") for c in groups], "_n")
+    narrow = keys.join(sizes, same).drop(*[f"_n_{c}" for c in groups])
     val = first_per_group(narrow, groups, order, F.col("_n")).select(*groups, key).withColumn("_val", F.lit(True))
     on = F.lit(True)
     right = val.select(*[F.col(c).alias(f"_r_{c}") for c in dict.fromkeys([*groups, key])], "_val")
@@ -131,10 +135,14 @@ def stratified_split(df: DataFrame, k: int, groups: list[str], key: str, seed: i
 
 
 def dev_split(df: DataFrame, key: str, share: float = 0.1, seed: int = 42) -> DataFrame:
-    """df with ``split``: a share of all rows, one at least, by hash order, drawn after missing files are dropped."""
-    n = max(1, int(df.count() * share))
-    dev = first_by_hash(df.select(key), n, key, seed).withColumn("_dev", F.lit(True))
-    return df.join(dev, key, "left").withColumn("split", F.when(F.col("_dev"), "dev").otherwise("train")).drop("_dev")
+    """df with ``split``: a share of all keys, one at least, by hash order, drawn after missing files are dropped.
+
+    Rows that repeat a key share its split; null is a key like any other.
+    """
+    keys = df.select(key).distinct()
+    n = max(1, int(keys.count() * share))
+    dev = first_by_hash(keys, n, key, seed).select(F.col(key).alias("_dev_key"), F.lit(True).alias("_dev"))
+    return df.join(dev, F.col(key).eqNullSafe(F.col("_dev_key")), "left").select(*df.columns, F.when(F.col("_dev"), "dev").otherwise("train").alias("split"))
 
 
 def existing(df: DataFrame, listing: DataFrame, path: str = "path") -> tuple[DataFrame, DataFrame]:

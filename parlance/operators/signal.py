@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from parlance.functions.times import micros
 from parlance.operators.intervals import over_blocks
 from parlance.operators.quality import gap_class
+from parlance.operators.selection import percentiles
 
 N_FFT, HOP = 2048, 1024
 
@@ -62,16 +63,6 @@ def frames(blocks: DataFrame, frame_s: float) -> DataFrame:
     return rows.select("recording_id", first.cast("long").alias("frame_no"), F.round((F.col("start_sample") + F.col("k") * F.col("size")) * 1e6 / F.col("sample_rate")).cast("long").alias("t0"), power.alias("power"))
 
 
-def percentiles(values: DataFrame, shares: tuple[float, ...], digits: int = 6) -> DataFrame:
-    """(recording_id, p: array, n) with interpolated percentiles of ``v``, from counts of values rounded to some digits.
-
-    Equal values of a recording are counted first, so what meets is no more than the different ones.
-    """
-    counts = values.groupBy("recording_id", F.round("v", digits).alias("v")).agg(F.count("*").alias("k"))
-    p = counts.groupBy("recording_id").agg(F.percentile("v", F.array(*map(F.lit, shares)), F.col("k")).alias("p"), F.sum("k").alias("n"))
-    return p.select("recording_id", "p", "n")
-
-
 def percentile_snr(fr: DataFrame, least: int = 5, margin_db: float = 15.0) -> DataFrame:
     """Per recording: P75 minus P25 of the frames' level, and the share of frames well above P25."""
     level = fr.select("recording_id", db(F.sqrt("power"), 1e-9).alias("v"))

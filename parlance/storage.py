@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -23,3 +23,10 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing has used."""
     return f"{shared_dir(spark)}/parlance/{label}-{uuid.uuid4().hex}"
+
+
+def store(df: DataFrame, label: str) -> DataFrame:
+    """df from a table in the shared folder: it is computed once, and a lost executor loses nothing of it."""
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

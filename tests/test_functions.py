@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from parlance.functions import languages, scores, text, times
+from parlance.functions import distances, languages, scores, text, times
 
 
 def one(spark, value, column):
@@ -44,12 +44,40 @@ def test_distances(spark, monkeypatch):
     random.seed(5)
     rows = [(" ".join(random.choices(["a", "bb", "é", "🙂", "d"], k=random.randint(0, 9))), " ".join(random.choices(["a", "bb", "é", "x"], k=random.randint(0, 9)))) for _ in range(60)]
     df = spark.createDataFrame(rows, "a string, b string")
-    got = df.select("a", "b", scores.char_distance(F.col("a"), F.col("b")), scores.word_distance(F.col("a"), F.col("b")), scores._long_word_distance(text.tokens(F.col("a")), text.tokens(F.col("b")))).collect()
+    got = df.select("a", "b", scores.char_distance(F.col("a"), F.col("b")), scores.word_distance(F.col("a"), F.col("b")), distances.list_edits(text.tokens(F.col("a")), text.tokens(F.col("b")))).collect()
     for a, b, c, w, long in got:
         assert c == distance(a, b)
         assert w == long == distance(a.split(), b.split())
 
 
+@pytest.mark.parametrize("band", [1, 2, 5, 64])
+def test_banded_distances(monkeypatch, band):
+    monkeypatch.setattr(distances, "FIRST_BAND", band)
+    rng = random.Random(band)
+    for _ in range(600):
+        a, b = ([rng.randint(0, 3) for _ in range(rng.randint(0, 40))] for _ in range(2))
+        b = a[:] if rng.random() < 0.6 else b
+        for _ in range(rng.randint(0, 8)):
+            if b and rng.random() < 0.5:
+                del b[rng.randrange(len(b))]
+            else:
+                b.insert(rng.randint(0, len(b)), rng.randint(0, 3))
+        assert distances.edits(a, b) == distance(a, b)
+
+
+def test_long_distances(spark):
+    rng = random.Random(1)
+    a = [rng.choice("abcdefg é🙂") for _ in range(60_000)]
+    b = a[:]
+    for k in range(0, 60_000, 600):
+        b[k] = "ß"
+    texts = spark.createDataFrame([("".join(a), "".join(b)), ("".join(a[:900]), "".join(a[:900])[::-1]), (None, "x"), ("x", None)], "a string, b string")
+    far = distance(a[:900], a[:900][::-1])
+    assert [r[0] for r in texts.select(scores.char_distance(F.col("a"), F.col("b"))).collect()] == [100, far, None, None]
+    words = spark.createDataFrame([(" ".join(map(str, range(30_000))), " ".join(map(str, range(1, 30_001)))), (None, "x")], "a string, b string")
+    assert [r[0] for r in words.select(scores.word_distance(F.col("a"), F.col("b"))).collect()] == [2, None]
+
+
 def test_rates_of_empty_references(spark):
     df = spark.createDataFrame([("", ""), ("x", "")], "p string, r string")
     assert [r[0] for r in df.select(scores.cer(F.col("p"), F.col("r"))).collect()] == [0.0, 1.0]

@@ -2,7 +2,8 @@
 
 Blocks are ``(recording_id, block_no, start_sample, sample_rate, samples)`` of a fixed number of samples, which
 the frame lengths divide; only a recording's last block is shorter. All level metrics are sums over blocks, so a
-recording of any length is spread over tasks. Spectra are made in Arrow batches, block by block, and summed after.
+recording of any length is spread over tasks. Spectra are made in Arrow batches, block by block, with the first samples
+of the blocks behind, and summed after.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +21,7 @@ from parlance.functions.times import micros
 from parlance.operators.intervals import over_blocks
 from parlance.operators.quality import gap_class
 from parlance.operators.selection import percentiles
+from parlance.storage import store
 
 N_FFT, HOP = 2048, 1024
 
@@ -108,71 +111,127 @@ def region_metrics(blocks: DataFrame, regions: DataFrame) -> DataFrame:
     return t.select("recording_id", snr.alias("snr_db"), cross.alias("crosstalk_ratio"), F.when(F.col("n") > 0, F.col("in_n") / F.col("n")).otherwise(0.0).alias("speech_ratio"), F.col("pn").alias("noise_power"))
 
 
+def rolling_median(values: np.ndarray, half: int) -> np.ndarray:
+    """Median of each value and up to half values on either side.
+
+    A tree of counts over the values' ranks is kept for the window; a value that enters or leaves costs as many steps
+    as the number of values has bits, whatever the window's width, and so does finding the middle.
+    """
+    n = len(values)
+    ranked = np.argsort(values, kind="stable")
+    rank = np.empty(n, np.int64)
+    rank[ranked] = np.arange(1, n + 1)
+    rank, in_order = rank.tolist(), values[ranked].tolist()
+    counts, top = [0] * (n + 1), 1 << n.bit_length() >> 1
+
+    def change(at: int, by: int) -> None:
+        while at <= n:
+            counts[at] += by
+            at += at & -at
+
+    def ranked_at(k: int) -> float:
+        """The value with k smaller ones in the window."""
+        at, step = 0, top
+        while step:
+            if at + step <= n and counts[at + step] <= k:
+                at += step
+                k -= counts[at]
+            step >>= 1
+        return in_order[at]
+
+    out = np.empty(n)
+    entered = 0
+    for i in range(n):
+        while entered < min(n, i + half + 1):
+            change(rank[entered], 1)
+            entered += 1
+        if i > half:
+            change(rank[i - half - 1], -1)
+        size = entered - max(0, i - half)
+        middle = ranked_at(size // 2)
+        out[i] = middle if size % 2 else (ranked_at(size // 2 - 1) + middle) / 2
+    return out
+
+
 def plosive_spikes(blocks: DataFrame, frame_s: float = 0.005, window_s: float = 0.2, factor: float = 3.0) -> DataFrame:
     """Frames louder than three times the median of those around them, counted per recording.
 
     Rolling medians are cut into runs of frames with a margin on both sides, so that a long recording is many
-    window partitions; margin frames take part but aren't counted.
+    groups; margin frames take part but aren't counted.
     """
     half = int(window_s / frame_s) // 2
-    run = 4096
+    run = max(4096, 2 * half)
     fr = frames(blocks, frame_s)
-    own = F.floor(F.col("frame_no") / run).cast("long")
-    near = F.array_distinct(F.array(own, F.floor((F.col("frame_no") - half) / run).cast("long"), F.floor((F.col("frame_no") + half) / run).cast("long")))
-    dealt = fr.withColumn("run", F.explode(near))
-    w = Window.partitionBy("recording_id", "run").orderBy("frame_no").rowsBetween(-half, half)
-    local = dealt.withColumn("m", F.percentile("power", F.lit(0.5)).over(w)).filter(own == F.col("run"))
-    return local.groupBy("recording_id").agg(F.count_if((F.col("m") > 1e-10) & (F.col("power") > factor * F.col("m"))).alias("plosive_spike_count"))
+    near = F.array_distinct(F.transform(F.array(*[F.lit(k) for k in (-half, 0, half)]), lambda k: F.floor((F.col("frame_no") + k) / run).cast("long")))
+    dealt = fr.select("recording_id", F.col("frame_no").alias("n"), "power", F.explode(near).alias("run"))
+
+    def count(key: tuple, rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("n")
+        power = rows["power"].to_numpy()
+        middle = rolling_median(power, half)
+        spikes = (rows["n"].to_numpy() // run == key[1].as_py()) & (middle > 1e-10) & (power > factor * middle)
+        return pa.table({"recording_id": pa.array([key[0].as_py()], pa.string()), "spikes": pa.array([int(spikes.sum())], pa.int64())})
+
+    counted = dealt.groupBy("recording_id", "run").applyInArrow(count, "recording_id string, spikes long")
+    return counted.groupBy("recording_id").agg(F.sum("spikes").alias("plosive_spike_count"))
+
+
+def with_halo(blocks: DataFrame, size: int) -> DataFrame:
+    """blocks with ``more``, the size samples that follow each block, as far as there are any, and ``total``, the recording's samples.
+
+    The heads of blocks are a narrow table, laid out to the blocks before them, so samples meet by (recording, block)
+    and never pass a window. Blocks of a recording have the same number of samples, but for the last.
+    """
+    block = F.floor(F.col("start_sample") / F.col("block_no")).cast("int")  # every block before has that many samples
+    reach = F.least(F.col("block_no"), F.ceil(F.lit(size) / F.greatest(block, F.lit(1))).cast("int"))
+    heads = blocks.filter("block_no > 0 AND size(samples) > 0").select("recording_id", F.col("block_no").alias("from"), F.slice("samples", 1, size).alias("head"), F.explode(F.sequence(F.col("block_no") - reach, F.col("block_no") - 1)).alias("block_no"))
+    heads = heads.groupBy("recording_id", "block_no").agg(F.array_sort(F.collect_list(F.struct("from", "head"))).alias("heads"))
+    heads = heads.select("recording_id", "block_no", F.slice(F.flatten(F.transform("heads", lambda h: h["head"])), 1, size).alias("more"))
+    total = blocks.select("recording_id", "block_no", F.size("samples").alias("n")).withColumn("total", F.sum("n").over(Window.partitionBy("recording_id"))).drop("n")
+    both = blocks.join(total, ["recording_id", "block_no"]).join(heads, ["recording_id", "block_no"], "left")
+    return both.withColumn("more", F.coalesce("more", F.array().cast("array<float>")))
+
+
+def flat(column: pa.Array) -> tuple[np.ndarray, list[int]]:
+    """All entries of an array column, and where each row's start and end."""
+    lengths = np.asarray(pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False), np.int64)
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64), np.concatenate([[0], np.cumsum(lengths)]).tolist()
 
 
 def spectra(blocks: DataFrame) -> DataFrame:
     """Sum of magnitude spectra of each block's frames (2048 samples, every 1024): (recording_id, magnitude, frames).
 
-    A frame that starts in a block may need the first samples of the next one, which a window hands over. The last
-    1024 to 2047 samples start no frame, as does a tail shorter than one; a recording shorter than two hops is
-    padded with zeros.
+    A frame belongs to the block it starts in and takes what it needs of those behind. The last 1024 to 2047 samples
+    start no frame, as does a tail shorter than one; a recording shorter than two hops is padded with zeros.
     """
-    w = Window.partitionBy("recording_id")
-    handed = F.lead(F.slice("samples", 1, HOP)).over(w.orderBy("block_no"))
-    rows = blocks.select("recording_id", "start_sample", "samples", F.coalesce(handed, F.array().cast("array<float>")).alias("more"), F.sum(F.size("samples")).over(w).alias("total"))
+    rows = with_halo(blocks, N_FFT - 1).select("recording_id", "start_sample", "samples", "more", "total")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, sums, counts = [], [], []
-            for rid, start, x, more, total in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                wave = np.array(x + more, np.float64)
-                n = max(1, (total - N_FFT) // HOP)
-                first = -(-start // HOP)
-                mine = [i for i in range(first, first + len(x) // HOP + 1) if i < n and i * HOP < start + len(x)]
-                if not mine:
+            (x, at), (more, more_at) = flat(b.column(2)), flat(b.column(3))
+            for k, (rid, start, total) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(4).to_pylist(), strict=True)):
+                size = at[k + 1] - at[k]
+                first, last = -(-start // HOP), min(max(1, (total - N_FFT) // HOP), -(-(start + size) // HOP))
+                if first >= last:
                     continue
-                padded = np.pad(wave, (0, max(0, (mine[-1] * HOP - start) + N_FFT - len(wave))))
-                grid = np.stack([padded[i * HOP - start : i * HOP - start + N_FFT] for i in mine])
+                wave = np.concatenate([x[at[k] : at[k + 1]], more[more_at[k] : more_at[k + 1]]])
+                wave = np.pad(wave, (0, max(0, (last - 1) * HOP - start + N_FFT - len(wave))))
+                grid = np.lib.stride_tricks.sliding_window_view(wave, N_FFT)[first * HOP - start :: HOP][: last - first]
                 ids.append(rid)
                 sums.append(np.abs(np.fft.rfft(grid, axis=1)).sum(0))
-                counts.append(len(mine))
+                counts.append(last - first)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(sums, pa.list_(pa.float64())), pa.array(counts, pa.int64())], names=["recording_id", "magnitude", "frames"])
 
     return rows.mapInArrow(run, "recording_id string, magnitude array<double>, frames long")
 
 
 def mean_spectrum(blocks: DataFrame) -> DataFrame:
-    """(recording_id, magnitude: array): the mean over all frames, one number a bin."""
-    s = spectra(blocks).select("recording_id", "frames", "magnitude")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sums: dict[str, list] = {}
-            for rid, n, m in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                held = sums.setdefault(rid, [0, 0.0])
-                held[0], held[1] = held[0] + n, held[1] + np.array(m)
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array([v[0] for v in sums.values()], pa.int64()), pa.array([v[1] for v in sums.values()], pa.list_(pa.float64()))], names=["recording_id", "frames", "magnitude"])
-
-    # blocks of a recording are added up within a batch, then the few sums that are left
-    part = s.mapInArrow(run, "recording_id string, frames long, magnitude array<double>")
-    add = part.groupBy("recording_id").agg(F.sum("frames").alias("n"), F.collect_list("magnitude").alias("ms"))
-    total = F.aggregate("ms", F.array_repeat(F.lit(0.0), N_FFT // 2 + 1), lambda t, m: F.zip_with(t, m, lambda x, y: x + y))
-    return add.select("recording_id", F.transform(total, lambda x: x / F.col("n")).alias("magnitude"))
+    """(recording_id, magnitude: array): the mean over all frames, one number a bin; sums are added up bin by bin."""
+    bins = spectra(blocks).select("recording_id", "frames", F.posexplode("magnitude").alias("bin", "m"))
+    sums = bins.groupBy("recording_id", "bin").agg((F.sum("m") / F.sum("frames")).alias("m"))
+    whole = sums.groupBy("recording_id").agg(F.array_sort(F.collect_list(F.struct("bin", "m"))).alias("bins"))
+    return whole.select("recording_id", F.transform("bins", lambda x: x["m"]).alias("magnitude"))
 
 
 def roll_off(spectrum: DataFrame, rates: DataFrame, share: float = 0.85) -> DataFrame:
@@ -234,9 +293,9 @@ def file_metrics(blocks: DataFrame, regions: DataFrame) -> DataFrame:
     return out
 
 
-def report_metrics(blocks: DataFrame) -> DataFrame:
+def report_metrics(blocks: DataFrame, frame_s: float = 0.02, margin_db: float = 15.0) -> DataFrame:
     """Level, clipping, percentile SNR and speech share of each recording, for the quality rules."""
-    return levels(blocks).join(percentile_snr(frames(blocks, 0.02)).drop("p25"), "recording_id", "left").fillna({"snr_db": 0.0, "speech_pct": 0.0})
+    return levels(blocks).join(percentile_snr(frames(blocks, frame_s), margin_db=margin_db).drop("p25"), "recording_id", "left").fillna({"snr_db": 0.0, "speech_pct": 0.0})
 
 
 def speaker_metrics(blocks: DataFrame, turns: DataFrame) -> DataFrame:
@@ -255,13 +314,17 @@ def speaker_metrics(blocks: DataFrame, turns: DataFrame) -> DataFrame:
 
 
 def speaker_audio(blocks: DataFrame, turns: DataFrame) -> DataFrame:
-    """Blocks of each speaker's own samples, in turn order, renumbered as recordings ``recording/speaker``."""
+    """Blocks of each speaker's own samples, in turn order, renumbered as recordings ``recording/speaker``.
+
+    The order is found on narrow rows; samples are cut and written once and joined to their new places.
+    """
     held = over_blocks(blocks, turns, ["speaker_id", "turn_no"])
-    rid = F.concat_ws("/", "recording_id", "speaker_id")
-    cut = held.select(rid.alias("recording_id"), "turn_no", "block_no", "sample_rate", "samples")
-    w = Window.partitionBy("recording_id").orderBy("turn_no", "block_no")
-    before = F.coalesce(F.sum(F.size("samples")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return cut.select("recording_id", (F.row_number().over(w) - 1).alias("block_no"), before.alias("start_sample"), "sample_rate", "samples")
+    cut = held.select(F.concat_ws("/", "recording_id", "speaker_id").alias("recording_id"), "turn_no", "block_no", "sample_rate", "samples")
+    cut = store(cut.withColumn("piece", F.monotonically_increasing_id()), "speaker-audio")
+    w = Window.partitionBy("recording_id").orderBy("turn_no", "block_no", "piece")
+    before = F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    places = cut.select("recording_id", "turn_no", "block_no", "piece", F.size("samples").alias("n")).select("piece", (F.row_number().over(w) - 1).alias("block_no"), before.alias("start_sample"))
+    return cut.drop("turn_no", "block_no").join(places, "piece").select("recording_id", "block_no", "start_sample", "sample_rate", "samples")
 
 
 def energy_regions(blocks: DataFrame, frame_s: float = 0.02, margin_db: float = 15.0, floor_db: float = -55.0, gap_s: float = 0.3) -> DataFrame:

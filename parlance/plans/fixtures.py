@@ -69,6 +69,15 @@ def waveform(spark: SparkSession, sf_dir: str, blocks: int = 4) -> DataFrame:
     return e.select("recording_id", "block_no", (F.col("block_no") * n).cast("long").alias("start_sample"), F.lit(16).alias("sample_rate"), F.slice("embedding", F.col("block_no") * n + 1, F.lit(n)).alias("samples"))
 
 
+def joined_waves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings end to end, 64 of them a recording of 4,096 samples at 16 Hz, each one a block."""
+    e = table(spark, sf_dir, "embeddings")
+    return e.select(
+        F.floor(F.col("vec_id") / 64).cast("string").alias("recording_id"), (F.col("vec_id") % 64).cast("int").alias("block_no"), (F.col("vec_id") % 64 * 64).cast("long").alias("start_sample"),
+        F.lit(16).alias("sample_rate"), F.col("embedding").alias("samples"),
+    )
+
+
 def interview_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversation turns as files of an interview, one a minute."""
     c = table(spark, sf_dir, "conversations")

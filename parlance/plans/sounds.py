@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from parlance.operators import intervals, signal, speakers
 from parlance.plans import fixtures as fx
-from parlance.plans.waves import FRAMES, SPECTRUM_SQL, WAVE
+from parlance.plans.waves import FRAMES, JOINED, SNR_SQL, SPECTRUM_SQL, WAVE
 
 
 def ranges(spark: SparkSession, sf_dir: str, rows: list[tuple], columns: str) -> DataFrame:
@@ -53,6 +53,24 @@ def q_speaker_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.groupBy("recording_id").agg(F.sum(F.size("samples")).alias("n"), F.round(F.sum(weighed), 4).alias("weighed"))
 
 
+def q_joined_speaker_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over waves of 64 blocks, with turns that reach over many of them and come in another order than their times."""
+    b = fx.joined_waves(spark, sf_dir)
+    turns = [(0, "S0", 100.25, 130.0), (1, "S1", 1.0, 77.5), (2, "S0", 3.0, 9.75), (3, "S0", 120.0, 400.0)]
+    items = F.array(*[F.struct(F.lit(n).alias("turn_no"), F.lit(s).alias("speaker_id"), F.lit(x).alias("start_s"), F.lit(y).alias("end_s")) for n, s, x, y in turns])
+    t = b.filter("block_no = 0").select("recording_id", F.explode(items).alias("r")).select("recording_id", "r.*")
+    a = signal.speaker_audio(b, t)
+    weighed = F.aggregate(F.transform("samples", lambda x, i: x.cast("double") * (F.col("start_sample") + i + 1)), F.lit(0.0), lambda s, v: s + v)
+    return a.groupBy("recording_id").agg(F.sum(F.size("samples")).alias("n"), F.round(F.sum(weighed), 3).alias("weighed"))
+
+
+JOINED_AUDIO_SQL = f"""
+WITH t(n, s, a, b) AS (VALUES (0, 'S0', 1604, 2080), (1, 'S1', 16, 1240), (2, 'S0', 48, 156), (3, 'S0', 1920, 6400)),
+o AS (SELECT recording_id || '/' || s AS recording_id, v, row_number() OVER (PARTITION BY recording_id, s ORDER BY n, p) AS i FROM {JOINED} JOIN t ON p >= a AND p < b)
+SELECT recording_id, count(*) AS n, round(sum(v * i), 3) AS weighed FROM o GROUP BY ALL
+"""
+
+
 def _weighed(x: str) -> str:
     return f"round(list_sum(list_transform({x}, lambda v, i: v * i)), 4)"
 
@@ -112,13 +130,15 @@ SELECT recording_id, 4.0::DOUBLE AS duration_s, CAST(c AS BIGINT) AS clipped_sam
 
 
 def q_report_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The metrics that the quality rules take; recordings of this length have frames of no sample, so SNR and share are 0."""
-    m = signal.report_metrics(fx.waveform(spark, sf_dir))
-    return m.select("recording_id", "duration_s", F.round("rms_dbfs", 4).alias("rms_dbfs"), F.round("clip_pct", 4).alias("clip_pct"), "snr_db", "speech_pct")
+    """The metrics that the quality rules take, from frames of half a second, since these waves have 16 samples a second."""
+    m = signal.report_metrics(fx.waveform(spark, sf_dir), 0.5, 2.0)
+    return m.select("recording_id", "duration_s", *[F.round(c, 4).alias(c) for c in ("rms_dbfs", "clip_pct", "snr_db", "speech_pct")])
 
 
-REPORT_SQL = f"""SELECT recording_id, 4.0::DOUBLE AS duration_s, round(20 * log10(greatest(sqrt(list_sum(list_transform(x, lambda v: v * v)) / 64), 1e-12)), 4) AS rms_dbfs,
-  round(100 * len(list_filter(x, lambda v: abs(v) >= 0.997)) / 64::DOUBLE, 4) AS clip_pct, 0.0::DOUBLE AS snr_db, 0.0::DOUBLE AS speech_pct FROM {WAVE}"""
+REPORT_SQL = f"""
+WITH q AS ({SNR_SQL})
+SELECT recording_id, 4.0::DOUBLE AS duration_s, round(20 * log10(greatest(sqrt(list_sum(list_transform(x, lambda v: v * v)) / 64), 1e-12)), 4) AS rms_dbfs,
+  round(100 * len(list_filter(x, lambda v: abs(v) >= 0.997)) / 64::DOUBLE, 4) AS clip_pct, snr_db, speech_pct FROM {WAVE} JOIN q USING (recording_id)"""
 
 
 def q_energy_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,6 +195,7 @@ QUERIES = {
     "q_speaker_metrics": (q_speaker_metrics, SPEAKER_SQL),
     "q_others_power": (q_others_power, OTHERS_SQL),
     "q_speaker_audio": (q_speaker_audio, AUDIO_SQL),
+    "q_joined_speaker_audio": (q_joined_speaker_audio, JOINED_AUDIO_SQL),
     "q_chunk_samples": (q_chunk_samples, CHUNK_SQL),
     "q_speech_frames": (q_speech_frames, FRAME_SQL),
     "q_gap_classes": (q_gap_classes, GAP_SQL),

@@ -78,6 +78,37 @@ SELECT recording_id, min(b) FILTER (c >= 0.85 * t) * 16 / 2048::DOUBLE AS spectr
 """
 
 
+def q_joined_spectrum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roll-off and bandwidth of waves of 64 blocks, whose frames reach over 32 of them."""
+    b = fx.joined_waves(spark, sf_dir)
+    s, r = signal.mean_spectrum(b), b.select("recording_id", "sample_rate").distinct()
+    return signal.roll_off(s, r).join(signal.bandwidth(s, r), "recording_id")
+
+
+#: Samples of the joined waves by place, with the number of frames (a recording has one at least).
+JOINED = """(SELECT recording_id, p, v, greatest(1, (total - 2048) // 1024) AS frames FROM (SELECT CAST(vec_id // 64 AS VARCHAR) AS recording_id, vec_id % 64 * 64 + k - 1 AS p, CAST(v AS DOUBLE) AS v,
+  sum(1) OVER (PARTITION BY vec_id // 64) AS total FROM (SELECT vec_id, unnest(embedding) AS v, unnest(range(1, 65)) AS k FROM embeddings)))"""
+JOINED_SQL = f"""
+WITH f AS (SELECT recording_id, i, p - i * 1024 AS k, v, frames FROM {JOINED}, (SELECT unnest(range(4)) AS i) WHERE i < frames AND p >= i * 1024 AND p < i * 1024 + 2048),
+m AS (SELECT recording_id, i, b, max(frames) AS frames, sqrt(pow(sum(v * cos(2 * pi() * (b * k % 2048) / 2048)), 2) + pow(sum(v * sin(2 * pi() * (b * k % 2048) / 2048)), 2)) AS m FROM f, (SELECT unnest(range(0, 1025)) AS b) GROUP BY recording_id, i, b),
+a AS (SELECT recording_id, b, sum(m) / max(frames) AS m FROM m GROUP BY ALL),
+s AS (SELECT *, sum(m * m) OVER (PARTITION BY recording_id ORDER BY b) AS c, sum(m * m) OVER (PARTITION BY recording_id) AS t, 20 * log10(m + 1e-10) AS db, max(20 * log10(m + 1e-10)) OVER (PARTITION BY recording_id) AS top FROM a)
+SELECT recording_id, min(b) FILTER (c >= 0.85 * t) * 16 / 2048::DOUBLE AS spectral_rolloff_hz, (max(b) FILTER (db >= top - 20) - min(b) FILTER (db >= top - 20)) * 16 / 2048::DOUBLE AS effective_bandwidth_hz FROM s GROUP BY recording_id
+"""
+
+
+def q_joined_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loud frames of waves of 64 blocks against the median of 201 around each."""
+    return signal.plosive_spikes(fx.joined_waves(spark, sf_dir), 0.25, 50.0, 1.5)
+
+
+JOINED_SPIKES_SQL = f"""
+WITH f AS (SELECT recording_id, p // 4 AS k, sum(v * v) / 4 AS power FROM {JOINED} GROUP BY ALL),
+m AS (SELECT *, quantile_cont(power, 0.5) OVER (PARTITION BY recording_id ORDER BY k ROWS BETWEEN 100 PRECEDING AND 100 FOLLOWING) AS m FROM f)
+SELECT recording_id, count(*) FILTER (m > 1e-10 AND power > 1.5 * m) AS plosive_spike_count FROM m GROUP BY ALL
+"""
+
+
 def q_ctc_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of documents as frame ids by their length, repeats and blanks dropped."""
     d = fx.table(spark, sf_dir, "documents").select("doc_id", F.transform(F.split(F.coalesce("text", F.lit("")), " "), lambda w: F.length(w) % 6).alias("ids"))
@@ -96,5 +127,7 @@ QUERIES = {
     "q_region_power": (q_region_power, REGION_SQL),
     "q_spikes": (q_spikes, SPIKES_SQL),
     "q_spectrum": (q_spectrum, SPECTRUM_SQL),
+    "q_joined_spectrum": (q_joined_spectrum, JOINED_SQL),
+    "q_joined_spikes": (q_joined_spikes, JOINED_SPIKES_SQL),
     "q_ctc_collapse": (q_ctc_collapse, CTC_SQL),
 }

@@ -138,3 +138,34 @@ def test_file_metrics_one_row(spark, blocks):
     regions = spark.createDataFrame([("sine", 0, 0.0, 1.0)], schemas.REGIONS)
     r = signal.file_metrics(blocks.filter("recording_id = 'sine'"), regions).collect()
     assert len(r) == 1 and abs(r[0]["snr_db"]) < 0.1
+
+
+def test_rolling_median_against_numpy():
+    rng = np.random.default_rng(4)
+    for n, half in ((1, 3), (2, 0), (50, 1), (200, 20), (333, 400)):
+        for x in (rng.normal(size=n), rng.integers(0, 3, n).astype(float), np.zeros(n)):
+            want = [np.median(x[max(0, i - half) : i + half + 1]) for i in range(n)]
+            assert signal.rolling_median(x, half).tolist() == want
+
+
+def dealt(spark, waves, size):
+    rows = [(name, k, k * size, RATE, x[k * size : (k + 1) * size].tolist(), None) for name, x in waves.items() for k in range(max(1, -(-len(x) // size)))]
+    return spark.createDataFrame(rows, schemas.BLOCKS).repartition(5)
+
+
+@pytest.mark.parametrize("size", [64, 1000, 1024, 3333, 20_000])
+def test_metrics_do_not_depend_on_blocks(spark, size):
+    rng = np.random.default_rng(9)
+    waves = {"long": rng.normal(size=9_000).astype(np.float32), "short": rng.normal(size=1500).astype(np.float32), "none": np.empty(0, np.float32)}
+    b = dealt(spark, waves, size)
+    got = {r["recording_id"]: np.array(r["magnitude"]) for r in signal.mean_spectrum(b).collect()}
+    for name in ("long", "short"):
+        x = waves[name].astype(float)
+        n = max(1, (len(x) - 2048) // 1024)
+        frames = [x[i * 1024 : i * 1024 + 2048] for i in range(n)]
+        want = sum(np.abs(np.fft.rfft(np.pad(f, (0, 2048 - len(f))))) for f in frames) / n
+        assert np.allclose(got[name], want, atol=1e-9)
+    turns = spark.createDataFrame([("long", 0, "A", 0.3, 0.5), ("long", 1, "B", 0.0, 0.25), ("long", 2, "A", 0.1, 0.2)], schemas.TURNS)
+    rows = sorted(signal.speaker_audio(b, turns).filter("recording_id = 'long/A'").collect(), key=lambda r: r["start_sample"])
+    assert np.concatenate([r["samples"] for r in rows]).tolist() == np.concatenate([waves["long"][4800:8000], waves["long"][1600:3200]]).tolist()
+    assert [r["block_no"] for r in rows] == list(range(len(rows)))

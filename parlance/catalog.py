@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parlance.plans import exchange, meetings, models, ratings, scores, sounds, speech, streams, texts, training, waves
+from parlance.plans import exchange, meetings, models, ratings, recordings, scores, sounds, speech, streams, texts, training, waves
 
-MODULES = (speech, ratings, texts, training, waves, meetings, streams, scores, models, exchange, sounds)
+MODULES = (speech, ratings, texts, training, waves, meetings, streams, scores, models, exchange, sounds, recordings)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parlance import schemas
+from parlance.sources.pcm import header, resample
 
 RATE = 16_000
 #: Samples of a block: a multiple of the spectrum's 2048 and of 20 ms and 5 ms frames at 16 kHz.
@@ -35,16 +36,32 @@ def decode_wave(data: bytes) -> tuple[np.ndarray, int]:
 
 
 def mono(x: np.ndarray, rate: int, target: int = RATE) -> np.ndarray:
-    """Mean of the channels at the target rate, by linear interpolation."""
+    """Mean of the channels at the target rate, low-passed to what that rate can hold."""
     y = x.mean(axis=1) if x.ndim == 2 else x
-    if rate != target and len(y):
-        n = round(len(y) * target / rate)
-        y = np.interp(np.arange(n) * rate / target, np.arange(len(y)), y)
-    return y.astype(np.float32)
+    return (y if rate == target else resample(y, rate, target)).astype(np.float32)
 
 
-def metadata(spark: SparkSession, path: str, glob: str = "*.wav") -> DataFrame:
-    """One row for each file: duration, rate, channels, format, size; defaults and an error where it can't be read."""
+def wave_facts(data: bytes) -> tuple[float, int, int]:
+    """(seconds, rate, channels) from a wave file's header."""
+    w = header(io.BytesIO(data))
+    return w.frames / w.rate, w.rate, w.channels
+
+
+def decoded_facts(decoder: Decoder) -> Callable[[bytes], tuple[float, int, int]]:
+    """The same of another format, by decoding it."""
+
+    def facts(data: bytes) -> tuple[float, int, int]:
+        x, rate = decoder(data)
+        return len(x) / rate, rate, x.shape[1] if x.ndim == 2 else 1
+
+    return facts
+
+
+def metadata(spark: SparkSession, path: str, glob: str = "*.wav", facts: Callable[[bytes], tuple[float, int, int]] = wave_facts) -> DataFrame:
+    """One row for each file: duration, rate, channels, format, size; defaults and an error where it can't be read.
+
+    facts says what a file holds, by its header or by ``decoded_facts``. ``pcm.metadata`` reads headers alone.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -52,8 +69,7 @@ def metadata(spark: SparkSession, path: str, glob: str = "*.wav") -> DataFrame:
             for p, n, data in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 ext = p.rsplit(".", 1)[-1].lower()
                 try:
-                    with wave.open(io.BytesIO(data)) as w:
-                        rows.append((p, w.getnframes() / w.getframerate(), w.getframerate(), w.getnchannels(), ext, n, None))
+                    rows.append((p, *facts(data), ext, n, None))
                 except Exception as e:
                     rows.append((p, 0.0, RATE, 1, ext, n, f"{type(e).__name__}: {e}"))
             kinds = [pa.string(), pa.float64(), pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.string()]
@@ -87,15 +103,14 @@ def blocks(spark: SparkSession, path: str, glob: str = "*.wav", decoder: Decoder
     return f.select("path", "content").mapInArrow(run, schemas.BLOCKS)
 
 
-def with_duration(rows: DataFrame, decoder: Decoder = decode_wave) -> DataFrame:
-    """Corpus rows (audio struct of bytes and path) with their duration in seconds; null where bytes can't be read."""
+def with_duration(rows: DataFrame, facts: Callable[[bytes], tuple[float, int, int]] = wave_facts) -> DataFrame:
+    """Corpus rows (audio struct of bytes and path) with their duration in seconds, from headers; null where bytes can't be read."""
 
     @F.pandas_udf("double")
     def seconds(data):
         def one(x: bytes | None) -> float | None:
             try:
-                y, rate = decoder(x)
-                return len(y) / rate
+                return facts(x)[0]
             except Exception:
                 return None
 

@@ -8,11 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parlance.functions.times import micros
+from parlance.storage import store
 
 NO_SPEAKER = "SPEAKER_00"
 
@@ -127,39 +130,117 @@ def non_speech_regions(regions: DataFrame, totals: DataFrame, min_gap_s: float =
     return gaps.select("recording_id", (F.col("a") / 1e6).alias("start_s"), (F.col("b") / 1e6).alias("end_s"))
 
 
-def vad_groups(regions: DataFrame, max_s: float = 30.0, max_gap_s: float = 3.0) -> DataFrame:
+def vad_groups(regions: DataFrame, max_s: float = 30.0, max_gap_s: float = 3.0, block: int = 4096) -> DataFrame:
     """Greedy grouping of regions: a group grows while it stays within max_s and the gap stays below max_gap_s.
 
-    Where a gap is max_gap_s or more a group ends whatever came before, so recordings are first cut there; only these
-    runs are gone through in order. Yields (recording_id, g_no, regions, g0_s, g1_s).
+    Where a group that starts at some region ends depends on what follows alone, so every region points to the start of
+    the group after its own. Blocks of regions, each with its neighbours, turn these pointers into jumps from block to
+    block; the starts that are really met are found from the first regions and those after long gaps by doubling the
+    jumps, as many rounds as the number of blocks in a row has bits. No recording and no endless run of close regions
+    is gone through in one task; only its narrow rows are put in order. Yields (recording_id, g_no, regions, g0_s, g1_s).
     """
     most, gap = int(max_s * 1_000_000), int(max_gap_s * 1_000_000)
     w = Window.partitionBy("recording_id").orderBy("pos")
     r = regions.select("recording_id", "pos", micros(F.col("start_s")).alias("a"), micros(F.col("end_s")).alias("b"))
-    cut = islands(r, ["recording_id"], ["pos"], F.when(F.lag("b").over(w).isNotNull(), F.col("a") - F.lag("b").over(w) >= gap), "run")
-
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            part = []
-            for starts, ends in zip(b["a"], b["b"], strict=True):
-                no, first, out = 0, None, []
-                for x, y in zip(starts, ends, strict=True):
-                    if first is None or y - first > most:
-                        no, first = no + (first is not None), x
-                    out.append(no)
-                part.append(out)
-            yield pd.DataFrame({"recording_id": b["recording_id"], "run": b["run"], "a": b["a"], "b": b["b"], "part": part})
-
-    rows = cut.groupBy("recording_id", "run").agg(F.array_sort(F.collect_list(F.struct("pos", "a", "b"))).alias("rows"))
-    runs = rows.select("recording_id", "run", F.transform("rows", lambda x: x["a"]).alias("a"), F.transform("rows", lambda x: x["b"]).alias("b"))
-    each = runs.mapInPandas(fold, "recording_id string, run long, a array<long>, b array<long>, part array<int>")
-    each = each.select("recording_id", "run", F.posexplode(F.arrays_zip("a", "b", "part")).alias("k", "r")).select("recording_id", "run", "k", "r.*")
-    grouped = each.groupBy("recording_id", "run", "part").agg(F.array_sort(F.collect_list(F.struct("k", "a", "b"))).alias("rs"))
-    grouped = grouped.withColumn("g_no", F.row_number().over(Window.partitionBy("recording_id").orderBy("run", "part")) - 1)
-    return grouped.select(
-        "recording_id", "g_no", F.transform("rs", lambda r: F.struct((r["a"] / 1e6).alias("start_s"), (r["b"] / 1e6).alias("end_s"))).alias("regions"),
-        (F.element_at("rs", 1)["a"] / 1e6).alias("g0_s"), (F.element_at("rs", -1)["b"] / 1e6).alias("g1_s"),
-    )
+    fresh = F.coalesce(F.col("a") - F.lag("b").over(w) >= gap, F.lit(True))
+    placed = store(r.select("recording_id", "a", "b", fresh.alias("fresh"), (F.row_number().over(w) - 1).cast("long").alias("i")), "regions")
+    while True:
+        jumps = store(_group_jumps(placed, most, block), "region-jumps")
+        if not jumps.filter("i IS NULL").limit(1).count():
+            break
+        block *= 4  # a group is longer than a block: so many regions lie within max_s
+    met = jumps.filter("first").select("recording_id", "i")
+    to = jumps.filter("next IS NOT NULL").select("recording_id", "i", "next")
+    while True:
+        reached = store(met.unionByName(met.join(to, ["recording_id", "i"]).select("recording_id", F.col("next").alias("i"))).distinct(), "region-starts")
+        further = store(to.join(to.select("recording_id", F.col("i").alias("next"), F.col("next").alias("after")), ["recording_id", "next"]).select("recording_id", "i", F.col("after").alias("next")), "region-jumps")
+        met, to = reached, further
+        if not further.limit(1).count():
+            break
+    grouped = store(_groups_from(placed, met, most, block), "region-groups")
+    number = grouped.select("recording_id", "i").withColumn("g_no", F.row_number().over(Window.partitionBy("recording_id").orderBy("i")) - 1)
+    return grouped.join(number, ["recording_id", "i"]).select("recording_id", "g_no", "regions", F.element_at("regions", 1)["start_s"].alias("g0_s"), F.element_at("regions", -1)["end_s"].alias("g1_s"))
+
+
+def _next_starts(rows: pa.Table, most: int) -> tuple[np.ndarray, list[int], list[int], list[int], list[bool]]:
+    """Regions in order (places, starts, ends), for each where the group after one that starts with it starts (an index, or their number), and which
+    are after a long gap."""
+    rows = rows.sort_by("i")
+    i, a, b, fresh = rows["i"].to_numpy(), *(rows[c].to_pylist() for c in ("a", "b", "fresh"))
+    n = len(i)
+    found = [n] * n
+    # the first later end beyond a limit: ends that an earlier one covers never are
+    ends: list[int] = []
+    for k in range(n - 1, -1, -1):
+        lo, hi = 0, len(ends)  # ends holds indices of ever larger ends, the nearest last
+        while lo < hi:
+            middle = (lo + hi) // 2
+            if b[ends[middle]] > a[k] + most:
+                lo = middle + 1
+            else:
+                hi = middle
+        found[k] = ends[lo - 1] if lo else n
+        while ends and b[ends[-1]] <= b[k]:
+            ends.pop()
+        ends.append(k)
+    following = n
+    for k in range(n - 1, -1, -1):
+        found[k] = min(found[k], following)
+        if fresh[k]:
+            following = k
+    return i, a, b, found, fresh
+
+
+def _group_jumps(placed: DataFrame, most: int, block: int) -> DataFrame:
+    """(recording_id, i, next, first): starts in a block, by where the chain of starts enters the next block; a null i if blocks are too short."""
+    own = F.floor(F.col("i") / block)
+    near = placed.select("*", F.explode(F.filter(F.array(own - 1, own, own + 1), lambda k: k >= 0)).alias("block"))
+
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        k = key[1].as_py()
+        i, _, _, found, fresh = _next_starts(rows, most)
+        lo, hi, n = int(np.searchsorted(i, k * block)), int(np.searchsorted(i, (k + 1) * block)), len(i)
+        if lo == hi:  # neighbours only
+            return out([], [], [])
+        # without an end among the rows, a group ends where the recording does, if that is what ends the rows
+        if any(found[j] == n for j in range(lo, hi)) and n - hi == block:
+            return out([None], [None], [False])
+        exits = [n] * n
+        for j in range(hi - 1, lo - 1, -1):
+            t = found[j]
+            exits[j] = n if t == n or fresh[t] else t if t >= hi else exits[t]
+        entries = sorted({found[j] for j in range(lo) if lo <= found[j] < hi} | {j for j in range(lo, hi) if fresh[j]})
+        return out([int(i[j]) for j in entries], [int(i[exits[j]]) if exits[j] < n else None for j in entries], [bool(fresh[j]) for j in entries], key[0].as_py())
+
+    def out(starts: list, nexts: list, first: list, rid: str | None = None) -> pa.Table:
+        return pa.table({"recording_id": pa.array([rid] * len(starts), pa.string()), "i": pa.array(starts, pa.int64()), "next": pa.array(nexts, pa.int64()), "first": pa.array(first, pa.bool_())})
+
+    return near.groupBy("recording_id", "block").applyInArrow(run, "recording_id string, i long, next long, first boolean")
+
+
+def _groups_from(placed: DataFrame, met: DataFrame, most: int, block: int) -> DataFrame:
+    """(recording_id, i, regions): all groups, each from the block that its first region is in."""
+    own = F.floor(F.col("i") / block)
+    near = placed.select("*", F.explode(F.filter(F.array(own - 1, own), lambda k: k >= 0)).alias("block"))
+    starts = met.select(F.col("recording_id").alias("_rid"), own.alias("_block"), "i")
+    kind = pa.list_(pa.struct([("start_s", pa.float64()), ("end_s", pa.float64())]))
+
+    def run(key: tuple, rows: pa.Table, entries: pa.Table) -> pa.Table:
+        i, a, b, found, fresh = _next_starts(rows, most)
+        hi = int(np.searchsorted(i, (key[1].as_py() + 1) * block))
+        firsts, groups = [], []
+        for e in sorted(entries["i"].to_pylist()):
+            j = int(np.searchsorted(i, e))
+            while j < hi:
+                t = found[j]
+                firsts.append(int(i[j]))
+                groups.append([{"start_s": a[x] / 1e6, "end_s": b[x] / 1e6} for x in range(j, t)])
+                if t < len(i) and fresh[t]:
+                    break  # a start of its own
+                j = t
+        return pa.table({"recording_id": pa.array([key[0].as_py()] * len(firsts), pa.string()), "i": pa.array(firsts, pa.int64()), "regions": pa.array(groups, kind)})
+
+    return near.groupBy("recording_id", "block").cogroup(starts.groupBy("_rid", "_block")).applyInArrow(run, "recording_id string, i long, regions array<struct<start_s:double,end_s:double>>")
 
 
 def split_long(groups: DataFrame, max_s: float = 30.0) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parlance.operators import warping
 from parlance.plans import fixtures as fx
 from parlance.plans.waves import JOINED
 from parlance.sinks import documents
@@ -93,7 +94,29 @@ WITH t AS (SELECT conv_id, turn, regexp_replace(replace(concat_ws(': ', role, co
 SELECT CAST(conv_id AS VARCHAR) AS name, md5(string_agg(x || chr(10), '' ORDER BY turn, x)) AS digest, false AS broken FROM t GROUP BY conv_id UNION ALL SELECT '', NULL, true
 """
 
+def q_warped_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every twentieth vector as a query: the five nearest of all vectors of its label, by time warping within six samples."""
+    e = fx.table(spark, sf_dir, "embeddings")
+    items = e.select(F.col("vec_id").alias("item_id"), "label", F.col("embedding").alias("series"))
+    found = warping.nearest_warped(items.filter("item_id % 20 = 0").withColumnRenamed("item_id", "query_id"), items, "label", 5, 6)
+    return found.select("query_id", "item_id", F.round("distance", 6).alias("distance"), "rank")
+
+
+#: The table of path costs row by row, each cell the least of what lies below, left and both.
+WARPED_SQL = """
+WITH RECURSIVE e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings WHERE label IS NOT NULL),
+t(q, t, x, y, i, d) AS (
+  SELECT a.vec_id, b.vec_id, a.x, b.x, 0, list_prepend(0.0::DOUBLE, list_transform(range(64), lambda j: 'inf'::DOUBLE)) FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0
+  UNION ALL
+  SELECT q, t, x, y, i + 1, list_reduce(
+      list_prepend(['inf'::DOUBLE], list_transform(range(1, 65), lambda j: [CASE WHEN abs(j - i - 1) <= 6 THEN pow(x[i + 1] - y[j], 2) ELSE 'inf'::DOUBLE END, least(d[j + 1], d[j])])),
+      lambda a, c: list_append(a, c[1] + least(c[2], a[len(a)])))
+  FROM t WHERE i < 64)
+SELECT q AS query_id, t AS item_id, round(sqrt(d[65]), 6) AS distance, CAST(row_number() OVER (PARTITION BY q ORDER BY d[65], t) AS INT) AS rank FROM t WHERE i = 64 QUALIFY rank <= 5
+"""
+
 QUERIES = {
+    "q_warped_search": (q_warped_search, WARPED_SQL),
     "q_wave_files": (q_wave_files, WAVE_FILES_SQL),
     "q_decoded_waves": (q_decoded_waves, DECODED_SQL),
     "q_resampled_waves": (q_resampled_waves, RESAMPLED_SQL),

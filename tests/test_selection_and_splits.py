@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from parlance.operators import dataset, selection
+from parlance.operators import dataset, intervals, selection
 
 
 def test_percentiles_against_numpy(spark):
@@ -72,3 +72,40 @@ def test_split_sizes_count_keys(repeated):
     assert keys == {"a": 3, "b": 1, None: 1}
     dev = {r["id"] for r in dataset.dev_split(repeated, "id", 0.5).collect() if r["split"] == "dev"}
     assert len(dev) == 12
+
+
+def greedy(rows, most, gap):
+    """Groups of one recording's regions (start, end in seconds), gone through in order."""
+    groups = []
+    for k, (a, b) in enumerate(rows):
+        if not k or a - rows[k - 1][1] >= gap or b - groups[-1][0][0] > most:
+            groups.append([])
+        groups[-1].append((a, b))
+    return groups
+
+
+@pytest.mark.parametrize("block", [1, 4, 64])
+def test_greedy_groups_by_pointers(spark, block):
+    rng = random.Random(block)
+    recordings = {}
+    for name, pause, length in (("close", 0.4, 2.0), ("gaps", 5.0, 3.0), ("tiny", 0.01, 0.05), ("long", 1.0, 40.0), ("wild", -3.0, 20.0)):
+        t, rows = 0.0, []
+        for _ in range(rng.randint(150, 260)):
+            a = t + rng.uniform(0, abs(pause)) * (1 if pause > 0 else rng.choice([-1, 1]))
+            t = a + rng.uniform(0.01, length)
+            rows.append((round(a, 3), round(t, 3)))
+        recordings[name] = rows
+    recordings["one"] = [(1.0, 2.0)]
+    rows = [(n, k, a, b) for n, rs in recordings.items() for k, (a, b) in enumerate(rs)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "recording_id string, pos int, start_s double, end_s double").repartition(3)
+    got = collections.defaultdict(dict)
+    for r in intervals.vad_groups(df, 30.0, 3.0, block).collect():
+        got[r["recording_id"]][r["g_no"]] = r
+    for name, rs in recordings.items():
+        want = greedy([(round(a * 1e6), round(b * 1e6)) for a, b in rs], 30_000_000, 3_000_000)
+        mine = [got[name][k] for k in range(len(want))]
+        assert len(got[name]) == len(want)
+        assert [[(round(x["start_s"] * 1e6), round(x["end_s"] * 1e6)) for x in r["regions"]] for r in mine] == want
+        assert [(r["g0_s"], r["g1_s"]) for r in mine] == [(r["regions"][0]["start_s"], r["regions"][-1]["end_s"]) for r in mine]
+    assert intervals.vad_groups(df.limit(0)).count() == 0

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from parlance.functions.text import BENGALI, chat_messages, is_script, strip
@@ -186,3 +186,16 @@ def extract(samples: DataFrame, done: DataFrame, keep: Column, model: Callable[[
     if cap is not None:
         todo = capped(todo, cap, groups or ["src"], key, done)
     return model(todo)
+
+
+def extract_observed(samples: DataFrame, done: DataFrame, keep: Column, model: Callable[[DataFrame], DataFrame], key: str = "id", error: str = "error") -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """(what the model makes of new rows that pass, counters): the counters are taken as the result is written, in the same job.
+
+    ``total`` new rows, of which ``filtered`` and ``kept``; ``written`` rows of the result, of which ``errors`` have one.
+    They are the numbers of the first action on the result; until then asking for them waits.
+    """
+    before, after = Observation(), Observation()
+    passes = F.coalesce(keep, F.lit(False))
+    todo = not_done(samples, done, [key]).observe(before, F.count(F.lit(1)).alias("total"), F.count_if(passes).alias("kept"), F.count_if(~passes).alias("filtered"))
+    made = model(todo.filter(passes)).observe(after, F.count(F.lit(1)).alias("written"), F.count_if(F.col(error).isNotNull()).alias("errors"))
+    return made, lambda: dict.fromkeys(("total", "kept", "filtered", "written", "errors"), 0) | before.get | after.get

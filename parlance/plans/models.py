@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from parlance.functions import languages, text
 from parlance.operators import dataset, inference, interviews, postprocess, words
 from parlance.plans import fixtures as fx
 from parlance.plans.meetings import SEGMENTS, placed
+from parlance.storage import store
 
 md5 = lambda c: F.md5(F.col(c).cast("binary"))
 LANGUAGE = "CASE segment_id % 3 WHEN 0 THEN 'eng' WHEN 1 THEN 'fra' ELSE 'mya' END"
@@ -355,6 +358,33 @@ SELECT id, src, upper(src) AS heard FROM r LEFT JOIN h USING (src) WHERE k <= 40
 """
 
 
+def _picky() -> Callable[[dict], list[dict]]:
+    """A model that fails on ids that end in 3."""
+
+    def run(row: dict) -> list[dict]:
+        if row["id"] % 10 == 3:
+            raise ValueError("cannot be read")
+        return [{"heard": row["src"].upper()}]
+
+    return run
+
+
+def q_extraction_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters of a resumed extraction, taken by the job that writes its rows."""
+    p = fx.pairs(spark, sf_dir).filter("src IS NOT NULL")
+    done = fx.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"))
+    rows, counters = dataset.extract_observed(p, done, F.col("wer") < 0.5, lambda df: inference.infer_rows(df, _picky, ["id"], ["id", "src"], "heard string"))
+    store(rows, "extracted")
+    c = counters()
+    return spark.range(1).select(*[F.lit(c[k]).cast("long").alias(k) for k in ("total", "kept", "filtered", "written", "errors")])
+
+
+COUNTS_SQL = f"""
+WITH n AS (SELECT *, coalesce(wer < 0.5, false) AS k FROM {fx.PAIRS} WHERE src IS NOT NULL AND id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL))
+SELECT count(*) AS total, count(*) FILTER (k) AS kept, count(*) FILTER (NOT k) AS filtered, count(*) FILTER (k) AS written, count(*) FILTER (k AND id % 10 = 3) AS errors FROM n
+"""
+
+
 def q_listed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows whose file a listing has, and rows whose file is missing."""
     d = fx.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("path"))
@@ -365,6 +395,7 @@ def q_listed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 LISTED_SQL = "SELECT doc_id AS path, doc_id IN (SELECT doc_id FROM labels) AS found FROM documents"
 
 QUERIES = {
+    "q_extraction_counts": (q_extraction_counts, COUNTS_SQL),
     "q_translation": (q_translation, TRANSLATION_SQL),
     "q_older_translation": (q_older_translation, OLDER_SQL),
     "q_refinement": (q_refinement, REFINED_SQL),

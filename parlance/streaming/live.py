@@ -46,6 +46,38 @@ def process_counting(stream: DataFrame, step: Callable[[DataFrame, DataFrame], D
     return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+class CappedRows(StatefulProcessor):
+    """Passes rows of a group until it has had cap of them; the count is all that is kept."""
+
+    def __init__(self, cap: int, key: str, columns: list[str]):
+        self.cap, self.key, self.columns = cap, key, columns
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.had = handle.getValueState("had", "n long")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
+        had = self.had.get()[0] if self.had.exists() else 0
+        room, best = self.cap - had, None
+        if room <= 0:
+            return
+        for batch in rows:  # no more than cap rows are held, however many arrive
+            best = (batch if best is None else pd.concat([best, batch])).sort_values(self.key, kind="stable").head(room)
+        if best is not None:
+            self.had.update((had + len(best),))
+            yield best[self.columns]
+
+    def close(self) -> None:
+        pass
+
+
+def capped(stream: DataFrame, cap: int, groups: list[str], key: str) -> DataFrame:
+    """At most cap rows of each group over all triggers, of one trigger those with the smallest keys. Needs the RocksDB state store.
+
+    Rows that arrive in order of their keys give the batch's result, however they are cut into triggers.
+    """
+    return stream.groupBy(*groups).transformWithStateInPandas(CappedRows(cap, key, stream.columns), stream.schema, "Append", "None")
+
+
 def write_latest(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     """The whole result after each trigger, under the trigger's number, in the shared folder; ``latest`` reads the newest."""
 
@@ -55,6 +87,22 @@ def write_latest(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery
     return stream.writeStream.foreachBatch(each).outputMode("complete").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def write_changed(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """Only the result rows that a trigger changed, under the trigger's number; windows that the watermark has passed leave the state."""
+
+    def each(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/trigger={number}")
+
+    return stream.writeStream.foreachBatch(each).outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def newest(spark: SparkSession, out: str, keys: list[str]) -> DataFrame:
+    """Each key's row of its last trigger, from what ``write_changed`` wrote."""
+    rows = spark.read.parquet(out)
+    rest = [c for c in rows.columns if c not in (*keys, "trigger")]
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "trigger").alias("_r")).select(*keys, "_r.*")
+
+
 def latest(spark: SparkSession, out: str) -> DataFrame:
     rows = spark.read.parquet(out)
     newest = rows.agg(F.max("trigger")).first()[0]
@@ -136,6 +184,83 @@ class MergeTurns(StatefulProcessor):
         pass
 
 
+WAITING = "speaker_id string, language string, start_s double, end_s double, raw_text string, at long"
+
+
+class MergeLateTurns(StatefulProcessor):
+    """The exact merge of rows in any order within the watermark's delay.
+
+    Rows wait in a map by position until the watermark has passed them; then all that is passed is merged in order.
+    One timer a recording wakes it up: for its earliest waiting row, or when nothing can join the open row any more.
+    """
+
+    def __init__(self, max_gap_s: float = 0.5):
+        self.gap = round(max_gap_s * 1_000_000)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getMapState("waiting", "pos int, start long", WAITING)
+        self.open = handle.getValueState("open", MERGED + ", until long")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
+        earliest = None
+        for r in (r for batch in rows for r in batch.itertuples(index=False)):
+            at = int(r.at.value // 1_000_000) if hasattr(r.at, "value") else int(pd.Timestamp(r.at).value // 1_000_000)
+            self.waiting.updateValue((int(r.pos), round(r.start_s * 1e6)), (None if pd.isna(r.speaker_id) else r.speaker_id, r.language, float(r.start_s), float(r.end_s), r.raw_text, at))
+            earliest = at if earliest is None else min(earliest, at)
+        if earliest is not None:
+            self._wake([*self.handle.listTimers(), earliest])
+        yield pd.DataFrame([], columns=[c.split()[0] for c in MERGED.split(", ")])
+
+    def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs()
+        held = list(self.waiting.iterator())
+        now = list(self.open.get()) if self.open.exists() else None
+        out, left = [], []
+        for (pos, start), (speaker, language, start_s, end_s, text, at) in sorted(held, key=lambda x: tuple(x[0])):
+            if at > passed:
+                left.append(at)
+                continue
+            self.waiting.removeKey((pos, start))
+            if now is not None and now[2] == speaker and now[3] == language and start - round(now[5] * 1e6) <= self.gap:
+                now[5], now[6], now[7] = end_s, f"{now[6]} {text}", now[7] + 1
+            else:
+                if now is not None:
+                    out.append(tuple(now[:8]))
+                now = None if speaker is None else [key[0], pos, speaker, language, start_s, end_s, text, 1, 0]
+            if now is not None:  # rows later than this start too late to join
+                now[8] = at + (round(end_s * 1e6) - start + self.gap) // 1000 + 1
+        if now is not None and now[8] <= passed:
+            out.append(tuple(now[:8]))
+            now = None
+        if now is None:
+            self.open.clear()
+        else:
+            self.open.update(tuple(now))
+            left.append(now[8])
+        self._wake(left)
+        yield pd.DataFrame(out, columns=[c.split()[0] for c in MERGED.split(", ")])
+
+    def _wake(self, times: list[int]) -> None:
+        for at in list(self.handle.listTimers()):
+            self.handle.deleteTimer(at)
+        if times:
+            self.handle.registerTimer(min(times))
+
+    def close(self) -> None:
+        pass
+
+
+def merge_late_turns(stream: DataFrame, at: str = "at", delay: str = "10 minutes", max_gap_s: float = 0.5) -> DataFrame:
+    """Merged rows as the watermark passes them; rows may arrive in any order within ``delay`` of event time ``at``, their start.
+
+    However the rows are cut into triggers, the result is that of the batch. Rows of one position and start are one
+    row. Needs the RocksDB state store.
+    """
+    rows = stream.withColumn("at", F.col(at).cast("timestamp")).withWatermark("at", delay)
+    return rows.groupBy("recording_id").transformWithStateInPandas(MergeLateTurns(max_gap_s), MERGED, "Append", "EventTime")
+
+
 def merge_turns(stream: DataFrame, max_gap_s: float = 0.5, idle_s: float | None = None) -> DataFrame:
     """Merged rows as they close. Needs the RocksDB state store."""
     mode = "None" if idle_s is None else "ProcessingTime"

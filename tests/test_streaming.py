@@ -1,9 +1,10 @@
+import random
 import time
 
 from pyspark.sql import functions as F
 
 from parlance import schemas
-from parlance.operators import intervals
+from parlance.operators import dataset, intervals
 from parlance.streaming import live
 
 TURN = "recording_id string, pos int, speaker_id string, language string, start_s double, end_s double, raw_text string"
@@ -81,3 +82,68 @@ def test_sessions(spark):
     rows = spark.createDataFrame([("r", "A", "eng", 0.0, 1.0), ("r", "A", "eng", 0.3, 1.2), ("r", "A", "eng", 5.0, 6.0)], "recording_id string, speaker_id string, language string, start_s double, end_s double").withColumn("ts", F.timestamp_seconds("start_s"))
     assert sorted(r["n"] for r in live.session_turns(rows).collect()) == [1, 2]
     assert schemas.struct(schemas.CHUNKS).names[0] == "recording_id"
+
+
+def test_late_rows_merge_as_the_batch(spark, tmp_path):
+    """Rows up to five minutes out of order over triggers, cut in three ways; one far row lets the watermark pass all."""
+    rng = random.Random(6)
+    rows = []
+    for rec in ("a", "b", "c"):
+        t = 0.0
+        for k in range(60):
+            t = round(t + rng.choice([0.1, 0.4, 0.5, 0.6, 30.0]), 3)
+            rows.append((rec, k, rng.choice(["S0", "S0", "S1", None]) if rec != "b" else "S0", "eng", t, round(t + rng.uniform(0.1, 8.0), 3), f"t{k}"))
+            t = rows[-1][5]
+    df = spark.createDataFrame(rows, TURN)
+    def plain():
+        held, out = {}, []
+        for r in rows:
+            now = held.get(r[0])
+            if now and r[2] is not None and now[2] == r[2] and round(r[4] * 1e6) - round(now[4] * 1e6) <= 500_000:
+                held[r[0]] = (*now[:3], f"{now[3]} {r[6]}", r[5], now[5] + 1)
+                continue
+            if now:
+                out.append(now)
+            held[r[0]] = None if r[2] is None else (r[0], r[1], r[2], r[6], r[5], 1)
+        return sorted([(n[0], n[1], n[2], n[3], n[5]) for n in [*out, *held.values()] if n])
+
+    schema = TURN + ", at timestamp"
+    for cut in (1, 3, 7):
+        path = str(tmp_path / f"in{cut}")
+        last = max(r[4] for r in rows)
+        parts = [[] for _ in range(cut)]
+        for r in rows:
+            parts[min(cut - 1, int((r[4] + rng.uniform(0, 300)) * cut / (last + 300)))].append(r)
+        for part in [*parts, [("flush", 0, "S0", "eng", 0.0, 0.0, "")]]:
+            made = spark.createDataFrame(part, TURN).withColumn("at", F.timestamp_seconds(F.when(F.col("recording_id") == "flush", 1e7).otherwise(F.col("start_s"))))
+            made.coalesce(1).write.mode("append").parquet(path)
+        stream = live.arriving(spark, path, schema, files_per_trigger=1)
+        got = drain(spark, live.merge_late_turns(stream, delay="5 minutes"), f"late{cut}", "append", str(tmp_path / f"c{cut}"))
+        assert sorted((r["recording_id"], r["pos"], r["speaker_id"], r["raw_text"], r["n_merged"]) for r in got.collect() if r["recording_id"] != "flush") == plain()
+
+
+def test_caps_hold_over_triggers(spark, tmp_path):
+    rows = spark.range(40).select((F.col("id") % 3).alias("g"), "id")
+    for a, b in ((0, 5), (5, 25), (25, 40)):
+        rows.filter((F.col("id") >= a) & (F.col("id") < b)).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = live.arriving(spark, str(tmp_path / "in"), "g long, id long", files_per_trigger=1)
+    got = drain(spark, live.capped(stream, 6, ["g"], "id"), "caps", "append", str(tmp_path / "c"))
+    assert sorted((r["g"], r["id"]) for r in got.collect()) == sorted((k % 3, k) for k in range(18))
+
+
+def test_changed_windows_only(spark, tmp_path):
+    rows = spark.range(90).select((F.col("id") % 4).alias("k"), "id")
+    split(spark, rows, str(tmp_path / "in"), "id", 3)
+    stream = live.arriving(spark, str(tmp_path / "in"), "k long, id long", files_per_trigger=1).groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("last"))
+    live.write_changed(stream, str(tmp_path / "out"), str(tmp_path / "c")).awaitTermination(120)
+    want = {(r["k"], r["n"], r["last"]) for r in rows.groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("last")).collect()}
+    assert {tuple(r) for r in live.newest(spark, str(tmp_path / "out"), ["k"]).select("k", "n", "last").collect()} == want
+
+
+def test_counters_of_an_extraction(spark, tmp_path):
+    samples = spark.createDataFrame([(k, None if k == 4 else k / 10) for k in range(10)], "id long, wer double")
+    done = spark.createDataFrame([(0,), (0,), (7,)], "id long")
+    model = lambda df: df.select("id", F.when(F.col("id") == 2, "bad").alias("error"))
+    rows, counters = dataset.extract_observed(samples, done, F.col("wer") < 0.5, model)
+    rows.write.parquet(str(tmp_path / "out"))
+    assert counters() == {"total": 8, "kept": 3, "filtered": 5, "written": 3, "errors": 1}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parlance.operators import warping
+from parlance.operators import trellis, warping
 from parlance.plans import fixtures as fx
 from parlance.plans.waves import JOINED
 from parlance.sinks import documents
@@ -115,7 +115,35 @@ t(q, t, x, y, i, d) AS (
 SELECT q AS query_id, t AS item_id, round(sqrt(d[65]), 6) AS distance, CAST(row_number() OVER (PARTITION BY q ORDER BY d[65], t) AS INT) AS rank FROM t WHERE i = 64 QUALIFY rank <= 5
 """
 
+def q_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight entries of each vector as a frame's scores, 64 frames a segment: where on the best path each of ten tokens lies."""
+    e = fx.table(spark, sf_dir, "embeddings")
+    segment = F.floor(F.col("vec_id") / 64).cast("string")
+    frames = e.select(segment.alias("segment_key"), (F.col("vec_id") % 64).alias("frame_no"), F.slice("embedding", 1, 8).alias("scores"))
+    targets = frames.select("segment_key").distinct().select("segment_key", F.transform(F.sequence(F.lit(0), F.lit(9)), lambda i: F.get(F.array(*map(F.lit, (1, 2, 2, 3, 7, 7, 4, 1, 5, 6))), i)).alias("tokens"))
+    found = trellis.token_spans(frames, targets)
+    return found.select("segment_key", "pos", "token", "frame", "last_frame", F.round("score", 6).alias("score"))
+
+
+#: States with their best score and path so far, frame by frame; 21 states for ten tokens, blanks in between.
+TOKENS_SQL = """
+WITH RECURSIVE f AS (SELECT CAST(vec_id // 64 AS VARCHAR) AS k, vec_id % 64 AS t, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+c(sym, skip) AS (SELECT [0, 1, 0, 2, 0, 2, 0, 3, 0, 7, 0, 7, 0, 4, 0, 1, 0, 5, 0, 6, 0], [3, 7, 9, 13, 15, 17, 19]),
+p(k, t, s) AS (
+  SELECT k, t, list_transform(range(21), lambda j: {'v': CASE WHEN j < 2 THEN x[sym[j + 1] + 1] ELSE '-inf'::DOUBLE END, 'p': [j]}) FROM f, c WHERE t = 0
+  UNION ALL
+  SELECT p.k, f.t, list_transform(list_transform(range(21), lambda j: {'j': j, 'b':
+      CASE WHEN (j < 1 OR s[j + 1].v >= s[j].v) AND (NOT list_contains(skip, j) OR s[j + 1].v >= s[j - 1].v) THEN s[j + 1]
+           WHEN NOT list_contains(skip, j) OR s[j].v >= s[j - 1].v THEN s[j] ELSE s[j - 1] END}), lambda z: {'v': z.b.v + f.x[c.sym[z.j + 1] + 1], 'p': list_append(z.b.p, z.j)})
+  FROM p JOIN f ON f.k = p.k AND f.t = p.t + 1, c),
+w AS (SELECT k, CASE WHEN s[21].v >= s[20].v THEN s[21].p ELSE s[20].p END AS path, greatest(s[21].v, s[20].v) AS v FROM p QUALIFY t = max(t) OVER (PARTITION BY k)),
+u AS (SELECT k, unnest(path) AS s, unnest(range(len(path))) AS t FROM w WHERE v > '-inf'::DOUBLE)
+SELECT u.k AS segment_key, CAST(s // 2 AS INT) AS pos, CAST(any_value(sym[s + 1]) AS INT) AS token, min(u.t) AS frame, max(u.t) AS last_frame, round(avg(x[sym[s + 1] + 1]), 6) AS score
+FROM u JOIN f ON f.k = u.k AND f.t = u.t, c WHERE s % 2 = 1 GROUP BY u.k, s
+"""
+
 QUERIES = {
+    "q_token_frames": (q_token_frames, TOKENS_SQL),
     "q_warped_search": (q_warped_search, WARPED_SQL),
     "q_wave_files": (q_wave_files, WAVE_FILES_SQL),
     "q_decoded_waves": (q_decoded_waves, DECODED_SQL),

@@ -73,15 +73,18 @@ def batches(segments: DataFrame, size: int = 10) -> DataFrame:
     return rows.withColumns({"batch": F.floor(F.col("_k") / size).cast("int"), "seq": (F.col("_k") % size + 1).cast("int")}).drop("_k")
 
 
-def refine(segments: DataFrame, model: Factory | None, size: int = 10) -> DataFrame:
-    """``refined_translation``: one model call for each batch, its numbered lines spread back over the segments."""
+def refine(segments: DataFrame, model: Factory | None, size: int = 10, max_tokens: int = 1024, most: int = 4) -> DataFrame:
+    """``refined_translation``: one model call for each batch, its numbered lines spread back over the segments.
+
+    The model gets a ``prompt`` and ``max_tokens``, the reply's budget: so many for each segment, for ``most`` at most.
+    """
     if model is None:
         return segments.withColumn("refined_translation", F.col("english_translation"))
     b = batches(segments, size)
     item = F.struct("seq", "speaker_id", "raw_text", F.col("english_translation").alias("translation"))
     prompts = b.groupBy("recording_id", "language", "batch").agg(F.array_sort(F.collect_list(item)).alias("items"))
     prompt = F.when(F.col("language") == "eng", fill(CLEAN, block=numbered_block(F.col("items"), False))).otherwise(fill(REFINE, language=F.col("language"), block=numbered_block(F.col("items"), True)))
-    asked = infer_text(prompts.select("recording_id", "language", "batch", prompt.alias("prompt")), ["prompt"], model, "_reply")
+    asked = infer_text(prompts.select("recording_id", "language", "batch", prompt.alias("prompt"), (F.least(F.size("items"), F.lit(most)) * max_tokens).alias("max_tokens")), ["prompt", "max_tokens"], model, "_reply")
     lines = asked.select("recording_id", "language", "batch", F.explode(parse_numbered(F.col("_reply"))).alias("seq", "line"))
     found = b.select("recording_id", "language", "batch", "seq", "pos").join(lines, ["recording_id", "language", "batch", "seq"]).select("recording_id", "pos", "line")
     return segments.join(found, ["recording_id", "pos"], "left").withColumn("refined_translation", F.coalesce("line", "english_translation")).drop("line")

@@ -88,6 +88,76 @@ SELECT s.interview_key AS recording_id, CAST(s.segment_id AS INT) AS pos, md5(CA
 """
 
 
+def _spend():
+    """A model that answers each numbered line with its budget."""
+
+    def model(rows: list[dict]) -> list[str]:
+        return ["\n".join(f"{k}. {r['max_tokens']}" for k in range(1, 11)) for r in rows]
+
+    return model
+
+
+def q_refine_budgets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reply's budget of each segment's batch: 50 tokens a segment, for four at most."""
+    s = spoken(spark, sf_dir).withColumn("english_translation", F.col("raw_text"))
+    return postprocess.refine(s, _spend, max_tokens=50).select("recording_id", "pos", md5("refined_translation").alias("refined"))
+
+
+BUDGET_SQL = f"""
+WITH s AS (SELECT interview_key, segment_id, half, {LANGUAGE} AS language FROM {SEGMENTS}),
+k AS (SELECT *, row_number() OVER (PARTITION BY interview_key, language ORDER BY segment_id) - 1 AS k FROM s WHERE trim(half, ' ') <> ''),
+n AS (SELECT *, count(*) OVER (PARTITION BY interview_key, language, k // 10) AS n FROM k)
+SELECT s.interview_key AS recording_id, CAST(s.segment_id AS INT) AS pos, md5(CASE WHEN k IS NULL THEN s.half ELSE CAST(50 * least(n, 4) AS VARCHAR) END) AS refined FROM s LEFT JOIN n USING (interview_key, segment_id)
+"""
+
+
+def _turns_by_case() -> Callable[[dict], list[dict]]:
+    """A rule in a diarizer's place: runs of words that begin alike, in capitals or not, are a speaker's turns of a second a word."""
+
+    def run(row: dict) -> list[dict]:
+        out: list[dict] = []
+        for k, w in enumerate(row["text"].split(" ")):
+            speaker = "SPEAKER_01" if w[:1].isupper() else "SPEAKER_00"
+            if out and out[-1]["speaker_id"] == speaker:
+                out[-1]["end_s"] = k + 1.0
+            else:
+                out.append({"turn_no": len(out), "speaker_id": speaker, "start_s": float(k), "end_s": k + 1.0})
+        return out
+
+    return run
+
+
+def q_rule_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns of whole documents by a rule model, with what they amount to."""
+    d = fx.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    t = inference.infer_rows(d, _turns_by_case, ["id"], ["text"], "turn_no int, speaker_id string, start_s double, end_s double")
+    return t.groupBy("id", "speaker_id").agg(F.count("*").alias("turns"), F.sum(F.col("end_s") - F.col("start_s")).alias("talk_s"), F.max(F.col("end_s") - F.col("start_s")).alias("longest_s"), F.count("error").alias("errors"))
+
+
+TURN_RULE_SQL = r"""
+WITH w AS (SELECT doc_id AS id, unnest(string_split(coalesce(text, ''), ' ')) AS w, unnest(range(len(string_split(coalesce(text, ''), ' ')))) AS k FROM documents),
+s AS (SELECT id, k, CASE WHEN regexp_matches(w, '^\p{Lu}') THEN 'SPEAKER_01' ELSE 'SPEAKER_00' END AS speaker_id FROM w),
+b AS (SELECT *, (lag(speaker_id) OVER (PARTITION BY id ORDER BY k) IS DISTINCT FROM speaker_id)::INT AS new FROM s),
+t AS (SELECT id, speaker_id, count(*)::DOUBLE AS n FROM (SELECT *, sum(new) OVER (PARTITION BY id ORDER BY k) AS r FROM b) GROUP BY id, speaker_id, r)
+SELECT id, speaker_id, count(*) AS turns, sum(n) AS talk_s, max(n) AS longest_s, 0 AS errors FROM t GROUP BY ALL
+"""
+
+
+def _pitch_marks() -> Callable[[list[dict]], list[list[dict]]]:
+    """A rule in a phoneme model's place: a symbol for each word, its first letter, one batch a call."""
+    return lambda rows: [[{"phonemes": "".join(w[:1] for w in r["text"].split(" "))}] for r in rows]
+
+
+def q_rule_phonemes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Symbols of whole conversation turns by a rule model that takes batches."""
+    c = fx.table(spark, sf_dir, "conversations").select("conv_id", "turn", F.coalesce("text", F.lit("")).alias("text"))
+    found = inference.infer_batches(c, _pitch_marks, ["conv_id", "turn"], ["text"], "phonemes string")
+    return found.select("conv_id", "turn", md5("phonemes").alias("phonemes"), "error")
+
+
+PHONEME_SQL = "SELECT conv_id, turn, md5(array_to_string(list_transform(string_split(coalesce(text, ''), ' '), lambda w: left(w, 1)), '')) AS phonemes, NULL AS error FROM conversations"
+
+
 def q_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All three steps without models: every text is what it was."""
     p = postprocess.process(spoken(spark, sf_dir).drop("corrected_text"))
@@ -328,14 +398,14 @@ def q_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of two sources in one shape, projected by mode, with keys that a second run gives again."""
     d = fx.table(spark, sf_dir, "documents")
     one = d.filter("lang = 'en'").select(F.col("source").alias("src"), F.col("lang").alias("subsource"), dataset.row_id(F.col("lang"), F.col("doc_id")).alias("id"), F.md5("text").alias("ipa"), F.lit("x").alias("bengali"))
-    two = d.filter("lang <> 'en'").select(F.col("source").alias("src"), F.col("lang").alias("subsource"), dataset.row_id(F.col("lang"), F.col("doc_id")).alias("id"), F.sha1("text").alias("noisy"), F.lit("y").alias("bengali"), F.lit("e").alias("english"))
+    two = d.filter("NOT lang <=> 'en'").select(F.col("source").alias("src"), F.col("lang").alias("subsource"), dataset.row_id(F.col("lang"), F.col("doc_id")).alias("id"), F.sha1("text").alias("noisy"), F.lit("y").alias("bengali"), F.lit("e").alias("english"))
     both = dataset.concat_sources(one, two)
     return dataset.project(both, "both").unionByName(dataset.project(both, "ipa").withColumn("id", F.concat(F.lit("i/"), "id")))
 
 
 PROJECTION_SQL = """
-WITH b AS (SELECT source AS src, lang AS subsource, lang || '_' || doc_id AS id, CASE WHEN lang = 'en' THEN md5(text) END AS ipa, CASE WHEN lang <> 'en' THEN sha1(text) END AS noisy,
-  CASE WHEN lang = 'en' THEN 'x' ELSE 'y' END AS bengali, CASE WHEN lang <> 'en' THEN 'e' END AS english FROM documents WHERE lang IS NOT NULL)
+WITH b AS (SELECT source AS src, lang AS subsource, concat_ws('_', lang, doc_id) AS id, CASE WHEN lang = 'en' THEN md5(text) END AS ipa, CASE WHEN lang IS DISTINCT FROM 'en' THEN sha1(text) END AS noisy,
+  CASE WHEN lang = 'en' THEN 'x' ELSE 'y' END AS bengali, CASE WHEN lang IS DISTINCT FROM 'en' THEN 'e' END AS english FROM documents)
 SELECT src, subsource, id, ipa, noisy, bengali, english FROM b UNION ALL SELECT src, subsource, 'i/' || id, ipa, NULL, bengali, english FROM b
 """
 
@@ -395,6 +465,9 @@ def q_listed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 LISTED_SQL = "SELECT doc_id AS path, doc_id IN (SELECT doc_id FROM labels) AS found FROM documents"
 
 QUERIES = {
+    "q_refine_budgets": (q_refine_budgets, BUDGET_SQL),
+    "q_rule_turns": (q_rule_turns, TURN_RULE_SQL),
+    "q_rule_phonemes": (q_rule_phonemes, PHONEME_SQL),
     "q_extraction_counts": (q_extraction_counts, COUNTS_SQL),
     "q_translation": (q_translation, TRANSLATION_SQL),
     "q_older_translation": (q_older_translation, OLDER_SQL),

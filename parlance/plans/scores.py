@@ -40,13 +40,14 @@ def q_document_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = fx.table(spark, sf_dir, "conversations").filter("text IS NOT NULL").withColumn("file", F.col("conv_id").cast("string"))
     whole = c.groupBy("file").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"]), " ").alias("transcript"))
     s = scoring.document_scores(whole, c.select("file", F.col("role").alias("system"), F.col("turn").alias("pos"), "text"))
-    return s.filter("metric = 'M1'").select("file", "system", F.round("cer", 6).alias("cer"), "ref_chars", "hyp_chars")
+    return s.select("file", "system", "metric", F.round("cer", 6).alias("cer"), "ref_chars", "hyp_chars")
 
 
 DOCUMENT_SQL = f"""
 WITH r AS (SELECT conv_id, string_agg(text, ' ' ORDER BY turn) AS t FROM conversations GROUP BY conv_id), h AS (SELECT conv_id, role, string_agg(text, ' ' ORDER BY turn) AS t FROM conversations GROUP BY ALL),
-b AS (SELECT CAST(h.conv_id AS VARCHAR) AS file, role AS system, {_m1(fx.narrow("r.t"))} AS r, {_m1(fx.narrow("h.t"))} AS h FROM r JOIN h USING (conv_id))
-SELECT file, system, round(levenshtein(h, r) / greatest(length(r), 1)::DOUBLE, 6) AS cer, length(r) AS ref_chars, length(h) AS hyp_chars FROM b
+b AS (SELECT CAST(h.conv_id AS VARCHAR) AS file, role AS system, {_m1(fx.narrow("r.t"))} AS r, {_m1(fx.narrow("h.t"))} AS h FROM r JOIN h USING (conv_id)),
+m AS (SELECT file, system, 'M1' AS metric, r, h FROM b UNION ALL SELECT file, system, 'M2', {_m2("r")}, {_m2("h")} FROM b)
+SELECT file, system, metric, round(levenshtein(h, r) / greatest(length(r), 1)::DOUBLE, 6) AS cer, length(r) AS ref_chars, length(h) AS hyp_chars FROM m
 """
 
 

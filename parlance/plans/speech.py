@@ -161,7 +161,30 @@ h AS (SELECT *, printf('%02d:%02d:%02d', CAST(floor(s / 3600) AS BIGINT), CAST(f
 SELECT l_orderkey, l_linenumber, hms, hms || printf(',%03d', CAST(floor((s % 1) * 1000) AS BIGINT)) AS srt FROM h
 """
 
+def q_split_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days of a recording's regions as groups, times an eighth of a percent, cut at their largest gaps until they fit into half a minute."""
+    r = fx.regions(spark, sf_dir).withColumns({"start_s": F.round(F.col("start_s") / 800, 3), "end_s": F.round(F.col("start_s") / 800, 3) + F.col("pos") % 7})
+    day = F.floor(F.col("start_s") / 108).cast("int")
+    g = r.groupBy("recording_id", day.alias("g_no")).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "start_s", "end_s"))), lambda x: F.struct(x["start_s"].alias("start_s"), x["end_s"].alias("end_s"))).alias("regions"))
+    parts = intervals.split_long(g, 30.0)
+    return parts.select("recording_id", "g_no", "part", *[F.round(c, 3).alias(c) for c in ("start_s", "end_s")])
+
+
+#: A group of regions lo to hi is cut behind the first of its largest gaps; parts come in time order.
+SPLIT_SQL = f"""
+WITH RECURSIVE r AS (SELECT recording_id, pos, round(t0 / 1e6 / 800, 3) AS a, round(t0 / 1e6 / 800, 3) + pos % 7 AS b FROM {fx.REGIONS}),
+g AS (SELECT recording_id, CAST(floor(a / 108) AS INT) AS g_no, list(a ORDER BY pos) AS s, list(b ORDER BY pos) AS e FROM r GROUP BY ALL),
+t(recording_id, g_no, s, e, lo, hi, cut) AS (
+  SELECT recording_id, g_no, s, e, 1, len(s), len(s) > 1 AND round((e[len(s)] - s[1]) * 1e6) > 30000000 FROM g
+  UNION ALL
+  SELECT recording_id, g_no, s, e, lo, hi, hi > lo AND round((e[hi] - s[lo]) * 1e6) > 30000000 FROM (
+    SELECT recording_id, g_no, s, e, CASE WHEN side = 0 THEN lo ELSE k + 1 END AS lo, CASE WHEN side = 0 THEN k ELSE hi END AS hi FROM (
+      SELECT *, lo - 1 + list_position(gaps, list_max(gaps)) AS k, unnest([0, 1]) AS side FROM (SELECT *, list_transform(range(lo, hi), lambda i: round((s[i + 1] - e[i]) * 1e6)) AS gaps FROM t WHERE cut))))
+SELECT recording_id, g_no, CAST(row_number() OVER (PARTITION BY recording_id, g_no ORDER BY lo) - 1 AS INT) AS part, round(s[lo], 3) AS start_s, round(e[hi], 3) AS end_s FROM t WHERE NOT cut
+"""
+
 QUERIES = {
+    "q_split_groups": (q_split_groups, SPLIT_SQL),
     "q_speaker_assignment": (q_speaker_assignment, ASSIGN_SQL),
     "q_speaker_assignment_binned": (q_speaker_assignment_binned, ASSIGN_SQL),
     "q_merged_turns": (q_merged_turns, MERGED_SQL),

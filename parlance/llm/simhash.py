@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parlance.llm.common import pieces_of, store, trimmed, utf8
+from parlance.llm.common import discard, pieces_of, store, trimmed, utf8
 
 ALL = (1 << 64) - 1
 #: Fingerprints under one masked value beyond which it is masked again.
@@ -41,6 +41,8 @@ COUNTED = 8
 NEAR = 3
 #: Buckets cannot be large from this level on: their masks leave few bits open.
 LAST_LEVEL = 2
+#: Neighbours behind each text that a round proposes, and rounds with a drawn order.
+NEIGHBOURS, DRAWN = 4, 2
 #: Columns of a parity.
 PARITY = ("s0", "s1", "s2", "s3")
 #: One in so many texts is looked at for common shingles: those in COMMON of them or more, MOST_COMMON at most.
@@ -352,11 +354,12 @@ def met(rows: DataFrame) -> DataFrame:
     return store(rows.repartition("h").sortWithinPartitions("h").mapInArrow(trimmed(run), "h long, n long, node long, pos long"), "near-met")
 
 
-def proposed(rows: DataFrame, similarity: float, every: bool) -> DataFrame:
-    """(a, b) of texts of different labels that ask for the same shingle: neighbours by size, or every pair that can be similar.
+def proposed(rows: DataFrame, similarity: float, order: int | None) -> DataFrame:
+    """(a, b) of texts of different labels that ask for the same shingle and can be similar: neighbours, or every pair.
 
-    rows: (h, n, node, pos, label, and the parity's four parts). Sizes too different, too few shingles after the shared
-    ones, or parities that differ in more bits than the sets may differ in shingles, rule a pair out.
+    Order 0 takes neighbours by size, another number those in an order that it draws, None every pair. rows: (h, n, node,
+    pos, label, and the parity's four parts). Sizes too different, too few shingles after the shared ones, or parities
+    that differ in more bits than the sets may differ in shingles, rule a pair out.
     """
     most = (1 - similarity) / (1 + similarity)
 
@@ -367,21 +370,23 @@ def proposed(rows: DataFrame, similarity: float, every: bool) -> DataFrame:
             at, step = np.arange(len(r) - 1), 1
             while len(at):
                 to = at + step
-                on = (h[at] == h[to]) & (n[at] >= similarity * n[to] - 1e-9)
-                at, to = at[on], to[on]
+                near = np.minimum(n[at], n[to]) >= similarity * np.maximum(n[at], n[to]) - 1e-9
+                on = (h[at] == h[to]) & (near | bool(order))  # in order of size, nothing behind is near either
+                at, to, near = at[on], to[on], near[on]
                 # a pair's first shared shingle leaves room for what they must share; at a later one it may be ruled out
-                room = 1 + np.minimum(n[at] - pos[at], n[to] - pos[to]) - 1 >= similarity / (1 + similarity) * (n[at] + n[to]) - 1e-9
-                apart = np.flatnonzero(room & (label[at] != label[to]))
+                room = np.minimum(n[at] - pos[at], n[to] - pos[to]) >= similarity / (1 + similarity) * (n[at] + n[to]) - 1e-9
+                apart = np.flatnonzero(room & near & (label[at] != label[to]))
                 apart = apart[np.bitwise_count(bits[at[apart]] ^ bits[to[apart]]).sum(1, dtype=np.int64) <= most * (n[at[apart]] + n[to[apart]]) + 1e-9]
                 pair = np.unique(np.sort(np.stack([node[at[apart]], node[to[apart]]], 1), axis=1), axis=0)
                 if len(pair):
                     yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pair[:, k])) for k in (0, 1)], names=["a", "b"])
-                if not every:
-                    break
                 step += 1
+                if order is not None and step > NEIGHBOURS:
+                    break
                 at = at[at + step < len(r)]
 
-    dealt = rows.select("h", "n", "node", "pos", "label", *PARITY).repartition("h").sortWithinPartitions("h", "n", "node")
+    within = [F.xxhash64("node", F.lit(order))] if order else ["n", "node"]
+    dealt = rows.select("h", "n", "node", "pos", "label", *PARITY).repartition("h").sortWithinPartitions("h", *within)
     return store(dealt.mapInArrow(trimmed(run), "a long, b long").distinct(), "near-proposed")
 
 
@@ -391,8 +396,9 @@ def keep_one(docs: DataFrame, shingle: int = 5, radius: int = 6, similarity: flo
     Groups are the components of links, and a link is a pair of texts whose word shingles were compared and are
     similar enough; a group may drift, so that its ends are less similar. Every pair that is similar enough is
     compared or already in one group: fingerprints within the radius gather large groups around one text each,
-    then texts of different groups meet at the shingles that they ask for, first neighbours by size, then all of
-    them. Exact copies always go. A null id comes after all others.
+    then texts of different groups meet at the shingles that they ask for: first neighbours by size and in drawn
+    orders, which leaves most of a large group under one label, then all that are still apart. Exact copies always
+    go. A null id comes after all others.
     """
     cols = docs.columns
     prints = store(near_prints(docs, shingle, similarity, id_col, text_col), "near-prints")
@@ -406,25 +412,32 @@ def keep_one(docs: DataFrame, shingle: int = 5, radius: int = 6, similarity: flo
         bodies = docs.select(key.alias("digest"), F.col(text_col).alias("body")).join(store(nodes, "near-nodes"), "digest")
         bodies = store(bodies.dropDuplicates(["node"]).select("node", "body"), "near-bodies")
         both = pairs.join(bodies.select(F.col("node").alias("a"), F.col("body").alias("x")), "a").join(bodies.select(F.col("node").alias("b"), F.col("body").alias("y")), "b")
-        return store(both.filter(similar("x", "y", F.lit(shingle), F.lit(similarity))).select("a", "b"), "near-links")
+        alike = store(both.filter(similar("x", "y", F.lit(shingle), F.lit(similarity))).select("a", "b"), "near-links")
+        discard(bodies)
+        discard(pairs)
+        return alike
 
     placed = store(texts.select("node", "fp").join(linked(prints.select("id", "fp"), radius), "fp").select("node", "component_id"), "near-place")
+    discard(prints)
     leads = placed.groupBy("component_id").agg(F.min("node").alias("lead"), F.count("*").alias("texts")).filter("texts > 1")
     edges = checked(store(placed.join(leads, "component_id").filter("node > lead").select(F.col("lead").alias("a"), F.col("node").alias("b")), "near-leads"))
     labels = components(edges)
     rows = met(texts.select("n", "node", F.posexplode("asked").alias("pos", "h")).select("h", "n", "node", "pos"))
     bits = store(rows.select("node").distinct().join(texts.select("node", *[F.col("bits")[k].alias(c) for k, c in enumerate(PARITY)]), "node"), "near-bits")
-    for every in (False, True):
+    for order in (*range(DRAWN + 1), None):
         placed = bits.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         apart = rows.join(placed, "node")
-        edges = store(edges.unionByName(checked(proposed(apart, similarity, every))), "near-edges")
+        edges = store(edges.unionByName(checked(proposed(apart, similarity, order))), "near-edges")
         labels = components(edges)
+    discard(rows)
+    discard(bits)
     grouped = texts.select("digest", "id", "rows", "node").join(labels, "node").select("label", "digest", F.struct(F.col("id").isNull().alias("no"), "id", "digest").alias("at"))
     first = grouped.groupBy("label").agg(F.min("at").alias("first"))
     gone = grouped.join(first, "label").filter(F.col("digest") != F.col("first.digest")).select("digest")
     # exact copies: the row with the smallest id stays; equal rows of that id are one row
     keep = texts.select("digest", F.col("id").alias("__near_id"), F.col("rows").alias("__near_n")).join(store(gone, "near-gone"), "digest", "left_anti")
     keep = store(keep.withColumnRenamed("digest", "__near_digest"), "near-keep")
+    discard(texts)
     found = docs.join(keep, (key == F.col("__near_digest")) & F.col(id_col).eqNullSafe(F.col("__near_id")))
     single = found.filter("__near_n = 1").select(*cols)
     # of rows equal in id and text, one

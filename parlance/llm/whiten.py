@@ -245,7 +245,7 @@ def leading(r: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     if scale == 0.0:
         return np.empty(0), np.empty((len(r), 0))
     # where the matrix falls apart, vectors belong to one part each
-    bounds = [0, *(np.flatnonzero(np.abs(above) <= EPS * scale) + 1).tolist(), len(diagonal)]
+    bounds = [0, *(np.flatnonzero(np.abs(above) <= len(diagonal) * EPS * scale) + 1).tolist(), len(diagonal)]
     found = [(float(x), a, b) for a, b in zip(bounds, bounds[1:], strict=False) for x in dqds(diagonal[a:b], above[a : b - 1])]
     found = [f for f in sorted(found, reverse=True) if f[0] > (len(diagonal) * EPS * scale) ** 2][:most]
     values, columns = [], []

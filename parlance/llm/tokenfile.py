@@ -20,6 +20,7 @@ ids come first; repeated rows are all written; other columns are left out; an em
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 from array import array
@@ -31,6 +32,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parlance.llm.common import slices, utf8
 
@@ -49,9 +51,19 @@ class ChunkEncoder:
 
     The tokenizer drops white space before it merges, and none of its steps looks across it, so a text's ids are
     those of its chunks. Chunks of plain letters, digits and marks are cut as the file's pattern cuts them and
-    merged by the library's model; any other chunk goes through the whole library.
+    merged by the library's model; any other chunk goes through the whole library. A definition that does anything
+    else than STEPS says is left to the library for whole texts.
     """
 
+    #: The normalizer and pre-tokenizer that this holds for; part of the format.
+    STEPS = (
+        {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+        {"type": "Sequence", "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ]},
+    )
+
     PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
     CUT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 
@@ -60,6 +72,9 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.model = self.tokenizer.model
+        spec = json.loads(definition)
+        plain = all(a.get("special") and not (a.get("lstrip") or a.get("rstrip") or a.get("single_word") or re.search(r"\s", a["content"])) for a in spec["added_tokens"])
+        self.by_chunks = plain and spec["model"]["type"] == "BPE" and not spec["model"].get("dropout") and (spec["normalizer"], spec["pre_tokenizer"]) == self.STEPS
         self.special = re.compile("|".join(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()) or r"(?!)")
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         self.letter = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in shown)}
@@ -85,6 +100,8 @@ class ChunkEncoder:
 
     def encode(self, text: bytes) -> bytes:
         """Ids as little-endian uint32."""
+        if not self.by_chunks:
+            return self._packed(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids)
         words = text.split()
         chunks = self.chunks
         if len(chunks) > KEPT_CHUNKS:
@@ -260,8 +277,11 @@ def write_tokens(docs: DataFrame, definition: str, path: str, end_id: int, id_co
         if texts:
             yield flush()
 
+    if not isinstance(docs.schema[id_col].dataType, T.IntegralType):
+        raise TypeError(f"{id_col} must be a whole number: token files are laid out by it")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    rows.repartitionByRange("id").sortWithinPartitions("id", "text").mapInArrow(run, SCHEMA).write.parquet(path)
+    # equal ids are told apart by how their texts begin, so that many rows without an id are many tasks
+    rows.repartitionByRange("id", F.left("text", F.lit(32))).sortWithinPartitions("id", "text").mapInArrow(run, SCHEMA).write.parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:

@@ -100,6 +100,14 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "vec_id").withColumn("deviation", F.col("deviation").try_cast("long"))
 
 
+#: What the supplied pages' articles hold, which are marked as such; the query itself reads any page.
+OP12_SQL = r"""
+WITH a AS (SELECT page_id, url, regexp_replace(regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1), '</?(p|h1|br)>', ' ', 'g'), '<[^>]*>', '', 'g') AS x FROM pages),
+t AS (SELECT page_id, url, trim(regexp_replace(regexp_replace(replace(replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)), '&amp;?', '&', 'g'), '[\s\x{85}\p{Z}]+', ' ', 'g')) AS text FROM a)
+SELECT page_id, url, text, length(text) AS n_chars FROM t
+"""
+
+
 def op12_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pagetext.extract(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
 
@@ -116,4 +124,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_warc": OP4_SQL}
+    return {"op4_warc": OP4_SQL, "op12_page_text": OP12_SQL}

@@ -33,19 +33,6 @@ def process_new(stream: DataFrame, step: Callable[[DataFrame], DataFrame], out:
     return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def process_counting(stream: DataFrame, step: Callable[[DataFrame, DataFrame], DataFrame], out: str, checkpoint: str, schema: str) -> StreamingQuery:
-    """As process_new, but the step also gets what earlier batches wrote (of ``schema``), to count it against caps."""
-
-    def each(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        done = spark.createDataFrame([], schema)
-        if number:
-            done = spark.read.schema(schema + ", batch int").option("basePath", out).parquet(out).filter(F.col("batch") < number).drop("batch")
-        step(batch, done).write.mode("overwrite").parquet(f"{out}/batch={number}")
-
-    return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
 class CappedRows(StatefulProcessor):
     """Passes rows of a group until it has had cap of them; the count is all that is kept."""
 
@@ -78,15 +65,6 @@ def capped(stream: DataFrame, cap: int, groups: list[str], key: str) -> DataFram
     return stream.groupBy(*groups).transformWithStateInPandas(CappedRows(cap, key, stream.columns), stream.schema, "Append", "None")
 
 
-def write_latest(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """The whole result after each trigger, under the trigger's number, in the shared folder; ``latest`` reads the newest."""
-
-    def each(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/trigger={number}")
-
-    return stream.writeStream.foreachBatch(each).outputMode("complete").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
 def write_changed(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     """Only the result rows that a trigger changed, under the trigger's number; windows that the watermark has passed leave the state."""
 
@@ -103,12 +81,6 @@ def newest(spark: SparkSession, out: str, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "trigger").alias("_r")).select(*keys, "_r.*")
 
 
-def latest(spark: SparkSession, out: str) -> DataFrame:
-    rows = spark.read.parquet(out)
-    newest = rows.agg(F.max("trigger")).first()[0]
-    return rows.filter(F.col("trigger") == newest).drop("trigger")
-
-
 def without_repeats(stream: DataFrame, keys: list[str], at: str, delay: str = "1 hour") -> DataFrame:
     """The first row of each key; state is dropped as the watermark passes."""
     return stream.withWatermark(at, delay).dropDuplicatesWithinWatermark(keys)

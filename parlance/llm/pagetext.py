@@ -53,6 +53,8 @@ CUES = frozenset(
     notice notices notification alert popup modal overlay dialog newsletter subscribe subscription signup login paywall share sharing social related
     recommended recommendations teaser teasers comment comments commentlist disqus reply replies respond widget widgets pagination pager copyright legal disclaimer search""".split()
 )
+#: Words that say that something else has what they precede.
+BESIDE = frozenset("has with no without".split())
 #: Words beside which ``header`` is an article's own.
 OWN_HEADER = frozenset("article post entry story".split())
 TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]++|\"[^\"]*+\"|'[^']*+')*+)>")
@@ -119,7 +121,8 @@ def hint(name: str, attributes: str) -> tuple[bool, bool]:
         return True, main
     if name in ("html", "body"):
         return False, False
-    found = {w.lower() for w in WORDS.findall(values.get("class", "") + " " + values.get("id", ""))}
+    words = [w.lower() for w in WORDS.findall(values.get("class", "") + " " + values.get("id", ""))]
+    found = {w for before, w in zip(["", *words], words, strict=False) if before not in BESIDE}
     cues = found & CUES
     return bool(cues - {"header"} or (cues and not found & OWN_HEADER)), main
 

@@ -231,6 +231,7 @@ def test_lines_of_pages():
     assert said('<form action="/"><div><p>All is within a form.</p></div><select><option>no</select></form>') == ["All is within a form."]
     assert said('<p title="a > b">q</p><nav><ul><li>m<article><p>art</p></article>tail') == ["art"]
     assert said('<article><p title="unclosed>r</p><p>s</p></article>') == ["r", "s"]
+    assert said('<div class="main with-sidebar"><p>body</p><div id="pageSidebar">side</div><div class="cookieNotice">c</div></div>') == ["body"]
     assert said("") == said("<p>") == said("<script>only") == []
     assert said("plain text, a <3 b") == ["plain text, a <3 b"]
     assert len(said("<article>" + "<div>x" * 50_000)) == 50_000

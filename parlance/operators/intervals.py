@@ -30,15 +30,18 @@ def bins(start: Column, stop: Column, width_us: int) -> Column:
     return F.sequence(first, F.greatest(first, F.floor((stop - 1) / width_us).cast("long")))
 
 
-def interval_pairs(left: DataFrame, right: DataFrame, key: str, bin_s: float | None) -> DataFrame:
+def interval_pairs(left: DataFrame, right: DataFrame, key: str, bin_s: float | None, empty: bool = False) -> DataFrame:
     """Pairs of rows of one key whose [t0, t1) overlap; right's columns but the key have other names than left's.
 
+    An empty interval overlaps nothing; with ``empty`` it also pairs with those that it lies strictly inside of.
+
     Without bins, the join is on the key with the ranges as a residual, which suits short recordings. With bins,
     both sides are laid out over time bins and joined on (key, bin), so that neither a long recording nor one
     that holds much of the data meets in one task; a pair counts in the first bin that both touch.
     """
-    # the plain range test, and a positive overlap: an empty interval has none
-    over = (F.col("t0") < F.col("r1")) & (F.col("r0") < F.col("t1")) & (F.col("t0") < F.col("t1")) & (F.col("r0") < F.col("r1"))
+    over = (F.col("t0") < F.col("r1")) & (F.col("r0") < F.col("t1"))
+    if not empty:  # the plain range test, and a positive overlap
+        over = over & (F.col("t0") < F.col("t1")) & (F.col("r0") < F.col("r1"))
     if bin_s is None:
         return left.join(right, key).filter(over)
     width = int(bin_s * 1_000_000)
@@ -48,15 +51,15 @@ def interval_pairs(left: DataFrame, right: DataFrame, key: str, bin_s: float | N
     return a.join(b, [key, "bin"]).filter(over & (F.col("bin") == shared)).drop("bin")
 
 
-def assign_speakers(segments: DataFrame, turns: DataFrame, bin_s: float | None = None) -> DataFrame:
+def assign_speakers(segments: DataFrame, turns: DataFrame, bin_s: float | None = None, empty: bool = False) -> DataFrame:
     """segments with the speaker of the turn that overlaps each most; the first turn among equals.
 
-    A segment is one (recording_id, pos); without any positive overlap its speaker is ``SPEAKER_00``. Only the
-    segments' keys and times take part in the join and the choice; their other columns are joined back by key.
+    A segment is one (recording_id, pos); without any positive overlap its speaker is ``SPEAKER_00``. With ``empty``,
+    a segment or turn of no length inside the other counts as an overlap of zero. Only the segments' keys and times take part in the join and the choice; their other columns are joined back by key.
     """
     s = segments.select("recording_id", "pos", micros(F.col("start_s")).alias("t0"), micros(F.col("end_s")).alias("t1"))
     t = turns.select("recording_id", "turn_no", F.col("speaker_id").alias("speaker"), micros(F.col("start_s")).alias("r0"), micros(F.col("end_s")).alias("r1"))
-    best = best_overlap(interval_pairs(s, t, "recording_id", bin_s), ["recording_id", "pos"])
+    best = best_overlap(interval_pairs(s, t, "recording_id", bin_s, empty), ["recording_id", "pos"])
     return segments.join(best, ["recording_id", "pos"], "left").withColumn("speaker_id", F.coalesce("speaker", F.lit(NO_SPEAKER))).drop("speaker")
 
 

@@ -40,6 +40,16 @@ def test_assignment_against_a_plain_model(spark, bin_s):
     assert got == model_assign(segs, turns)
 
 
+@pytest.mark.parametrize("bin_s", [None, 3.0])
+def test_moments_inside_turns(spark, bin_s):
+    """With ``empty``, a moment has the first turn around it, a longer overlap comes before a moment, and edges are outside."""
+    s = seg(spark, [(5.0, 5.0, "t", "eng", None), (2.0, 2.0, "t", "eng", None), (4.0, 9.0, "t", "eng", None), (8.0, 12.0, "t", "eng", None)]).drop("speaker_id")
+    t = spark.createDataFrame([("r", 0, "S0", 2.0, 6.0), ("r", 1, "S1", 1.0, 7.0), ("r", 2, "S2", 11.0, 11.0)], schemas.TURNS)
+    found = lambda **k: {r["pos"]: r["speaker_id"] for r in intervals.assign_speakers(s, t, bin_s, **k).collect()}
+    assert found(empty=True) == {0: "S0", 1: "S1", 2: "S1", 3: "S2"}
+    assert found() == {0: "SPEAKER_00", 1: "SPEAKER_00", 2: "S1", 3: "SPEAKER_00"}
+
+
 def test_no_turns(spark):
     s = seg(spark, [(0.0, 1.0, "t", "eng", None)]).drop("speaker_id")
     assert intervals.assign_speakers(s, spark.createDataFrame([], schemas.TURNS)).first()["speaker_id"] == "SPEAKER_00"

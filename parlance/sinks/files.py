@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parlance.functions.times import three_decimals
+
 
 def append_json_lines(df: DataFrame, path: str) -> None:
     """One object a line, characters as they are, added to what is there."""
@@ -57,7 +59,7 @@ def write_turns(regions: DataFrame, path: str, label: str = "speech") -> None:
 
 def turn_lines(regions: DataFrame, label: str = "speech") -> DataFrame:
     d = F.col("end_s") - F.col("start_s")
-    return regions.filter(d > 0).select(F.format_string("SPEAKER %s 1 %.3f %.3f <NA> <NA> %s <NA> <NA>", "recording_id", "start_s", d, F.lit(label)).alias("value"))
+    return regions.filter(d > 0).select(F.format_string("SPEAKER %s 1 %s %s <NA> <NA> %s <NA> <NA>", "recording_id", three_decimals(F.col("start_s")), three_decimals(d), F.lit(label)).alias("value"))
 
 
 def write_manifest(audio: DataFrame, path: str) -> None:

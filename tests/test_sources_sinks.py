@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from parlance import schemas
+from parlance.functions import times
 from parlance.operators.inference import region_fallback
 from parlance.sinks import files as out
 from parlance.sinks import transcripts
@@ -79,6 +80,14 @@ def test_line_formats(spark, tmp_path):
     assert lines == ["SPEAKER f 1 0.500 1.500 <NA> <NA> speech <NA> <NA>"]
 
 
+def test_three_decimals_round_as_c_does(spark):
+    values = [0.0625, 54321.0625, 54321.1875, 1.0005, 0.0005, 0.9995, 2.6875, 86399.9996, 1e-9, 7.0, 123456789.0005, 0.00050000000001, -1.5]
+    rows = spark.createDataFrame([(v,) for v in values], "x double").select("x", times.three_decimals(F.col("x")).alias("s")).collect()
+    assert {r["x"]: r["s"] for r in rows} == {v: f"{v:.3f}" for v in values}
+    lines = [r["value"] for r in out.turn_lines(spark.createDataFrame([("f", 54321.0625, 54322.625)], "recording_id string, start_s double, end_s double")).collect()]
+    assert lines == ["SPEAKER f 1 54321.062 1.562 <NA> <NA> speech <NA> <NA>"]
+
+
 def test_word_processor_files(spark, tmp_path):
     buffer = io.BytesIO()
     with zipfile.ZipFile(buffer, "w") as z:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -95,11 +96,18 @@ def alignment_text(text: Column, dictionary: str) -> Column:
 
 def parse_numbered(reply: Column) -> Column:
     """A map from number to text of the lines ``n. text``; blank texts are left out and the last of a number wins."""
+    line = "^(\\d{1,9})[.):\\s]+\\s*(.*)"
     lines = F.transform(F.split(reply, "\n"), strip)
-    pair = lambda x: F.struct(F.regexp_extract(x, "^(\\d{1,9})[.):\\s]+\\s*(.*)", 1).try_cast("int").alias("n"), strip(F.regexp_extract(x, "^(\\d{1,9})[.):\\s]+\\s*(.*)", 2)).alias("t"))
-    pairs = F.filter(F.transform(lines, pair), lambda p: p["n"].isNotNull() & (p["t"] != ""))
-    last = F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda q: q["n"] == p["n"]))
-    return F.map_from_entries(last)
+    pair = lambda x, i: F.struct(F.regexp_extract(x, line, 1).try_cast("int").alias("n"), i.alias("i"), strip(F.regexp_extract(x, line, 2)).alias("t"))
+    named = F.array_sort(F.filter(F.transform(lines, pair), lambda p: p["n"].isNotNull() & (p["t"] != "")))
+    # in order of number and place, a number's last is followed by another number: one pass over neighbours
+    follows = _once(named, lambda a: F.zip_with(a, F.slice(a, 2, F.size(a)), lambda p, q: F.when(p["n"].isNotNull() & ~p["n"].eqNullSafe(q["n"]), F.struct(p["i"].alias("i"), p["n"].alias("n"), p["t"].alias("t")))))
+    return F.map_from_entries(F.transform(F.array_sort(F.array_compact(follows)), lambda p: F.struct(p["n"].alias("n"), p["t"].alias("t"))))
+
+
+def _once(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is worked out once, however often f names it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
 def parse_choice(reply: Column, n: Column) -> Column:

@@ -1,3 +1,4 @@
+import time
 import datetime
 import random
 
@@ -138,3 +139,11 @@ def test_prompts(spark):
 def test_sentences_and_alignment_text(spark):
     assert one(spark, "এক। দুই ।  ।", text.sentences(F.col("v"))) == ["এক", "দুই"]
     assert one(spark, " Hello,  World-9 ", text.alignment_text(F.col("v"), "abcdefghijklmnopqrstuvwxyz-")) == "hello|world-"
+
+
+def test_long_replies_are_parsed_in_one_pass(spark):
+    """Lines in the thousands, whose numbers come again; comparing every line with all after it takes minutes."""
+    rows = spark.range(4).select(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(19_999)), lambda i: F.concat((i % 7 + 1).cast("string"), F.lit(". x"), i.cast("string"))), "\n").alias("v"))
+    began = time.monotonic()
+    got = [r["m"] for r in rows.select(text.parse_numbered(F.col("v")).alias("m")).collect()]
+    assert got == [{i % 7 + 1: f"x{i}" for i in range(19_993, 20_000)}] * 4 and time.monotonic() - began < 60

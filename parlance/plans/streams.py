@@ -16,8 +16,7 @@ from parlance.streaming import live
 
 def q_stream_quality_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality flags of events counted by the hour of their arrival."""
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "*events.parquet").parquet(sf_dir)
+    events = _arriving(spark, sf_dir, "events")
     i = F.col("event_id")
     clip = F.when(i % 10 == 0, i % 200 / 100.0).otherwise(i % 10 / 100.0)
     rows = events.select(F.col("ts").cast("timestamp").alias("ts"), (i * 7 % 400 / 10.0).alias("snr"), (i * 13 % 100).alias("speech_pct"), clip.alias("clip_pct"), (i * 11 % 45 - 60).alias("rms"))
@@ -33,8 +32,10 @@ FROM (SELECT m.*, CAST(round(speech_ratio * 100) AS INT) AS pct, e.ts FROM {fx.M
 
 
 def _arriving(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A supplied table as a stream, be it one file or a folder of files."""
     schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"*{name}.parquet").parquet(sf_dir)
+    # a pattern that only this name matches: a plain path would have to be a folder
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
 
 
 def q_stream_new_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,10 +1,12 @@
 import random
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from parlance import schemas
 from parlance.operators import dataset, intervals
+from parlance.plans import streams
 from parlance.streaming import live
 
 TURN = "recording_id string, pos int, speaker_id string, language string, start_s double, end_s double, raw_text string"
@@ -147,3 +149,18 @@ def test_counters_of_an_extraction(spark, tmp_path):
     rows, counters = dataset.extract_observed(samples, done, F.col("wer") < 0.5, model)
     rows.write.parquet(str(tmp_path / "out"))
     assert counters() == {"total": 8, "kept": 3, "filtered": 5, "written": 3, "errors": 1}
+
+
+@pytest.mark.parametrize("name", ["q_stream_new_documents", "q_stream_quality_counts", "q_stream_first_visits", "q_stream_merged_turns"])
+def test_tables_of_many_files_arrive(spark, tmp_path, name):
+    """A table that is a folder of files gives the same as one file."""
+    for folder, files in (("one", 1), ("many", 3)):
+        events = spark.range(60).selectExpr("id AS event_id", "timestamp_ntz '2024-01-01 00:00:00' + make_dt_interval(0, 0, int(id)) AS ts", "id % 3 AS user_id", "'e' AS event_type", "id / 7D AS value", "'' AS props")
+        documents = spark.range(20).selectExpr("id AS doc_id", "concat('t', id) AS text", "'eng' AS lang", "'s' AS source", "2L AS n_chars")
+        for table, df in (("events", events), ("documents", documents)):
+            df.repartition(files).write.parquet(f"{tmp_path}/{folder}/{table}.parquet" if files > 1 else f"{tmp_path}/{table}")
+            if files == 1:
+                (tmp_path / folder).mkdir(exist_ok=True)
+                next((tmp_path / table).glob("*.parquet")).rename(tmp_path / folder / f"{table}.parquet")
+    one, many = (sorted(map(tuple, streams.QUERIES[name][0](spark, f"{tmp_path}/{f}").collect())) for f in ("one", "many"))
+    assert one and one == many

@@ -45,3 +45,18 @@ def test_search_is_that_of_all_pairs(spark):
     assert {(r["query_id"], r["item_id"], r["rank"]) for r in whole} == {(r["query_id"], r["item_id"], r["rank"]) for r in got}
     assert sum(r["compared"] for r in whole) < 0.6 * sum(r["candidates"] for r in whole)
     assert warping.nearest_warped(queries.limit(0), items, "kind", 4, 3).count() == warping.nearest_warped(queries, items.limit(0), "kind", 4, 3).count() == 0
+
+
+def test_many_items_are_compared_at_a_time(monkeypatch):
+    """Exact distances are taken for hundreds of items a call, with those given up that can't be among the nearest."""
+    rng = np.random.default_rng(3)
+    items, x = rng.normal(size=(4000, 32)), rng.normal(size=32)
+    every = warping.warped(x, items, 4)
+    want = sorted(zip(every.tolist(), range(4000), strict=True))[:5]
+    calls, plain = [], warping.warped
+    monkeypatch.setattr(warping, "warped", lambda *given: calls.append(len(given[1])) or plain(*given))
+    best, compared = warping.nearest_in(x, items, 5, 4)
+    assert best == want and compared == sum(calls) and len(calls) < 12
+    limit = want[-1][0]
+    cut = plain(x, items, 4, limit)
+    assert np.array_equal(cut[every <= limit], every[every <= limit]) and np.isinf(cut).sum() > 3000

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -106,6 +108,60 @@ def top_k(queries: DataFrame, items: DataFrame, block: list[str], distance: Colu
     return best.withColumn("rank", F.row_number().over(Window.partitionBy(query_id).orderBy("distance", item_id)))
 
 
+def top_k_cosine(queries: DataFrame, items: DataFrame, block: str, k: int, digits: int = 5, query_id: str = "query_id", item_id: str = "item_id", vector: str = "vector", slice_rows: int = 4096) -> DataFrame:
+    """(query_id, item_id, distance, rank): the k nearest items of each query among its block's, by rounded cosine distance, ties to the smaller id.
+
+    Items are dealt over slices of their block and each query meets every slice once, where its distances to all items
+    are taken at a time, their products added in the vectors' order. A slice gives those that may be among its k best
+    after rounding; only these are rounded and cut to k. Vectors that are null, or hold null or non-finite entries, and
+    null blocks are left out; vectors of different lengths don't meet. A zero vector's distance is not a number, which comes last.
+    """
+    from parlance.operators.dataset import first_per_group
+
+    good = F.forall(vector, lambda v: v.isNotNull() & (F.abs(v.cast("double")) < float("inf"))) & F.col(block).isNotNull()
+    side = lambda df, own: df.filter(good).select(F.col(own[0]).alias(own[1]), F.col(block).alias("block"), F.size(vector).alias("size"), F.col(vector).cast("array<double>").alias("v"))
+    q, t = side(queries, (query_id, "q")), side(items, (item_id, "t"))
+    counts = t.groupBy("block", "size").agg(F.ceil(F.count("*") / slice_rows).cast("int").alias("slices"))
+    t = t.join(counts, ["block", "size"]).withColumn("slice", F.pmod(F.xxhash64("t"), F.col("slices")).cast("int")).drop("slices")
+    q = q.join(counts, ["block", "size"]).withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).drop("slices")
+    room = 2.0 * 10.0**-digits
+    kinds = {c: d.schema[c].dataType.simpleString() for c, d in (("q", q), ("t", t))}
+
+    def search(asked: pa.Table, held: pa.Table) -> pa.Table:
+        if not len(asked) or not len(held):  # a slice or a block of one side alone
+            return pa.table([asked["q"].slice(0, 0), held["t"].slice(0, 0), pa.array([], pa.float64())], names=["q", "t", "d"])
+        square = lambda c: np.ascontiguousarray(c.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(c), -1).T)
+        x, y = square(asked["v"]), square(held["v"])
+        ids, own = held["t"].combine_chunks(), asked["q"].combine_chunks()
+        length = lambda m: sum((row * row for row in m), np.zeros(m.shape[1]))
+        xx, yy = length(x), length(y)
+        plain, mine, parts = ids.to_numpy(zero_copy_only=False), own.to_numpy(zero_copy_only=False), []
+        for r in range(len(mine)):
+            dot = np.zeros(len(plain))
+            for a, b in zip(x[:, r], y, strict=True):
+                dot += a * b
+            with np.errstate(invalid="ignore", divide="ignore"):
+                d = 1 - dot / np.sqrt(xx[r] * yy)
+            rows = np.flatnonzero(plain != mine[r])
+            # at most k of a query's rows count, all others within rounding of the last of them too
+            if len(rows) > k:
+                last = np.partition(d[rows], k - 1)[k - 1]
+                rows = rows[~(d[rows] > last + room)]
+                if np.isnan(last):  # fewer than k numbers: the smallest ids without one go along
+                    odd = rows[np.isnan(d[rows])]
+                    rows = np.concatenate([rows[~np.isnan(d[rows])], odd[np.argsort(plain[odd], kind="stable")][:k]])
+                else:
+                    rows = rows[~np.isnan(d[rows])]
+            parts.append((np.full(len(rows), r), rows, d[rows]))
+        at, rows, d = (np.concatenate([p[i] for p in parts]) if parts else np.empty(0, int if i < 2 else float) for i in range(3))
+        return pa.table([own.take(pa.array(at)), ids.take(pa.array(rows)), pa.array(d, pa.float64())], names=["q", "t", "d"])
+
+    keys = ["block", "size", "slice"]
+    met = q.groupBy(*keys).cogroup(t.groupBy(*keys)).applyInArrow(search, f"q {kinds['q']}, t {kinds['t']}, d double").withColumn("d", F.round("d", digits))
+    best = first_per_group(met, ["q"], ["d", "t"], k)
+    return best.select(F.col("q").alias(query_id), F.col("t").alias(item_id), F.col("d").alias("distance"), F.row_number().over(Window.partitionBy("q").orderBy("d", "t")).alias("rank"))
+
+
 def model_matrix(models: DataFrame, audio: DataFrame, baseline: str | None = None, most: int = 10_000) -> DataFrame:
     """Every model with every file, the baseline first, duplicates dropped; more than ``most`` models are refused.
 

@@ -127,12 +127,9 @@ PARALLEL_SQL = "SELECT d.doc_id AS id, source AS src, coalesce(md5(b.text), '')
 
 def q_candidate_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For every twentieth vector the five nearest of its label by cosine distance, exact."""
-    e = fx.table(spark, sf_dir, "embeddings").filter("embedding IS NOT NULL")
-    q = e.filter("vec_id % 20 = 0").select("label", F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"))
-    i = e.select("label", F.col("vec_id").alias("item_id"), F.col("embedding").alias("x"))
-    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda u, v: u.cast("double") * v), F.lit(0.0), lambda s, t: s + t)
-    d = F.round(1 - dot(F.col("q"), F.col("x")) / F.sqrt(dot(F.col("q"), F.col("q")) * dot(F.col("x"), F.col("x"))), 5)
-    return scoring.top_k(q, i, ["label"], d, 5).select("query_id", "item_id", "rank")
+    e = fx.table(spark, sf_dir, "embeddings").select("label", "vec_id", F.col("embedding").alias("vector"))
+    q, i = e.filter("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id"), e.withColumnRenamed("vec_id", "item_id")
+    return scoring.top_k_cosine(q, i, "label", 5).select("query_id", "item_id", "rank")
 
 
 SEARCH_SQL = """

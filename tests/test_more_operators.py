@@ -1,3 +1,6 @@
+import math
+import random
+
 from pyspark.sql import functions as F
 
 from parlance import schemas
@@ -67,3 +70,16 @@ def test_speaker_rules(spark):
 def test_usable_rows(spark):
     df = spark.createDataFrame([("a", "BAD"), ("b", "GOOD"), ("c", "FAIR")], "file_path string, quality string")
     assert quality.usable(df).count() == 2 and quality.usable(df, force=True).count() == 3 and quality.usable(df, limit=1).first()["file_path"] == "b"
+
+
+def test_cosine_search_against_all_pairs(spark):
+    rng = random.Random(5)
+    rows = [(i, i % 3 if i % 10 else None, [rng.choice([-1.0, 0.0, 1.0, 2.0]) for _ in range(4)]) for i in range(120)] + [(200, 1, None), (201, 1, [1.0, None, 1.0, 1.0]), (202, 1, [0.0] * 4), (203, 2, [1.0, 1.0])]
+    df = spark.createDataFrame(rows, "item_id long, label int, vector array<float>")
+    got = scoring.top_k_cosine(df.filter("item_id % 4 = 0").withColumnRenamed("item_id", "query_id"), df, "label", 5, slice_rows=7)
+    found = sorted((r["query_id"], r["rank"], r["item_id"]) for r in got.collect())
+    dot = lambda a, b: sum(u * v for u, v in zip(a, b, strict=True))
+    far = lambda a, b: round(1 - dot(a, b) / math.sqrt(dot(a, a) * dot(b, b)), 5) + 0.0 if dot(a, a) * dot(b, b) else math.inf
+    good = [r for r in rows if r[1] is not None and r[2] is not None and None not in r[2] and len(r[2]) == 4]
+    want = [(q, k + 1, i) for q, label, v in good if q % 4 == 0 for k, (_, i) in enumerate(sorted((far(v, w), i) for i, other, w in good if other == label and i != q)[:5])]
+    assert found == sorted(want)

@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -156,14 +156,16 @@ class MergeTurns(StatefulProcessor):
         pass
 
 
-WAITING = "speaker_id string, language string, start_s double, end_s double, raw_text string, at long"
+MERGED_ROW = Row(*[c.split()[0] for c in MERGED.split(", ")])
+WAITING = "recording_id string, pos int, start long, speaker_id string, language string, start_s double, end_s double, raw_text string, at long"
 
 
 class MergeLateTurns(StatefulProcessor):
-    """The exact merge of rows in any order within the watermark's delay.
+    """The exact merge of rows in any order within the watermark's delay, for many recordings at a time.
 
-    Rows wait in a map by position until the watermark has passed them; then all that is passed is merged in order.
-    One timer a recording wakes it up: for its earliest waiting row, or when nothing can join the open row any more.
+    Rows wait in a list until the watermark has passed them; then all that is passed is merged in order. Every call to
+    the state is a round trip, so recordings share a list, which is added to once a trigger and written anew once a
+    wake-up. One timer wakes all up: for the earliest waiting row, or when nothing can join an open row any more.
     """
 
     def __init__(self, max_gap_s: float = 0.5):
@@ -171,66 +173,63 @@ class MergeLateTurns(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getMapState("waiting", "pos int, start long", WAITING)
-        self.open = handle.getValueState("open", MERGED + ", until long")
-
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
-        earliest = None
-        for r in (r for batch in rows for r in batch.itertuples(index=False)):
-            at = int(r.at.value // 1_000_000) if hasattr(r.at, "value") else int(pd.Timestamp(r.at).value // 1_000_000)
-            self.waiting.updateValue((int(r.pos), round(r.start_s * 1e6)), (None if pd.isna(r.speaker_id) else r.speaker_id, r.language, float(r.start_s), float(r.end_s), r.raw_text, at))
-            earliest = at if earliest is None else min(earliest, at)
-        if earliest is not None:
-            self._wake([*self.handle.listTimers(), earliest])
-        yield pd.DataFrame([], columns=[c.split()[0] for c in MERGED.split(", ")])
-
-    def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[pd.DataFrame]:
+        self.waiting = handle.getListState("waiting", WAITING)
+        self.open = handle.getListState("open", MERGED + ", until long")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: object) -> Iterator[Row]:
+        new = [(r.recording_id, r.pos, round(r.start_s * 1e6), r.speaker_id, r.language, r.start_s, r.end_s, r.raw_text, r.at) for r in rows]
+        if new:
+            self.waiting.appendList(new)
+            earliest, times = min(r[-1] for r in new), list(self.handle.listTimers())
+            if not times or earliest < min(times):
+                for t in times:
+                    self.handle.deleteTimer(t)
+                self.handle.registerTimer(earliest)
+        return iter(())
+
+    def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[Row]:
         passed = timerValues.getCurrentWatermarkInMs()
-        held = list(self.waiting.iterator())
-        now = list(self.open.get()) if self.open.exists() else None
-        out, left = [], []
-        for (pos, start), (speaker, language, start_s, end_s, text, at) in sorted(held, key=lambda x: tuple(x[0])):
-            if at > passed:
-                left.append(at)
-                continue
-            self.waiting.removeKey((pos, start))
+        held = {tuple(r[:3]): tuple(r) for r in self.waiting.get()}  # the last of one recording, position and start
+        due = sorted((r for r in held.values() if r[-1] <= passed), key=lambda r: (r[0] or "", *r[1:3]))
+        left = [r for r in held.values() if r[-1] > passed]
+        open_rows = {r[0]: list(r) for r in self.open.get()}
+        for recording, pos, start, speaker, language, start_s, end_s, text, at in due:
+            now = open_rows.get(recording)
             if now is not None and now[2] == speaker and now[3] == language and start - round(now[5] * 1e6) <= self.gap:
                 now[5], now[6], now[7] = end_s, f"{now[6]} {text}", now[7] + 1
             else:
                 if now is not None:
-                    out.append(tuple(now[:8]))
-                now = None if speaker is None else [key[0], pos, speaker, language, start_s, end_s, text, 1, 0]
-            if now is not None:  # rows later than this start too late to join
+                    yield MERGED_ROW(*now[:8])
+                now = None if speaker is None else [recording, pos, speaker, language, start_s, end_s, text, 1, 0]
+            if now is None:
+                open_rows.pop(recording, None)
+            else:  # rows later than this start too late to join
                 now[8] = at + (round(end_s * 1e6) - start + self.gap) // 1000 + 1
-        if now is not None and now[8] <= passed:
-            out.append(tuple(now[:8]))
-            now = None
-        if now is None:
-            self.open.clear()
-        else:
-            self.open.update(tuple(now))
-            left.append(now[8])
-        self._wake(left)
-        yield pd.DataFrame(out, columns=[c.split()[0] for c in MERGED.split(", ")])
-
-    def _wake(self, times: list[int]) -> None:
-        for at in list(self.handle.listTimers()):
-            self.handle.deleteTimer(at)
-        if times:
+                open_rows[recording] = now
+        for now in open_rows.values():
+            if now[8] <= passed:
+                yield MERGED_ROW(*now[:8])
+        still = [tuple(now) for now in open_rows.values() if now[8] > passed]
+        for state, rows in ((self.waiting, left), (self.open, still)):
+            state.put(rows) if rows else state.clear()
+        times = [r[-1] for r in (*left, *still)]
+        if times:  # the timer that woke this up is dropped by the engine
             self.handle.registerTimer(min(times))
 
     def close(self) -> None:
         pass
 
 
-def merge_late_turns(stream: DataFrame, at: str = "at", delay: str = "10 minutes", max_gap_s: float = 0.5) -> DataFrame:
+def merge_late_turns(stream: DataFrame, at: str = "at", delay: str = "10 minutes", max_gap_s: float = 0.5, shares: int = 64) -> DataFrame:
     """Merged rows as the watermark passes them; rows may arrive in any order within ``delay`` of event time ``at``, their start.
 
     However the rows are cut into triggers, the result is that of the batch. Rows of one position and start are one
-    row. Needs the RocksDB state store.
+    row. Recordings are dealt over so many ``shares`` of the state. Needs the RocksDB state store.
     """
-    rows = stream.withColumn("at", F.col(at).cast("timestamp")).withWatermark("at", delay)
-    return rows.groupBy("recording_id").transformWithStateInPandas(MergeLateTurns(max_gap_s), MERGED, "Append", "EventTime")
+    rows = stream.withColumn("_at", F.col(at).cast("timestamp")).withWatermark("_at", delay)
+    share = F.pmod(F.xxhash64("recording_id"), F.lit(shares)).cast("int")
+    rows = rows.select(share.alias("share"), "recording_id", F.col("pos").cast("int").alias("pos"), "speaker_id", "language", "start_s", "end_s", "raw_text", F.unix_millis("_at").alias("at"), "_at")
+    return rows.groupBy("share").transformWithState(MergeLateTurns(max_gap_s), MERGED, "Append", "EventTime")
 
 
 def merge_turns(stream: DataFrame, max_gap_s: float = 0.5, idle_s: float | None = None) -> DataFrame:

@@ -2,6 +2,7 @@ import random
 import time
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from parlance import schemas
@@ -164,3 +165,44 @@ def test_tables_of_many_files_arrive(spark, tmp_path, name):
                 next((tmp_path / table).glob("*.parquet")).rename(tmp_path / folder / f"{table}.parquet")
     one, many = (sorted(map(tuple, streams.QUERIES[name][0](spark, f"{tmp_path}/{f}").collect())) for f in ("one", "many"))
     assert one and one == many
+
+
+def test_late_rows_cost_few_calls_to_the_state():
+    """However many rows and recordings arrive in a trigger, the state is asked a few times a share."""
+    calls = []
+
+    class State:
+        def __init__(self, name):
+            self.name, self.rows = name, []
+
+        def __getattr__(self, what):
+            def call(*given):
+                calls.append((self.name, what))
+                if what in ("appendList", "put"):
+                    self.rows = [*(self.rows if what == "appendList" else []), *given[0]]
+                elif what == "clear":
+                    self.rows = []
+                return iter(self.rows)
+
+            return call
+
+    class Handle:
+        def getListState(self, name, schema):
+            return State(name)
+
+        def listTimers(self):
+            return iter(())
+
+        def registerTimer(self, at):
+            calls.append(("timer", at))
+
+    class Times:
+        def getCurrentWatermarkInMs(self):
+            return 10**9
+
+    p = live.MergeLateTurns()
+    p.init(Handle())
+    rows = [Row(recording_id=str(r), pos=k, speaker_id="S", language="eng", start_s=k * 1.0, end_s=k + 0.9, raw_text="x", at=k * 1000) for k in range(200) for r in range(50)]
+    assert list(p.handleInputRows((0,), iter(rows), None)) == []
+    out = list(p.handleExpiredTimer((0,), Times(), None))
+    assert sorted((r["recording_id"], r["n_merged"]) for r in out) == sorted((str(r), 200) for r in range(50)) and len(calls) < 10

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parlance.operators import quality, speakers
@@ -38,9 +38,14 @@ def q_usable_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.usable(rated(spark, sf_dir)).select("file_path", "quality")
 
 
+def rounded(c: str, digits: int) -> Column:
+    """Rounded as the SQL does it: the scaled number to a whole one, halves up, which may differ from halves of the shortest text."""
+    return (F.round(F.col(c) * 10.0**digits) / 10.0**digits).alias(c)
+
+
 def q_folder_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = quality.folder_summary(fx.metrics(spark, sf_dir))
-    return s.select("folder_key", "n_files", "mic", "plosives", "quality", *[F.round(c, 4).alias(c) for c in ("total_s", "snr_db", "speech_pct", "clip_pct", "rms_dbfs")])
+    return s.select("folder_key", "n_files", "mic", "plosives", "quality", *[rounded(c, 4) for c in ("total_s", "snr_db", "speech_pct", "clip_pct", "rms_dbfs")])
 
 
 FOLDER_SQL = f"""
@@ -55,7 +60,7 @@ SELECT folder_key, n_files, mic, plosives, CASE WHEN snr_db < 8 THEN 'BAD' WHEN
 
 def q_folder_footer(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = q_folder_summary(spark, sf_dir).select("folder_key", "quality", "snr_db", "speech_pct")
-    return quality.with_footer(s, "folder_key", ["snr_db", "speech_pct"], "quality").select("folder_key", "quality", *[F.round(c, 3).alias(c) for c in ("snr_db", "speech_pct")])
+    return quality.with_footer(s, "folder_key", ["snr_db", "speech_pct"], "quality").select("folder_key", "quality", *[rounded(c, 3) for c in ("snr_db", "speech_pct")])
 
 
 FOOTER_SQL = f"""

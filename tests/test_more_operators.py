@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from parlance import schemas
 from parlance.operators import intervals, postprocess, quality, scoring, speakers, words
+from parlance.plans import ratings
 
 
 def _upper():
@@ -83,3 +84,12 @@ def test_cosine_search_against_all_pairs(spark):
     good = [r for r in rows if r[1] is not None and r[2] is not None and None not in r[2] and len(r[2]) == 4]
     want = [(q, k + 1, i) for q, label, v in good if q % 4 == 0 for k, (_, i) in enumerate(sorted((far(v, w), i) for i, other, w in good if other == label and i != q)[:5])]
     assert found == sorted(want)
+
+
+def test_means_round_as_the_sql_does(spark):
+    """Scaled and then rounded: a sum of doubles just below a half goes up with it, a half of the shortest text may go down."""
+    values = [0.11624999999999999, 1.0005, 19.4815, -38.53125]
+    rows = spark.createDataFrame([(v,) for v in values], "x double")
+    for digits in (3, 4):
+        want = [math.copysign(math.floor(abs(v * 10.0**digits) + 0.5), v) / 10.0**digits for v in values]
+        assert [r["x"] for r in rows.select(ratings.rounded("x", digits)).collect()] == want

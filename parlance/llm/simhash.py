@@ -318,8 +318,31 @@ def parity(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(bool), bitorder="little").view(np.int64)
 
 
+def long_parity(hashes: np.ndarray) -> bytes:
+    """parity() in as many bits as there are hashes, or up to twice as many: a power of two, 256 at least."""
+    bits = max(256, 1 << (len(hashes) - 1).bit_length())
+    odd = np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").tobytes()
+
+
+@F.arrow_udf(T.BooleanType())
+def may_be_similar(n: pa.Array, odd: pa.Array, m: pa.Array, other: pa.Array, least: pa.Array) -> pa.Array:
+    """False where two sets' long parities differ in more bits than similar sets of n and m hashes may differ in hashes."""
+
+    def one(n: int, x: np.ndarray, m: int, y: np.ndarray, s: float) -> bool:
+        if len(x) < len(y):
+            x, y = y, x
+        while len(x) > len(y):  # the longer one in half as many bits
+            half = len(x) // 2
+            x = x[:half] ^ x[half:]
+        return int(np.bitwise_count(x ^ y).sum(dtype=np.int64)) <= (1 - s) / (1 + s) * (n + m) + 1e-9
+
+    words = [[np.frombuffer(v.as_buffer(), np.uint64) for v in c] for c in (odd, other)]
+    return pa.array([one(*r) for r in zip(n.to_pylist(), words[0], m.to_pylist(), words[1], least.to_pylist(), strict=True)], pa.bool_())
+
+
 def near_prints(docs: DataFrame, shingle: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
-    """(id, fp, digest, n, bits, asked) of every document: n different shingles, their parity, and those asked for."""
+    """(id, fp, digest, n, bits, odd, asked) of every document: n different shingles, their parities, and those asked for."""
     rows = docs.select(F.col(id_col).alias("id"), F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("digest"), F.col(text_col).alias("text"))
     found = common_shingles(docs, shingle, text_col)
     by = np.argsort(found)
@@ -327,19 +350,20 @@ def near_prints(docs: DataFrame, shingle: int, similarity: float, id_col: str, t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in (p for batch in batches for p in pieces_of(batch)):
-            fps, sizes, bits, asked = [], [], [], []
+            fps, sizes, bits, odd, asked = [], [], [], [], []
             for t in utf8(b.column(2)):
                 hashes = shingles(t, shingle)
                 fps.append(print_of(hashes))
                 own = np.unique(hashes) if len(hashes) else nothing
                 sizes.append(len(own))
                 bits.append(parity(own))
+                odd.append(long_parity(own))
                 asked.append(asked_shingles(own, common, by, similarity).view(np.int64))
             fps = np.array(fps, np.uint64).view(np.int64)
             lists = pa.ListArray.from_arrays(np.r_[0, np.cumsum([len(x) for x in asked])].astype(np.int32), pa.array(np.concatenate([*asked, np.empty(0, np.int64)])))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps), b.column(1), pa.array(sizes, pa.int32()), pa.array(bits, pa.list_(pa.int64())), lists], names=["id", "fp", "digest", "n", "bits", "asked"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps), b.column(1), pa.array(sizes, pa.int32()), pa.array(bits, pa.list_(pa.int64())), pa.array(odd, pa.binary()), lists], names=["id", "fp", "digest", "n", "bits", "odd", "asked"])
 
-    return rows.mapInArrow(trimmed(run), f"id {rows.schema['id'].dataType.simpleString()}, fp long, digest string, n int, bits array<long>, asked array<long>")
+    return rows.mapInArrow(trimmed(run), f"id {rows.schema['id'].dataType.simpleString()}, fp long, digest string, n int, bits array<long>, odd binary, asked array<long>")
 
 
 def met(rows: DataFrame) -> DataFrame:
@@ -403,11 +427,17 @@ def keep_one(docs: DataFrame, shingle: int = 5, radius: int = 6, similarity: flo
     cols = docs.columns
     prints = store(near_prints(docs, shingle, similarity, id_col, text_col), "near-prints")
     # one row for each text: the smallest id that has it stands for it
-    texts = prints.groupBy("digest").agg(F.min("id").alias("id"), F.count("*").alias("rows"), F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("asked").alias("asked"))
+    texts = prints.groupBy("digest").agg(F.min("id").alias("id"), F.count("*").alias("rows"), F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("odd").alias("odd"), F.first("asked").alias("asked"))
     texts = store(texts.withColumn("node", F.monotonically_increasing_id()), "near-texts")
     key = F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
 
     def checked(pairs: DataFrame) -> DataFrame:
+        # long texts can share many common shingles: their parities are compared before their texts are moved
+        sets = [texts.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("odd").alias(f"odd_{c}")) for c in ("a", "b")]
+        close = pairs.join(sets[0], "a").join(sets[1], "b").filter(may_be_similar("n_a", "odd_a", "n_b", "odd_b", F.lit(similarity)))
+        close = store(close.select("a", "b"), "near-close")
+        discard(pairs)
+        pairs = close
         nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(texts.select("node", "digest"), "node")
         bodies = docs.select(key.alias("digest"), F.col(text_col).alias("body")).join(store(nodes, "near-nodes"), "digest")
         bodies = store(bodies.dropDuplicates(["node"]).select("node", "body"), "near-bodies")

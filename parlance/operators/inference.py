@@ -11,9 +11,14 @@ from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from parlance.llm.common import pieces_of, trimmed
+
+#: Rows of a batch that are made into objects at a time.
+ROWS = 512
 _MODELS: dict[str, Any] = {}
 
 
@@ -25,6 +30,13 @@ def loaded(factory: Callable[[], Any]) -> Any:
     return _MODELS[key]
 
 
+def few_rows(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Batches in slices, so that what a model returns for one at a time stays small."""
+    for batch in batches:
+        for k in range(0, len(batch), ROWS):
+            yield batch.iloc[k : k + ROWS]
+
+
 def infer_rows(df: DataFrame, factory: Callable[[], Callable[[dict], Iterable[dict]]], keys: list[str], inputs: list[str], schema: str) -> DataFrame:
     """Zero or more rows of ``schema`` for each row, with its keys, an error and the seconds it took.
 
@@ -35,7 +47,7 @@ def infer_rows(df: DataFrame, factory: Callable[[], Callable[[dict], Iterable[di
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = loaded(factory)
-        for batch in batches:
+        for batch in few_rows(batches):
             out = []
             for row in batch.to_dict("records"):
                 base = {k: row[k] for k in keys}
@@ -73,7 +85,7 @@ def infer_batches(df: DataFrame, factory: Callable[[], Callable[[list[dict]], li
             spent = (time.perf_counter() - began) / max(1, sum(map(len, got)))
             return [{k: r[k] for k in keys} | x | {"error": None, "elapsed_s": spent} for r, found in zip(rows, got, strict=True) for x in found]
 
-        for batch in batches:
+        for batch in few_rows(batches):
             rows = batch.to_dict("records")
             out = [x for k in range(0, len(rows), batch_size) for x in tried(rows[k : k + batch_size])]
             yield pd.DataFrame(out, columns=full.names).astype(object).where(lambda x: x.notna(), None)
@@ -89,14 +101,13 @@ def infer_text(df: DataFrame, inputs: list[str], factory: Callable[[], Callable[
     rest = df.drop(out, f"{out}_error")
     full = T.StructType([*rest.schema.fields, T.StructField(out, T.StringType()), T.StructField(f"{out}_error", T.StringType())])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = loaded(factory)
-        for batch in batches:
-            rows = batch[inputs].to_dict("records")
+        for batch in (p for b in batches for p in pieces_of(b)):
             texts: list[str | None] = []
             errors: list[str | None] = []
-            for k in range(0, len(rows), batch_size):
-                part = rows[k : k + batch_size]
+            for k in range(0, batch.num_rows, batch_size):
+                part = batch.slice(k, batch_size).select(inputs).to_pylist()
                 try:
                     got = model(part)
                     texts += got
@@ -109,9 +120,9 @@ def infer_text(df: DataFrame, inputs: list[str], factory: Callable[[], Callable[
                         except Exception as e:
                             texts.append(None)
                             errors.append(f"{type(e).__name__}: {e}")
-            yield batch.assign(**{out: texts, f"{out}_error": errors})
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string()), pa.array(errors, pa.string())], names=full.names)
 
-    return rest.mapInPandas(run, full)
+    return rest.mapInArrow(trimmed(run), full)
 
 
 def region_fallback(regions: DataFrame, totals: DataFrame) -> DataFrame:

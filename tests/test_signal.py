@@ -169,3 +169,12 @@ def test_metrics_do_not_depend_on_blocks(spark, size):
     rows = sorted(signal.speaker_audio(b, turns).filter("recording_id = 'long/A'").collect(), key=lambda r: r["start_sample"])
     assert np.concatenate([r["samples"] for r in rows]).tolist() == np.concatenate([waves["long"][4800:8000], waves["long"][1600:3200]]).tolist()
     assert [r["block_no"] for r in rows] == list(range(len(rows)))
+
+
+def test_shapes_of_one_and_of_several_blocks_without_a_row_a_bin(spark, blocks):
+    """Shapes of recordings are those of their mean spectra, and no plan makes a row of each of a spectrum's bins."""
+    rates = blocks.select("recording_id", "sample_rate").distinct()
+    got = {r["recording_id"]: r[1:] for r in signal.recording_shapes(blocks, rates).collect()}
+    mean = signal.mean_spectrum(blocks)
+    assert got and got == {r["recording_id"]: r[1:] for r in signal.spectrum_shape(mean, rates).collect()}
+    assert "Generate" not in mean._jdf.queryExecution().executedPlan().toString()

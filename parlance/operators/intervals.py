@@ -6,11 +6,13 @@ All comparisons use whole microseconds. Tables carry ``recording_id`` and an exp
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import itertools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -146,7 +148,7 @@ def vad_groups(regions: DataFrame, max_s: float = 30.0, max_gap_s: float = 3.0,
     w = Window.partitionBy("recording_id").orderBy("pos")
     r = regions.select("recording_id", "pos", micros(F.col("start_s")).alias("a"), micros(F.col("end_s")).alias("b"))
     fresh = F.coalesce(F.col("a") - F.lag("b").over(w) >= gap, F.lit(True))
-    placed = store(r.select("recording_id", "a", "b", fresh.alias("fresh"), (F.row_number().over(w) - 1).cast("long").alias("i")), "regions")
+    placed = store(r.select("recording_id", "a", "b", fresh.alias("fresh"), (F.row_number().over(w) - 1).cast("long").alias("i"), F.count("*").over(Window.partitionBy("recording_id")).alias("n")), "regions")
     while True:
         jumps = store(_group_jumps(placed, most, block), "region-jumps")
         if not jumps.filter("i IS NULL").limit(1).count():
@@ -166,9 +168,8 @@ def vad_groups(regions: DataFrame, max_s: float = 30.0, max_gap_s: float = 3.0,
 
 
 def _next_starts(rows: pa.Table, most: int) -> tuple[np.ndarray, list[int], list[int], list[int], list[bool]]:
-    """Regions in order (places, starts, ends), for each where the group after one that starts with it starts (an index, or their number), and which
+    """Of regions in order: places, starts, ends, for each where the group after one that starts with it starts (an index, or their number), and which
     are after a long gap."""
-    rows = rows.sort_by("i")
     i, a, b, fresh = rows["i"].to_numpy(), *(rows[c].to_pylist() for c in ("a", "b", "fresh"))
     n = len(i)
     found = [n] * n
@@ -197,10 +198,11 @@ def _next_starts(rows: pa.Table, most: int) -> tuple[np.ndarray, list[int], list
 def _group_jumps(placed: DataFrame, most: int, block: int) -> DataFrame:
     """(recording_id, i, next, first): starts in a block, by where the chain of starts enters the next block; a null i if blocks are too short."""
     own = F.floor(F.col("i") / block)
-    near = placed.select("*", F.explode(F.filter(F.array(own - 1, own, own + 1), lambda k: k >= 0)).alias("block"))
+    last = F.floor((F.col("n") - 1) / block)
+    near = placed.select("*", F.explode(F.filter(F.array(own - 1, own, own + 1), lambda k: (k >= 0) & (k <= last))).alias("block")).drop("n")
 
-    def run(key: tuple, rows: pa.Table) -> pa.Table:
-        k = key[1].as_py()
+    def run(rows: pa.Table) -> pa.Table:
+        rid, k = rows["recording_id"][0].as_py(), rows["block"][0].as_py()
         i, _, _, found, fresh = _next_starts(rows, most)
         lo, hi, n = int(np.searchsorted(i, k * block)), int(np.searchsorted(i, (k + 1) * block)), len(i)
         if lo == hi:  # neighbours only
@@ -213,27 +215,53 @@ def _group_jumps(placed: DataFrame, most: int, block: int) -> DataFrame:
             t = found[j]
             exits[j] = n if t == n or fresh[t] else t if t >= hi else exits[t]
         entries = sorted({found[j] for j in range(lo) if lo <= found[j] < hi} | {j for j in range(lo, hi) if fresh[j]})
-        return out([int(i[j]) for j in entries], [int(i[exits[j]]) if exits[j] < n else None for j in entries], [bool(fresh[j]) for j in entries], key[0].as_py())
+        return out([int(i[j]) for j in entries], [int(i[exits[j]]) if exits[j] < n else None for j in entries], [bool(fresh[j]) for j in entries], rid)
 
     def out(starts: list, nexts: list, first: list, rid: str | None = None) -> pa.Table:
         return pa.table({"recording_id": pa.array([rid] * len(starts), pa.string()), "i": pa.array(starts, pa.int64()), "next": pa.array(nexts, pa.int64()), "first": pa.array(first, pa.bool_())})
 
-    return near.groupBy("recording_id", "block").applyInArrow(run, "recording_id string, i long, next long, first boolean")
+    return _by_block(near, run, "recording_id string, i long, next long, first boolean")
+
+
+def _by_block(rows: DataFrame, run: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
+    """run's rows for all rows of each (recording_id, block), in order of i; many small groups pass in one batch."""
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        done: list[pa.Table] = []
+        for b in batches:
+            if not b.num_rows:
+                continue
+            rid, block = b.column("recording_id"), b.column("block")
+            new = pc.fill_null(pc.or_(pc.not_equal(rid[1:], rid[:-1]), pc.not_equal(block[1:], block[:-1])), True).to_numpy(zero_copy_only=False)
+            at = [0, *(np.flatnonzero(new) + 1).tolist(), b.num_rows]
+            for a, z in itertools.pairwise(at):
+                if held and (held[-1]["recording_id"][-1] != rid[a] or held[-1]["block"][-1] != block[a]):
+                    done.append(run(pa.Table.from_batches(held)))
+                    held = []
+                held.append(b.slice(a, z - a))
+            if done:
+                yield from pa.concat_tables(done).combine_chunks().to_batches()
+                done = []
+        if held:
+            yield from run(pa.Table.from_batches(held)).combine_chunks().to_batches()
+
+    return rows.repartition("recording_id", "block").sortWithinPartitions("recording_id", "block", "i").mapInArrow(runs, schema)
 
 
 def _groups_from(placed: DataFrame, met: DataFrame, most: int, block: int) -> DataFrame:
     """(recording_id, i, regions): all groups, each from the block that its first region is in."""
     own = F.floor(F.col("i") / block)
-    near = placed.select("*", F.explode(F.filter(F.array(own - 1, own), lambda k: k >= 0)).alias("block"))
-    starts = met.select(F.col("recording_id").alias("_rid"), own.alias("_block"), "i")
+    flagged = placed.drop("n").join(met.withColumn("entry", F.lit(True)), ["recording_id", "i"], "left")
+    near = flagged.select("recording_id", "i", "a", "b", "fresh", F.coalesce("entry", F.lit(False)).alias("entry"), F.explode(F.filter(F.array(own - 1, own), lambda k: k >= 0)).alias("block"))
     kind = pa.list_(pa.struct([("start_s", pa.float64()), ("end_s", pa.float64())]))
 
-    def run(key: tuple, rows: pa.Table, entries: pa.Table) -> pa.Table:
+    def run(rows: pa.Table) -> pa.Table:
+        rid, k = rows["recording_id"][0].as_py(), rows["block"][0].as_py()
         i, a, b, found, fresh = _next_starts(rows, most)
-        hi = int(np.searchsorted(i, (key[1].as_py() + 1) * block))
+        hi = int(np.searchsorted(i, (k + 1) * block))
         firsts, groups = [], []
-        for e in sorted(entries["i"].to_pylist()):
-            j = int(np.searchsorted(i, e))
+        for j in np.flatnonzero(rows["entry"].to_numpy()[:hi]).tolist():
             while j < hi:
                 t = found[j]
                 firsts.append(int(i[j]))
@@ -241,9 +269,9 @@ def _groups_from(placed: DataFrame, met: DataFrame, most: int, block: int) -> Da
                 if t < len(i) and fresh[t]:
                     break  # a start of its own
                 j = t
-        return pa.table({"recording_id": pa.array([key[0].as_py()] * len(firsts), pa.string()), "i": pa.array(firsts, pa.int64()), "regions": pa.array(groups, kind)})
+        return pa.table({"recording_id": pa.array([rid] * len(firsts), pa.string()), "i": pa.array(firsts, pa.int64()), "regions": pa.array(groups, kind)})
 
-    return near.groupBy("recording_id", "block").cogroup(starts.groupBy("_rid", "_block")).applyInArrow(run, "recording_id string, i long, regions array<struct<start_s:double,end_s:double>>")
+    return _by_block(near, run, "recording_id string, i long, regions array<struct<start_s:double,end_s:double>>")
 
 
 def split_long(groups: DataFrame, max_s: float = 30.0) -> DataFrame:

@@ -109,3 +109,13 @@ def test_greedy_groups_by_pointers(spark, block):
         assert [[(round(x["start_s"] * 1e6), round(x["end_s"] * 1e6)) for x in r["regions"]] for r in mine] == want
         assert [(r["g0_s"], r["g1_s"]) for r in mine] == [(r["regions"][0]["start_s"], r["regions"][-1]["end_s"]) for r in mine]
     assert intervals.vad_groups(df.limit(0)).count() == 0
+
+
+def test_many_small_recordings_are_no_group_each_for_python(spark):
+    """Short recordings pass together in one batch; blocks of one row give the same as one block, across batches too."""
+    df = spark.range(300).selectExpr("cast(floor(id / 3) as string) AS recording_id", "id % 3 AS pos", "cast(id % 3 * 20 as double) AS start_s", "id % 3 * 20 + 18.0D AS end_s")
+    placed = df.selectExpr("recording_id", "pos AS i", "cast(start_s * 1e6 as long) AS a", "cast(end_s * 1e6 as long) AS b", "pos = 0 AS fresh", "3L AS n")
+    jumps = intervals._group_jumps(placed, 40_000_000, 4096)
+    plan = jumps._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "FlatMapGroups" not in plan
+    assert sorted((int(r["recording_id"]), r["i"], r["next"], r["first"]) for r in jumps.collect()) == [(k, 0, None, True) for k in range(100)]

@@ -20,7 +20,9 @@ a component's id unless all are null; other columns are left out; an empty table
 
 from __future__ import annotations
 
+import functools
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parlance.llm.common import discard, pieces_of, store, trimmed, utf8
+from parlance.llm.common import by_range, discard, pieces_of, store, trimmed, utf8
 
 ALL = (1 << 64) - 1
 #: Fingerprints under one masked value beyond which it is masked again.
@@ -41,8 +43,21 @@ COUNTED = 8
 NEAR = 3
 #: Buckets cannot be large from this level on: their masks leave few bits open.
 LAST_LEVEL = 2
-#: Neighbours behind each text that a round proposes, and rounds with a drawn order.
+#: Masks of larger radii take their vectors in such steps, by which every mask keeps about half of the bits.
+STRIDE = {4: 4, 5: 10, 6: 30}
+#: Neighbours behind each text that a round proposes, and drawn orders of them.
 NEIGHBOURS, DRAWN = 4, 2
+#: Texts that ask for one shingle: up to so many are proposed as pairs at once, more as neighbours first.
+FEW = 16
+#: Of word hashes: an odd number and what undoes it modulo 2**64.
+ODD = 0x9E3779B97F4A7C15
+BACK = pow(ODD, -1, 1 << 64)
+SPACE = re.compile(rb"[\x20\x09-\x0D]")
+IN_WORD = bytes(not SPACE.match(bytes([b])) for b in range(256))
+#: Bytes as numbers above zero, capital letters as small ones; UTF-8 has no byte 255.
+NUMBER = bytes(min(255, bytes([b]).lower()[0] + 1) for b in range(256))
+#: Bytes of asked shingles that are put in order at a time.
+RANGE = 8 << 20
 #: Columns of a parity.
 PARITY = ("s0", "s1", "s2", "s3")
 #: One in so many texts is looked at for common shingles: those in COMMON of them or more, MOST_COMMON at most.
@@ -65,6 +80,60 @@ def shingles(text: bytes, shingle: int) -> np.ndarray:
     return np.fromiter((digest(joined[i:j], 42) for i, j in zip(starts, stops, strict=True)), np.uint64, n)
 
 
+def word_hashes(text: bytes) -> np.ndarray:
+    """A 64-bit hash of each word in order, lower-cased from A to Z, whatever stands around it.
+
+    Bytes are summed up with powers of an odd number, and each sum is taken back to its word's start.
+    """
+    inside = np.frombuffer((b" " + text + b" ").translate(IN_WORD), np.uint8)
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, stops = edges[::2], edges[1::2]
+    sums = np.zeros(len(text) + 1, np.uint64)
+    np.cumsum(np.frombuffer(text.translate(NUMBER), np.uint8).astype(np.uint64) * powers(ODD, len(text)), out=sums[1:])
+    return (sums[stops] - sums[starts]) * powers(BACK, len(text))[starts]
+
+
+@functools.cache
+def power_table(base: int, size: int) -> np.ndarray:
+    return np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(size - 1, base, np.uint64), dtype=np.uint64)])
+
+
+def powers(base: int, size: int) -> np.ndarray:
+    """The first powers of a number modulo 2**64."""
+    return power_table(base, 1 << 20)[:size] if size <= 1 << 20 else power_table.__wrapped__(base, size)
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ x >> np.uint64(32)) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return x ^ x >> np.uint64(29)
+
+
+def word_shingles(text: bytes, shingle: int) -> np.ndarray:
+    """As shingles(), with hashes that take no call for each of them: those of the words, combined by their places."""
+    parts, start = [], 0
+    while len(text) - start > 1 << 20:  # a long text in parts, cut between words
+        found = SPACE.search(text, start + (1 << 20) - 1)
+        stop = found.end() if found else len(text)
+        parts.append(word_hashes(text[start:stop]))
+        start = stop
+    of_words = mixed(np.concatenate([*parts, word_hashes(text[start:])]))
+    if not len(of_words):
+        return np.empty(0, np.uint64)
+    width = min(shingle, len(of_words))
+    n = len(of_words) - width + 1
+    found = of_words[:n].copy()
+    for k in range(1, width):
+        found *= np.uint64(ODD)
+        found += of_words[k : k + n]
+    return mixed(found)
+
+
+def distinct(hashes: np.ndarray) -> np.ndarray:
+    """Sorted, each once."""
+    own = np.sort(hashes)
+    return own[np.r_[True, own[1:] != own[:-1]]] if len(own) else own
+
+
 def print_of(hashes: np.ndarray) -> int:
     """64 bits of a text's shingle hashes."""
     if not len(hashes):
@@ -95,10 +164,10 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
 def covering(open_bits: int, radius: int) -> list[int]:
     """Masks over the open bits such that any set of at most radius of them is left out by one of the masks."""
     positions = [b for b in range(64) if open_bits >> b & 1]
-    vectors = 1 << radius + 1
+    vectors, step = 1 << radius + 1, STRIDE.get(radius, 1)
     masks = []
     for v in range(1, vectors):
-        masks.append(sum(1 << b for k, b in enumerate(positions) if ((k % (vectors - 1) + 1) & v).bit_count() & 1))
+        masks.append(sum(1 << b for k, b in enumerate(positions) if ((k * step % (vectors - 1) + 1) & v).bit_count() & 1))
     return masks
 
 
@@ -284,8 +353,8 @@ def common_shingles(docs: DataFrame, shingle: int, text_col: str) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in (p for batch in batches for p in pieces_of(batch)):
-            for t in utf8(b.column(0)):
-                yield pa.RecordBatch.from_arrays([pa.array(np.unique(shingles(t, shingle)).view(np.int64))], names=["h"])
+            found = [distinct(word_shingles(t, shingle)).view(np.int64) for t in utf8(b.column(0))]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*found, np.empty(0, np.int64)]))], names=["h"])
 
     counted = store(rows.mapInArrow(trimmed(run), "h long").groupBy("h").count().filter(F.col("count") >= COMMON), "near-common")
     total, least = 0, None
@@ -299,17 +368,21 @@ def common_shingles(docs: DataFrame, shingle: int, text_col: str) -> np.ndarray:
 
 
 def asked_shingles(hashes: np.ndarray, common: np.ndarray, rank: np.ndarray, similarity: float) -> np.ndarray:
-    """The first of a set of shingles in an order that all texts share; similar sets have one of these in common.
+    """The first of a sorted set of shingles in an order that all texts share; similar sets have one of these in common.
 
     Sets x and y of that similarity share at least ceil(similarity * n) of the n shingles of either, so they cannot
     miss each other within the first n - ceil(similarity * n) + 1. common is sorted, rank is its places in the order.
     """
     n = len(hashes)
-    late = np.zeros(n, np.int64)
-    if len(common):
-        at = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
-        late = np.where(common[at] == hashes, rank[at] + 1, 0)
-    return hashes[np.lexsort((hashes, late))[: n - math.ceil(similarity * n - 1e-9) + 1]]
+    most = n - math.ceil(similarity * n - 1e-9) + 1
+    if not len(common):
+        return hashes[:most]
+    at = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
+    late = common[at] == hashes
+    rare = hashes[~late][:most]
+    if len(rare) == most:
+        return rare
+    return np.concatenate([rare, hashes[late][np.argsort(rank[at[late]], kind="stable")[: most - len(rare)]]])
 
 
 def parity(hashes: np.ndarray) -> np.ndarray:
@@ -352,9 +425,9 @@ def near_prints(docs: DataFrame, shingle: int, similarity: float, id_col: str, t
         for b in (p for batch in batches for p in pieces_of(batch)):
             fps, sizes, bits, odd, asked = [], [], [], [], []
             for t in utf8(b.column(2)):
-                hashes = shingles(t, shingle)
+                hashes = word_shingles(t, shingle)
                 fps.append(print_of(hashes))
-                own = np.unique(hashes) if len(hashes) else nothing
+                own = distinct(hashes) if len(hashes) else nothing
                 sizes.append(len(own))
                 bits.append(parity(own))
                 odd.append(long_parity(own))
@@ -366,51 +439,104 @@ def near_prints(docs: DataFrame, shingle: int, similarity: float, id_col: str, t
     return rows.mapInArrow(trimmed(run), f"id {rows.schema['id'].dataType.simpleString()}, fp long, digest string, n int, bits array<long>, odd binary, asked array<long>")
 
 
-def met(rows: DataFrame) -> DataFrame:
-    """(h, n, node, pos) without the shingles that only one text asks for, stored."""
+def met(texts: DataFrame) -> DataFrame:
+    """(h, n, node, pos, many) of the shingles that more than one text asks for, stored; many: more than FEW do.
+
+    texts: (n, node, asked). Asked shingles pass as sorted blocks, one for each range of hashes and batch, not as rows.
+    """
+    total = texts.agg(F.sum(F.size("asked").cast("long"))).first()[0] or 0
+    bits = min(20, (total * 32 // RANGE).bit_length())
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lists = b.column("asked")
+            sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+            h = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            by = np.argsort(h, kind="stable")
+            text = np.repeat(np.arange(len(sizes)), sizes)[by]
+            pos = (np.arange(len(h)) - np.repeat(np.cumsum(sizes) - sizes, sizes))[by]
+            columns = [h[by].view(np.int64), *(b.column(c).to_numpy(zero_copy_only=False).astype(np.int64)[text] for c in ("n", "node")), pos.astype(np.int64)]
+            rows = np.ascontiguousarray(np.stack(columns, 1))
+            parts, places = by_range(h[by], bits)
+            yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int64()), pa.array([rows[p].tobytes() for p in places], pa.binary())], names=["part", "rows"])
+
+    def shared(blocks: list[bytes]) -> pa.RecordBatch:
+        r = np.concatenate([np.frombuffer(x, np.int64).reshape(-1, 4) for x in blocks])
+        r = r[np.argsort(r[:, 0], kind="stable")]
+        at = np.flatnonzero(np.r_[True, r[1:, 0] != r[:-1, 0]])
+        size = np.diff(np.r_[at, len(r)])
+        size = np.repeat(size, size)
+        r, many = r[size > 1], size[size > 1] > FEW
+        return pa.RecordBatch.from_arrays([*(pa.array(np.ascontiguousarray(r[:, k])) for k in range(4)), pa.array(many)], names=["h", "n", "node", "pos", "many"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        for b in batches:
+            for part, rows in zip(b.column("part").to_pylist(), b.column("rows"), strict=True):
+                if part != now and held:
+                    yield shared(held)
+                    held = []
+                now = part
+                held.append(rows.as_buffer())
+        if held:
+            yield shared(held)
+
+    blocks = texts.select("n", "node", "asked").mapInArrow(trimmed(cut), "part long, rows binary")
+    return store(blocks.repartition("part").sortWithinPartitions("part").mapInArrow(trimmed(meet), "h long, n long, node long, pos long, many boolean"), "near-met")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for r in whole_runs(batches, 1):
-            same = r[1:, 0] == r[:-1, 0]
-            r = r[np.r_[False, same] | np.r_[same, False]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(r[:, k])) for k in range(4)], names=["h", "n", "node", "pos"])
 
-    return store(rows.repartition("h").sortWithinPartitions("h").mapInArrow(trimmed(run), "h long, n long, node long, pos long"), "near-met")
+def drawn(node: np.ndarray, order: int) -> np.ndarray:
+    """A number for each node by which a drawn order puts them."""
+    return mixed(mixed((node.view(np.uint64) + np.uint64(1)) * np.uint64(ODD)) + np.uint64(order))
 
 
-def proposed(rows: DataFrame, similarity: float, order: int | None) -> DataFrame:
-    """(a, b) of texts of different labels that ask for the same shingle and can be similar: neighbours, or every pair.
+def proposed(rows: DataFrame, similarity: float, orders: tuple[int, ...] = ()) -> DataFrame:
+    """(a, b) of texts of different labels that ask for the same shingle and can be similar.
 
-    Order 0 takes neighbours by size, another number those in an order that it draws, None every pair. rows: (h, n, node,
-    pos, label, and the parity's four parts). Sizes too different, too few shingles after the shared ones, or parities
-    that differ in more bits than the sets may differ in shingles, rule a pair out.
+    Texts of a shingle that few ask for are paired all. Others are paired with their neighbours in each of the orders,
+    by size for order 0, drawn for another number; without orders all are. rows: (h, n, node, pos, label, and the
+    parity's four parts). Sizes too different, too few shingles after the shared ones, or parities that differ in more
+    bits than the sets may differ in shingles, rule a pair out.
     """
     most = (1 - similarity) / (1 + similarity)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for r in whole_runs(batches, 1):
-            h, n, node, pos, label = (np.ascontiguousarray(r[:, k]) for k in range(5))
-            bits = np.ascontiguousarray(r[:, 5:]).view(np.uint64)
-            at, step = np.arange(len(r) - 1), 1
-            while len(at):
-                to = at + step
-                near = np.minimum(n[at], n[to]) >= similarity * np.maximum(n[at], n[to]) - 1e-9
-                on = (h[at] == h[to]) & (near | bool(order))  # in order of size, nothing behind is near either
-                at, to, near = at[on], to[on], near[on]
-                # a pair's first shared shingle leaves room for what they must share; at a later one it may be ruled out
-                room = np.minimum(n[at] - pos[at], n[to] - pos[to]) >= similarity / (1 + similarity) * (n[at] + n[to]) - 1e-9
-                apart = np.flatnonzero(room & near & (label[at] != label[to]))
-                apart = apart[np.bitwise_count(bits[at[apart]] ^ bits[to[apart]]).sum(1, dtype=np.int64) <= most * (n[at[apart]] + n[to[apart]]) + 1e-9]
-                pair = np.unique(np.sort(np.stack([node[at[apart]], node[to[apart]]], 1), axis=1), axis=0)
-                if len(pair):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pair[:, k])) for k in (0, 1)], names=["a", "b"])
-                step += 1
-                if order is not None and step > NEIGHBOURS:
+        for every in whole_runs(batches, 1):
+            at = np.flatnonzero(np.r_[True, every[1:, 0] != every[:-1, 0]])
+            size = np.diff(np.r_[at, len(every)])
+            many = np.repeat(size, size) > FEW
+            for order in orders or (None,):
+                if order:
+                    large = every[many]
+                    r = large[np.lexsort((drawn(np.ascontiguousarray(large[:, 2]), order), large[:, 0]))]
+                else:
+                    r = every
+                yield from pairs(r, many if order == 0 else None, order)
+
+    def pairs(r: np.ndarray, many: np.ndarray | None, order: int | None) -> Iterator[pa.RecordBatch]:
+        h, n, node, pos, label = (np.ascontiguousarray(r[:, k]) for k in range(5))
+        bits = np.ascontiguousarray(r[:, 5:]).view(np.uint64)
+        at, step = np.arange(max(0, len(r) - 1)), 1
+        while len(at):
+            to = at + step
+            near = np.minimum(n[at], n[to]) >= similarity * np.maximum(n[at], n[to]) - 1e-9
+            on = (h[at] == h[to]) & (near | bool(order))  # in order of size, nothing behind is near either
+            at, to, near = at[on], to[on], near[on]
+            # a pair's first shared shingle leaves room for what they must share; at a later one it may be ruled out
+            room = np.minimum(n[at] - pos[at], n[to] - pos[to]) >= similarity / (1 + similarity) * (n[at] + n[to]) - 1e-9
+            apart = np.flatnonzero(room & near & (label[at] != label[to]))
+            apart = apart[np.bitwise_count(bits[at[apart]] ^ bits[to[apart]]).sum(1, dtype=np.int64) <= most * (n[at[apart]] + n[to[apart]]) + 1e-9]
+            pair = np.unique(np.sort(np.stack([node[at[apart]], node[to[apart]]], 1), axis=1), axis=0)
+            if len(pair):
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pair[:, k])) for k in (0, 1)], names=["a", "b"])
+            step += 1
+            if order is not None and step > NEIGHBOURS:
+                if many is None:
                     break
-                at = at[at + step < len(r)]
+                at = at[~many[at]]
+            at = at[at + step < len(r)]
 
-    within = [F.xxhash64("node", F.lit(order))] if order else ["n", "node"]
-    dealt = rows.select("h", "n", "node", "pos", "label", *PARITY).repartition("h").sortWithinPartitions("h", *within)
+    dealt = rows.select("h", "n", "node", "pos", "label", *PARITY).repartition("h").sortWithinPartitions("h", "n", "node")
     return store(dealt.mapInArrow(trimmed(run), "a long, b long").distinct(), "near-proposed")
 
 
@@ -420,9 +546,9 @@ def keep_one(docs: DataFrame, shingle: int = 5, radius: int = 6, similarity: flo
     Groups are the components of links, and a link is a pair of texts whose word shingles were compared and are
     similar enough; a group may drift, so that its ends are less similar. Every pair that is similar enough is
     compared or already in one group: fingerprints within the radius gather large groups around one text each,
-    then texts of different groups meet at the shingles that they ask for: first neighbours by size and in drawn
-    orders, which leaves most of a large group under one label, then all that are still apart. Exact copies always
-    go. A null id comes after all others.
+    then texts of different groups meet at the shingles that they ask for: all texts of a shingle that few ask for;
+    of others first neighbours by size and in drawn orders, which leaves most of a large group under one label, then
+    all that are still apart. Exact copies always go. A null id comes after all others.
     """
     cols = docs.columns
     prints = store(near_prints(docs, shingle, similarity, id_col, text_col), "near-prints")
@@ -452,13 +578,15 @@ def keep_one(docs: DataFrame, shingle: int = 5, radius: int = 6, similarity: flo
     leads = placed.groupBy("component_id").agg(F.min("node").alias("lead"), F.count("*").alias("texts")).filter("texts > 1")
     edges = checked(store(placed.join(leads, "component_id").filter("node > lead").select(F.col("lead").alias("a"), F.col("node").alias("b")), "near-leads"))
     labels = components(edges)
-    rows = met(texts.select("n", "node", F.posexplode("asked").alias("pos", "h")).select("h", "n", "node", "pos"))
+    rows = met(texts)
     bits = store(rows.select("node").distinct().join(texts.select("node", *[F.col("bits")[k].alias(c) for k, c in enumerate(PARITY)]), "node"), "near-bits")
-    for order in (*range(DRAWN + 1), None):
+    for orders in ((0,), tuple(range(1, DRAWN + 1)), ()):
         placed = bits.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        apart = rows.join(placed, "node")
-        edges = store(edges.unionByName(checked(proposed(apart, similarity, order))), "near-edges")
-        labels = components(edges)
+        # a shingle that few ask for has had all its pairs in the first round
+        apart = (rows if orders == (0,) else rows.filter("many")).join(placed, "node")
+        # what is connected already goes on as stars around labels
+        stars = labels.filter("node != label").select(F.col("label").alias("a"), F.col("node").alias("b"))
+        labels = components(store(stars.unionByName(checked(proposed(apart, similarity, orders))), "near-edges"))
     discard(rows)
     discard(bits)
     grouped = texts.select("digest", "id", "rows", "node").join(labels, "node").select("label", "digest", F.struct(F.col("id").isNull().alias("no"), "id", "digest").alias("at"))

@@ -67,6 +67,50 @@ def test_covering_masks_catch_every_pair():
     assert inner & masks[1] == masks[1] and inner != masks[1]
 
 
+@pytest.mark.parametrize("radius", [4, 5, 6])
+def test_masks_of_larger_radii_keep_bits_enough(radius):
+    """A mask that keeps one bit or none puts half of all fingerprints or more into one bucket, whatever their number."""
+    rng = random.Random(radius)
+    masks = simhash.covering(simhash.ALL, radius)
+    assert min(m.bit_count() for m in masks) >= 20
+    for _ in range(1000):
+        diff = sum(1 << b for b in rng.sample(range(64), radius))
+        assert any(not m & diff for m in masks)
+    half = (1 << 32) - 1
+    assert min(m.bit_count() for m in simhash.covering(half, radius)) >= 10
+
+
+def test_word_shingles_are_equal_where_words_are():
+    rng = random.Random(12)
+    words = ["a", "A", "b", "a\0", "\0a", "ab", "ba", "é", "É", "z" * 300, "x"]
+    seen = {}
+    for n in (0, 1, 2, 4, 5, 6, 400):
+        for _ in range(30):
+            own = [rng.choice(words) for _ in range(n)]
+            text = "".join(w + rng.choice([" ", "\n", " \t\x0b", "\x0c\r "]) for w in own).encode()
+            got = simhash.word_shingles(text, 5).tolist()
+            own = [w.encode().lower() for w in own]
+            want = [tuple(own[i : i + 5]) for i in range(max(1, n - 4))] if n else []
+            assert len(got) == len(want)
+            for h, w in zip(got, want, strict=True):
+                assert seen.setdefault(h, w) == w
+    assert len(set(seen.values())) == len(seen)
+    long = " ".join(rng.choice(words) for _ in range(400_000)).encode()
+    assert len(long) > 3 << 20 and np.array_equal(simhash.word_shingles(b" \n" + long.replace(b" ", b"\t "), 5), simhash.word_shingles(long, 5))
+
+
+def test_met_shingles(spark, monkeypatch):
+    """Asked shingles that two texts or more ask for, whatever the ranges and batches that they pass in."""
+    rng = random.Random(13)
+    rows = [(100 + k, k, sorted({rng.randint(-50, 50) << 57 for _ in range(rng.randint(1, 40))})) for k in range(90)] + [(7, 90, [1 << 40])]
+    texts = store(spark.createDataFrame(rows, "n int, node long, asked array<long>").repartition(4), "t")
+    asked = collections.Counter(h for *_, a in rows for h in a)
+    want = sorted((h, n, node, pos, asked[h] > simhash.FEW) for n, node, a in rows for pos, h in enumerate(a) if asked[h] > 1)
+    for size in (simhash.RANGE, 100):
+        monkeypatch.setattr(simhash, "RANGE", size)
+        assert sorted(map(tuple, simhash.met(texts).select("h", "n", "node", "pos", "many").collect())) == want
+
+
 def test_fingerprint():
     rng = random.Random(2)
     for n in (0, 1, 2, 3, 4, 50, 70_000):
@@ -142,6 +186,24 @@ def test_keep_one_finds_all_similar_pairs(spark, monkeypatch, common):
     assert sorted(r["doc_id"] for r in simhash.keep_one(docs).collect()) == want
 
 
+def test_keep_one_of_large_groups(spark):
+    """Groups of more texts than are paired at once, among texts that share a passage with them and are not similar."""
+    rng = random.Random(14)
+    words, rows = [f"w{k}" for k in range(4000)], []
+    passage = [rng.choice(words) for _ in range(30)]
+    for _ in range(3):
+        base = passage + [rng.choice(words) for _ in range(120)]
+        for _ in range(40):
+            other = base.copy()
+            other[rng.randrange(30, 150)] = rng.choice(words)
+            other[rng.randrange(30, 150)] = rng.choice(words)
+            rows.append((len(rows), " ".join(other)))
+    rows += [(200 + k, " ".join(passage + [rng.choice(words) for _ in range(60)])) for k in range(40)]
+    rng.shuffle(rows)
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOCS).repartition(3)
+    assert sorted(r["doc_id"] for r in simhash.keep_one(docs).collect()) == similarity_groups(rows)
+
+
 def test_keep_one_leaves_one_of_a_drifting_group(spark):
     """Versions of which only neighbours are similar, and variants that are similar to their base alone."""
     rng = random.Random(9)

@@ -60,3 +60,30 @@ def test_many_items_are_compared_at_a_time(monkeypatch):
     limit = want[-1][0]
     cut = plain(x, items, 4, limit)
     assert np.array_equal(cut[every <= limit], every[every <= limit]) and np.isinf(cut).sum() > 3000
+
+
+def test_single_precision_gives_up_nothing_that_counts():
+    """Large, tiny, close and equal values; queries together, lengths that differ, items left out."""
+    rng = np.random.default_rng(11)
+    for scale, n, m in ((1.0, 24, 24), (1e150, 24, 24), (1e-160, 24, 22), (1.0, 20, 24)):
+        base = rng.normal(size=m) + 1000
+        items = np.concatenate([base + 1e-9 * rng.normal(size=(300, m)), rng.normal(size=(900, m)), np.repeat(base[None, :], 3, 0)]) * scale
+        xs = np.concatenate([[np.resize(items[r], n) for r in (0, 7, 400, 1200)], rng.normal(size=(3, n)) * scale])
+        skip = np.zeros((len(xs), len(items)), bool)
+        skip[[0, 1, 2], [0, 7, 400]] = True
+        best, compared = warping.nearest_of(xs, items, 5, 4, skip)
+        for x, found, s in zip(xs, best, skip, strict=True):
+            every = warping.warped(x, items, 4)
+            want = sorted((d, r) for r, d in enumerate(every.tolist()) if not s[r] and np.isfinite(d))[:5]
+            assert found == want
+    assert max(compared[4:]) < 200
+
+
+def test_paths_are_followed_for_many_items_at_a_time(monkeypatch):
+    """A query meets 4,096 items in few steps, of which few take an exact distance."""
+    rng = np.random.default_rng(12)
+    items, xs = rng.normal(size=(4096, 64)), rng.normal(size=(8, 64))
+    steps, plain = [], warping.path_costs
+    monkeypatch.setattr(warping, "path_costs", lambda *given: steps.append(given[1].shape[1]) or plain(*given))
+    best, compared = warping.nearest_of(xs, items, 5, 6, np.zeros((8, 4096), bool))
+    assert len(steps) <= 10 and sum(compared) < 0.1 * 8 * 4096 and all(len(b) == 5 for b in best)

@@ -84,13 +84,22 @@ def mic_summary(files: DataFrame, with_files: bool = False) -> DataFrame:
     return files.groupBy("mic_name").agg(F.count("*").alias("num_files"), *[F.avg(c).alias(f"avg_{c}") for c in MEANS], F.sum("plosive_spike_count").alias("total_plosive_spikes"), *nested)
 
 
-def folder_summary(files: DataFrame) -> DataFrame:
-    s = files.groupBy("folder_key").agg(
-        F.count("*").alias("n_files"), F.min_by("mic_name", "file_path").alias("mic"), F.sum("duration_s").alias("total_s"),
-        F.avg("snr_db").alias("snr_db"), (F.avg("speech_ratio") * 100).alias("speech_pct"), (F.avg("clipping_ratio") * 100).alias("clip_pct"),
-        F.avg("crosstalk_ratio").alias("crosstalk"), F.avg("rms_dbfs").alias("rms_dbfs"), F.avg("spectral_rolloff_hz").alias("rolloff_hz"),
-        F.avg("effective_bandwidth_hz").alias("bandwidth_hz"), F.sum("plosive_spike_count").alias("plosives"),
-    )
+def folder_summary(files: DataFrame, order: str | Column = "file_path") -> DataFrame:
+    """One row for each folder. Sums of doubles run through its files by ``order``, so that they are the same in every run.
+
+    Sums in an open order differ in their last digits, and so do means that lie on a half of the last digit shown or on
+    the bound of a flag. Running sums pass a folder's sorted files one by one and hold none of them.
+    """
+    w = Window.partitionBy("folder_key").orderBy(order)
+    so_far = {
+        "n_files": F.count("*"), "mic": F.min_by("mic_name", "file_path"), "total_s": F.sum("duration_s"),
+        "snr_db": F.avg("snr_db"), "speech_pct": F.avg("speech_ratio"), "clip_pct": F.avg("clipping_ratio"),
+        "crosstalk": F.avg("crosstalk_ratio"), "rms_dbfs": F.avg("rms_dbfs"), "rolloff_hz": F.avg("spectral_rolloff_hz"),
+        "bandwidth_hz": F.avg("effective_bandwidth_hz"), "plosives": F.sum("plosive_spike_count"),
+    }
+    rows = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    s = files.select("folder_key", *[c.over(rows).alias(name) for name, c in so_far.items()], F.lead(F.lit(True)).over(w).isNull().alias("last"))
+    s = s.filter("last").drop("last").withColumns({c: F.col(c) * 100 for c in ("speech_pct", "clip_pct")})
     return s.withColumn("quality", folder_flag(F.col("snr_db"), F.col("speech_pct")))
 
 

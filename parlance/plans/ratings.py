@@ -44,7 +44,7 @@ def rounded(c: str, digits: int) -> Column:
 
 
 def q_folder_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = quality.folder_summary(fx.metrics(spark, sf_dir))
+    s = quality.folder_summary(fx.metrics(spark, sf_dir), F.col("file_path").cast("long"))
     return s.select("folder_key", "n_files", "mic", "plosives", "quality", *[rounded(c, 4) for c in ("total_s", "snr_db", "speech_pct", "clip_pct", "rms_dbfs")])
 
 

@@ -263,3 +263,19 @@ def test_interview_order(spark):
     s = spark.createDataFrame([("a", 0, "SPEAKER_00", 0.0, 1.0), ("a", 1, "SPEAKER_01", 6.0, 7.0), ("b", 0, "SPEAKER_00", 0.0, 1.0)], "path string, pos int, speaker_id string, start_s double, end_s double")
     m = interviews.merge_order(interviews.place(s, interviews.file_index(f))).orderBy("segment_id").collect()
     assert [(r["path"], r["pos"], r["speaker_id"]) for r in m] == [("a", 0, "SPEAKER_F1_00"), ("b", 0, "SPEAKER_F2_00"), ("a", 1, "SPEAKER_F1_01")]
+
+
+def test_folder_sums_run_in_the_order_of_files(spark):
+    """Means on a half of the last digit go by the last bits of sums, so these are taken one by one in order, however rows are dealt."""
+    random.seed(5)
+    cols = ("duration_s", "snr_db", "speech_ratio", "clipping_ratio", "crosstalk_ratio", "rms_dbfs", "spectral_rolloff_hz", "effective_bandwidth_hz")
+    rows = [(f"f{k % 3}", str(k), "m", 1, *[random.randint(0, 400) / 10 for _ in cols]) for k in range(700)]
+    random.shuffle(rows)
+    files = spark.createDataFrame(rows, "folder_key string, file_path string, mic_name string, plosive_spike_count int, " + ", ".join(f"{c} double" for c in cols))
+    want = {}
+    for folder, _, _, _, duration, snr, *_ in sorted(rows, key=lambda r: int(r[1])):
+        n, total, sum_ = want.get(folder, (0, 0.0, 0.0))
+        want[folder] = n + 1, total + duration, sum_ + snr
+    for parts in (1, 3, 16):
+        got = quality.folder_summary(files.repartition(parts, "file_path"), F.col("file_path").cast("long")).collect()
+        assert {r["folder_key"]: (r["n_files"], r["total_s"], r["snr_db"], r["plosives"]) for r in got} == {f: (n, t, s / n, n) for f, (n, t, s) in want.items()}

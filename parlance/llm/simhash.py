@@ -448,15 +448,16 @@ def met(texts: DataFrame) -> DataFrame:
     bits = min(20, (total * 32 // RANGE).bit_length())
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (p for batch in batches for p in pieces_of(batch, 1 << 20)):
             lists = b.column("asked")
             sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
             h = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-            by = np.argsort(h, kind="stable")
-            text = np.repeat(np.arange(len(sizes)), sizes)[by]
-            pos = (np.arange(len(h)) - np.repeat(np.cumsum(sizes) - sizes, sizes))[by]
-            columns = [h[by].view(np.int64), *(b.column(c).to_numpy(zero_copy_only=False).astype(np.int64)[text] for c in ("n", "node")), pos.astype(np.int64)]
-            rows = np.ascontiguousarray(np.stack(columns, 1))
+            by = np.argsort(h)
+            rows = np.empty((len(h), 4), np.int64)
+            rows[:, 0] = h[by].view(np.int64)
+            for k, c in enumerate(("n", "node"), 1):
+                rows[:, k] = np.repeat(b.column(c).to_numpy(zero_copy_only=False), sizes)[by]
+            rows[:, 3] = (np.arange(len(h)) - np.repeat(np.cumsum(sizes) - sizes, sizes))[by]
             parts, places = by_range(h[by], bits)
             yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int64()), pa.array([rows[p].tobytes() for p in places], pa.binary())], names=["part", "rows"])
 

@@ -88,7 +88,7 @@ def folder_summary(files: DataFrame, order: str | Column = "file_path") -> DataF
     """One row for each folder. Sums of doubles run through its files by ``order``, so that they are the same in every run.
 
     Sums in an open order differ in their last digits, and so do means that lie on a half of the last digit shown or on
-    the bound of a flag. Running sums pass a folder's sorted files one by one and hold none of them.
+    the bound of a flag. A folder's sorted files are one partition of a window, which Spark spills where it is large.
     """
     w = Window.partitionBy("folder_key").orderBy(order)
     so_far = {
